@@ -10,7 +10,9 @@ from crease.operators.staging import (
     TYPED_EXTRAS,
     TYPED_WICKETS,
     ball_rows,
+    info,
     innings_rows,
+    match_fields,
     registry,
 )
 from crease.schemas import DIM_MATCH_COLUMNS, FACT_BALL_COLUMNS
@@ -84,11 +86,8 @@ def fact_ball(documents: DataFrame, teams: DataFrame) -> DataFrame:
     carried = [
         "match_id",
         "loaded_at",
-        F.variant_get("raw_variant", "$.info.season", "int").alias("season"),
-        F.variant_get("raw_variant", "$.info.dates[0]", "date").alias("match_date"),
-        F.variant_get("raw_variant", "$.info.teams[0]", "string").alias("team_1"),
-        F.variant_get("raw_variant", "$.info.teams[1]", "string").alias("team_2"),
-        registry().alias("registry"),
+        *match_fields(info(), "season", "match_date", "team_1", "team_2"),
+        registry(info()),
     ]
     innings = (
         innings_rows(documents, carried, TYPED_EXTRAS, TYPED_WICKETS)

@@ -20,38 +20,43 @@ TYPED_WICKETS = (
 )
 
 
-def registry() -> Column:
+def info() -> Column:
+    """The header branch of a document."""
+    return F.variant_get("raw_variant", "$.info", "variant")
+
+
+def registry(header: Column) -> Column:
     """Name to id of all people of a match."""
-    return F.variant_get("raw_variant", "$.info.registry.people", "map<string,string>")
+    return F.variant_get(header, "$.registry.people", "map<string,string>").alias("registry")
 
 
-def players() -> Column:
+def players(header: Column) -> Column:
     """Team to listed names of a match."""
-    return F.variant_get("raw_variant", "$.info.players", "map<string,array<string>>")
+    return F.variant_get(header, "$.players", "map<string,array<string>>").alias("players")
 
 
-def match_fields() -> list[Column]:
+def match_fields(header: Column, *names: str) -> list[Column]:
     return [
-        F.variant_get("raw_variant", path, kind).alias(name) for name, path, kind in MATCH_FIELDS
+        F.variant_get(header, path, kind).alias(name)
+        for name, path, kind in MATCH_FIELDS
+        if not names or name in names
     ]
 
 
 def stg_matches(raw: DataFrame) -> DataFrame:
     """One row per match with its header fields."""
-    return raw.select("match_id", *match_fields())
+    return raw.select("match_id", *match_fields(info()))
 
 
-def match_header(raw: DataFrame) -> DataFrame:
-    """stg_matches with the name registry and the team lists kept as maps.
+def match_header(headers: DataFrame) -> DataFrame:
+    """Header fields with the name registry and the team lists kept as maps.
 
-    It is a few percent of a document, and all dimensions are built from it.
+    Reads (match_id, info, loaded_at), with ``info`` stored apart from the balls; it is a few
+    percent of a document, and all dimensions are built from it.
     """
-    return raw.select(
-        "match_id",
-        *match_fields(),
-        registry().alias("registry"),
-        players().alias("players"),
-        "loaded_at",
+    header = F.col("info")
+    return headers.select(
+        "match_id", *match_fields(header), registry(header), players(header), "loaded_at"
     )
 
 
@@ -136,4 +141,5 @@ def stg_deliveries(raw: DataFrame) -> DataFrame:
 
 def stg_registry(raw: DataFrame) -> DataFrame:
     """One row per person named in a match, officials included."""
-    return raw.select("match_id", F.explode(registry()).alias("person_name", "cricsheet_id"))
+    people = F.explode(registry(info())).alias("person_name", "cricsheet_id")
+    return raw.select("match_id", people)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from crease.operators import gold, marts, staging
 from crease.operators.copies import latest_copies
-from crease.operators.upsert import recover, upsert
+from crease.operators.upsert import IDLE, recover, upsert
 from crease.plans import quality
 from crease.sources.landing import parse
 from crease.sources.tables import Warehouse
@@ -33,6 +33,7 @@ def load(
         files = files.join(earlier.distinct(), "file_name", "left_anti")
     rows = (
         parse(files, loaded_at)
+        .withColumn("info", staging.info())
         .withColumn("load_id", F.lit(load_id))
         .withColumn("accepted", F.col("reason").isNull())
     )
@@ -49,9 +50,10 @@ def watermark(wh: Warehouse, table: str) -> datetime | None:
     return wh.table(table).agg(F.max("loaded_at").alias("last")).first()["last"]
 
 
-def arrivals(wh: Warehouse, table: str) -> DataFrame:
+def arrivals(wh: Warehouse, table: str) -> DataFrame | None:
     """The latest copy of each match loaded since the table was last brought up to date."""
-    return latest_copies(newer_than(wh.table("raw_match_json"), watermark(wh, table)))
+    newer = newer_than(wh.accepted(), watermark(wh, table))
+    return None if newer.isEmpty() else latest_copies(newer)
 
 
 def build(wh: Warehouse, full_refresh: bool = False, replace_match: bool = False) -> None:
@@ -66,11 +68,13 @@ def build(wh: Warehouse, full_refresh: bool = False, replace_match: bool = False
     for table, key in (("match_header", "match_id"), ("fact_ball", ball_key)):
         if full_refresh:
             wh.clear(table)
+            wh.note(table, IDLE)
         else:
             recover(wh, table, key)
 
-    headers = staging.match_header(arrivals(wh, "match_header"))
-    upsert(wh, "match_header", wh.by_bucket(headers), "match_id")
+    headers = arrivals(wh, "match_header")
+    if headers is not None:
+        upsert(wh, "match_header", wh.by_bucket(staging.match_header(headers)), "match_id")
 
     header = wh.table("match_header")
     matches = wh.table("dim_match")
@@ -79,10 +83,16 @@ def build(wh: Warehouse, full_refresh: bool = False, replace_match: bool = False
     wh.replace("dim_player_team", marts.dim_player_team(wh.by_bucket(header)))
     wh.replace("dim_season", marts.dim_season(matches))
 
-    documents = wh.by_bucket(
-        arrivals(wh, "fact_ball").select("match_id", "raw_variant", "loaded_at")
-    )
-    upsert(wh, "fact_ball", marts.fact_ball(documents, wh.table("dim_team")), ball_key)
+    documents = arrivals(wh, "fact_ball")
+    if documents is not None:
+        spread = wh.by_bucket(documents.select("match_id", "raw_variant", "loaded_at"))
+        teams = small_enough(wh.table("dim_team"))
+        upsert(wh, "fact_ball", marts.fact_ball(spread, teams), ball_key)
+
+
+def small_enough(rows: DataFrame, limit: int = 500_000) -> DataFrame:
+    """A stored table, marked for broadcast if it is within the limit."""
+    return F.broadcast(rows) if rows.count() <= limit else rows
 
 
 def gold_views(wh: Warehouse) -> dict[str, DataFrame]:

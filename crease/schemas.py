@@ -2,24 +2,24 @@
 
 from __future__ import annotations
 
-# Match header columns, the document path each is read from, and its type.
+# Match header columns, the path below ``info`` each is read from, and its type.
 MATCH_FIELDS = [
-    ("season", "$.info.season", "int"),
-    ("city", "$.info.city", "string"),
-    ("venue", "$.info.venue", "string"),
-    ("match_date", "$.info.dates[0]", "date"),
-    ("event_name", "$.info.event.name", "string"),
-    ("event_stage", "$.info.event.stage", "string"),
-    ("team_1", "$.info.teams[0]", "string"),
-    ("team_2", "$.info.teams[1]", "string"),
-    ("toss_winner", "$.info.toss.winner", "string"),
-    ("toss_decision", "$.info.toss.decision", "string"),
-    ("winner", "$.info.outcome.winner", "string"),
-    ("result_runs", "$.info.outcome.by.runs", "int"),
-    ("result_wickets", "$.info.outcome.by.wickets", "int"),
-    ("player_of_match", "$.info.player_of_match[0]", "string"),
-    ("match_type", "$.info.match_type", "string"),
-    ("gender", "$.info.gender", "string"),
+    ("season", "$.season", "int"),
+    ("city", "$.city", "string"),
+    ("venue", "$.venue", "string"),
+    ("match_date", "$.dates[0]", "date"),
+    ("event_name", "$.event.name", "string"),
+    ("event_stage", "$.event.stage", "string"),
+    ("team_1", "$.teams[0]", "string"),
+    ("team_2", "$.teams[1]", "string"),
+    ("toss_winner", "$.toss.winner", "string"),
+    ("toss_decision", "$.toss.decision", "string"),
+    ("winner", "$.outcome.winner", "string"),
+    ("result_runs", "$.outcome.by.runs", "int"),
+    ("result_wickets", "$.outcome.by.wickets", "int"),
+    ("player_of_match", "$.player_of_match[0]", "string"),
+    ("match_type", "$.match_type", "string"),
+    ("gender", "$.gender", "string"),
 ]
 
 RAW_COLUMNS = ["match_id", "file_name", "raw_variant", "loaded_at"]

@@ -11,6 +11,8 @@ upsert rewrites.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -39,6 +41,7 @@ LAYOUTS = {
             ("file_name", "string"),
             ("raw_variant", "variant"),
             ("loaded_at", "timestamp_ntz"),
+            ("info", "variant"),
             ("reason", "string"),
         ],
         partitions=(("load_id", "string"), ("accepted", "boolean")),
@@ -143,11 +146,15 @@ class Warehouse:
     def table(self, table: str) -> DataFrame:
         """A table as its readers know it."""
         if table == "raw_match_json":
-            return self.stored(table).where("accepted").select(schemas.RAW_COLUMNS)
+            return self.accepted().select(schemas.RAW_COLUMNS)
         if table == "dim_match":
             return self.stored("match_header").select(schemas.DIM_MATCH_COLUMNS)
         return self.stored(table).drop("part")
 
+    def accepted(self) -> DataFrame:
+        """Sound documents, with their header branch kept as a narrow column of its own."""
+        return self.stored("raw_match_json").where("accepted")
+
     def rejects(self) -> DataFrame:
         turned_away = self.stored("raw_match_json").where("not accepted")
         return turned_away.select("file_name", "reason", "loaded_at")
@@ -165,7 +172,20 @@ class Warehouse:
             else F.lit(None).cast(field.dataType).alias(field.name)
             for field in self.stored(table).schema
         ]
-        rows.select(columns).write.insertInto(self.qualified(table), overwrite=overwrite)
+        with self._whole_variants():
+            rows.select(columns).write.insertInto(self.qualified(table), overwrite=overwrite)
+
+    @contextmanager
+    def _whole_variants(self) -> Iterator[None]:
+        """Store variants unshredded: balls are always read together, and putting them back
+        together from hundreds of leaf columns costs more than it saves."""
+        setting = "spark.sql.variant.writeShredding.enabled"
+        before = self.spark.conf.get(setting)
+        self.spark.conf.set(setting, "false")
+        try:
+            yield
+        finally:
+            self.spark.conf.set(setting, before)
 
     def append(self, table: str, rows: DataFrame) -> None:
         self._insert(table, rows, overwrite=False)
