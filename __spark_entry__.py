@@ -89,8 +89,12 @@ def raw_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a defect each, and why they were turned away."""
-    broken = league.defective(_documents(spark, sf_dir))
-    return landing.rejects(landing.parse(broken)).select("file_name", "reason")
+
+    def fill(wh: Warehouse) -> None:
+        broken = league.defective(_documents(spark, sf_dir))
+        build.load(wh, broken, "broken", F.lit("2024-01-01 00:00:00"))
+
+    return _once(spark, sf_dir, "rejects", fill).rejects().select("file_name", "reason")
 
 
 def latest_of_two_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,8 +276,9 @@ def _view(answer: Callable, *names: str) -> Callable[[SparkSession, str], DataFr
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         wh = league_warehouse(spark, sf_dir)
-        views = build.gold_views(wh)
-        return answer(*[views[n] if n in views else wh.table(n) for n in names])
+        return answer(
+            *[build.gold_view(wh, n) if n in build.GOLD else wh.table(n) for n in names]
+        )
 
     return query
 
@@ -284,8 +289,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    gold = ["v_batting", "v_bowling", "v_match_summary", "v_phase", "v_partnership"]
-    marts = ["dim_match", "dim_team", "dim_player", "dim_player_team", "dim_season"]
+    dimensions = [table for table in build.MARTS if table != "fact_ball"]
     return {
         "raw_ingest": raw_ingest,
         "ingest_rejects": ingest_rejects,
@@ -295,10 +299,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stg_innings": stg_innings,
         "stg_deliveries": stg_deliveries,
         "stg_registry": stg_registry,
-        **{table: _mart(table) for table in marts},
+        **{table: _mart(table) for table in dimensions},
         "fact_ball": fact_ball,
         "fact_ball_incremental": fact_ball_incremental,
-        **{name: _view(lambda view: view, name) for name in gold},
+        **{name: _view(lambda view: view, name) for name in build.GOLD},
         "match_list": _view(serving.match_list, "dim_match"),
         "season_list": _view(serving.season_list, "dim_match"),
         "match_scorecard": match_scorecard,

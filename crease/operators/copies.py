@@ -11,7 +11,7 @@ BROADCAST_IDS = 500_000
 
 
 def latest_copies(raw: DataFrame) -> DataFrame:
-    """One row per match_id: the copy loaded last, the greater file name if several tie.
+    """One row per match_id: the copy loaded last; of a tie the greater file name, then content.
 
     Documents are heavy and copies rare, so the copies are found from the narrow columns
     alone, with partial aggregation, however many copies one match has. Documents are not
@@ -34,7 +34,7 @@ def latest_copies(raw: DataFrame) -> DataFrame:
         F.col("last_load").isNull() | (F.col("loaded_at") == F.col("last_load"))
     )
 
-    # Copies that came with the same load: the greater file name stands, once.
+    # Copies that came with the same load.
     ties = (
         kept.where("last_load is not null")
         .groupBy("match_id")
@@ -44,6 +44,9 @@ def latest_copies(raw: DataFrame) -> DataFrame:
     if ties.isEmpty():
         return kept.drop("last_load")
     kept = kept.join(hinted(ties.drop("copies")), "match_id", "left")
-    settled = kept.where("last_file is null").select(raw.columns)
+    untied = kept.where("last_file is null").select(raw.columns)
     tied = kept.where("file_name = last_file").select(raw.columns)
-    return settled.unionByName(tied.dropDuplicates(["match_id"]))
+    content = F.to_json("raw_variant") if "raw_variant" in raw.columns else F.lit("")
+    chosen = F.max_by(F.struct(*raw.columns), F.xxhash64(content))
+    settled = tied.groupBy("match_id").agg(chosen.alias("copy")).select("copy.*")
+    return untied.unionByName(settled)

@@ -61,7 +61,11 @@ def dim_player_team(header: DataFrame) -> DataFrame:
 
 
 def dim_season(matches: DataFrame) -> DataFrame:
-    """Seasons with their dates and the winner of the final, one row per final if several."""
+    """Seasons with their dates and the winner of the final, one row per final if several.
+
+    The left join is written as its two halves: finals of a crowded season can then be split
+    over tasks, which a left join does not allow on its right side.
+    """
     seasons = matches.groupBy("season").agg(
         F.count("*").alias("total_matches"),
         F.min("match_date").alias("start_date"),
@@ -70,7 +74,9 @@ def dim_season(matches: DataFrame) -> DataFrame:
     finals = matches.where(F.col("event_stage") == "Final").select(
         "season", F.col("winner").alias("champion")
     )
-    return seasons.join(finals, "season", "left")
+    decided = seasons.join(finals, "season")
+    undecided = seasons.join(finals.select("season").distinct(), "season", "left_anti")
+    return decided.unionByName(undecided, allowMissingColumns=True)
 
 
 def fact_ball(documents: DataFrame, teams: DataFrame) -> DataFrame:

@@ -15,6 +15,19 @@ from crease.sources.landing import parse
 from crease.sources.tables import Warehouse
 
 
+# Team names are broadcast to the documents up to this many (some tens of MB).
+BROADCAST_TEAMS = 500_000
+
+SCORECARDS = {
+    "v_batting": gold.v_batting,
+    "v_bowling": gold.v_bowling,
+    "v_phase": gold.v_phase,
+    "v_partnership": gold.v_partnership,
+}
+GOLD = [*SCORECARDS, "v_match_summary"]
+MARTS = ["dim_match", "dim_team", "dim_player", "dim_player_team", "dim_season", "fact_ball"]
+
+
 def load(
     wh: Warehouse,
     files: DataFrame,
@@ -50,10 +63,15 @@ def watermark(wh: Warehouse, table: str) -> datetime | None:
     return wh.table(table).agg(F.max("loaded_at").alias("last")).first()["last"]
 
 
-def arrivals(wh: Warehouse, table: str) -> DataFrame | None:
-    """The latest copy of each match loaded since the table was last brought up to date."""
-    newer = newer_than(wh.accepted(), watermark(wh, table))
-    return None if newer.isEmpty() else latest_copies(newer)
+def arrivals(wh: Warehouse, tables: list[str]) -> dict[str, DataFrame | None]:
+    """For each table the latest copy of each match loaded since it was last brought up to
+    date, or None. Tables at the same watermark share the search for copies."""
+    marks = {table: watermark(wh, table) for table in tables}
+    found = {}
+    for mark in set(marks.values()):
+        newer = newer_than(wh.accepted(), mark)
+        found[mark] = None if newer.isEmpty() else latest_copies(newer)
+    return {table: found[mark] for table, mark in marks.items()}
 
 
 def build(wh: Warehouse, full_refresh: bool = False, replace_match: bool = False) -> None:
@@ -71,8 +89,9 @@ def build(wh: Warehouse, full_refresh: bool = False, replace_match: bool = False
             wh.note(table, IDLE)
         else:
             recover(wh, table, key)
+    new = arrivals(wh, ["match_header", "fact_ball"])
 
-    headers = arrivals(wh, "match_header")
+    headers = new["match_header"]
     if headers is not None:
         upsert(wh, "match_header", wh.by_bucket(staging.match_header(headers)), "match_id")
 
@@ -83,28 +102,26 @@ def build(wh: Warehouse, full_refresh: bool = False, replace_match: bool = False
     wh.replace("dim_player_team", marts.dim_player_team(wh.by_bucket(header)))
     wh.replace("dim_season", marts.dim_season(matches))
 
-    documents = arrivals(wh, "fact_ball")
-    if documents is not None:
-        spread = wh.by_bucket(documents.select("match_id", "raw_variant", "loaded_at"))
-        teams = small_enough(wh.table("dim_team"))
-        upsert(wh, "fact_ball", marts.fact_ball(spread, teams), ball_key)
+    if new["fact_ball"] is not None:
+        documents = new["fact_ball"].select("match_id", "raw_variant", "loaded_at")
+        teams = wh.table("dim_team")
+        if teams.count() <= BROADCAST_TEAMS:
+            balls = marts.fact_ball(wh.by_bucket(documents), F.broadcast(teams))
+        else:
+            balls = wh.by_bucket(marts.fact_ball(documents, teams))
+        upsert(wh, "fact_ball", balls, ball_key)
 
 
-def small_enough(rows: DataFrame, limit: int = 500_000) -> DataFrame:
-    """A stored table, marked for broadcast if it is within the limit."""
-    return F.broadcast(rows) if rows.count() <= limit else rows
+def gold_view(wh: Warehouse, name: str) -> DataFrame:
+    """One of the five scorecards over the stored marts, evaluated when read."""
+    fact = wh.table("fact_ball")
+    if name == "v_match_summary":
+        return gold.v_match_summary(fact, wh.table("dim_match"))
+    return SCORECARDS[name](fact)
 
 
 def gold_views(wh: Warehouse) -> dict[str, DataFrame]:
-    """The five scorecards over the stored marts, evaluated when read."""
-    fact, matches = wh.table("fact_ball"), wh.table("dim_match")
-    return {
-        "v_batting": gold.v_batting(fact),
-        "v_bowling": gold.v_bowling(fact),
-        "v_match_summary": gold.v_match_summary(fact, matches),
-        "v_phase": gold.v_phase(fact),
-        "v_partnership": gold.v_partnership(fact),
-    }
+    return {name: gold_view(wh, name) for name in GOLD}
 
 
 def register_views(wh: Warehouse) -> None:
@@ -115,17 +132,7 @@ def register_views(wh: Warehouse) -> None:
         "stg_innings": staging.stg_innings(raw),
         "stg_deliveries": staging.stg_deliveries(raw),
         "stg_registry": staging.stg_registry(raw),
-        **{
-            name: wh.table(name)
-            for name in (
-                "dim_match",
-                "dim_team",
-                "dim_player",
-                "dim_player_team",
-                "dim_season",
-                "fact_ball",
-            )
-        },
+        **{name: wh.table(name) for name in MARTS},
         **gold_views(wh),
     }
     for name, view in views.items():
@@ -135,9 +142,7 @@ def register_views(wh: Warehouse) -> None:
 REPORT = "position int, step string, status string, detail string"
 
 
-def run(
-    wh: Warehouse, now: datetime | None = None, full_refresh: bool = False
-) -> DataFrame:
+def run(wh: Warehouse, now: datetime | None = None, full_refresh: bool = False) -> DataFrame:
     """Freshness gate, build, data tests; stops at the first step that fails."""
     steps: list[tuple[int, str, str, str]] = []
 

@@ -95,11 +95,3 @@ def _part(column: str, path: str) -> Column:
 def _absent(path: str) -> Column:
     part = _part("raw_variant", path)
     return part.isNull() | F.is_variant_null(part)
-
-
-def sound(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col("reason").isNull()).drop("reason")
-
-
-def rejects(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col("reason").isNotNull()).select("file_name", "reason", "loaded_at")

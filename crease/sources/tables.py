@@ -77,8 +77,7 @@ class Warehouse:
         self.buckets = self._settle_buckets(buckets)
         self.parts = min(self.buckets, MOST_PARTS)
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.root}/tables'")
-        for table in LAYOUTS:
-            self._declare(table)
+        self._declared: set[str] = set()
 
     def _settle_buckets(self, wanted: int | None) -> int:
         """The bucket count is fixed by the first use of a root and read back afterwards."""
@@ -104,7 +103,11 @@ class Warehouse:
         return row["value"] if row else None
 
     def _declare(self, table: str) -> None:
+        """Make a table known to the catalog, with the files it may already have."""
         name = self.qualified(table)
+        if table in self._declared:
+            return
+        self._declared.add(table)
         if self.spark.catalog.tableExists(name):
             return
         layout = LAYOUTS[table]
@@ -141,6 +144,7 @@ class Warehouse:
 
     def stored(self, table: str) -> DataFrame:
         """A table with all columns it is stored with."""
+        self._declare(table)
         return self.spark.table(self.qualified(table))
 
     def table(self, table: str) -> DataFrame:
