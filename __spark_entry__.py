@@ -228,9 +228,9 @@ def global_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     unplaced, none, wickets = F.lit(None), F.lit(None), F.col("wickets")
     pair = F.concat("batter1", F.lit(" + "), "batter2")
-    batting = place(F.desc("runs"), "innings_no", "batter", "match_id")
-    bowling = place(*serving.bowling_order(), "match_id")
-    stands = place(F.desc("runs"), "innings_no", "wicket_number", "match_id")
+    batting = place(*serving.batting_keys(), "match_id")
+    bowling = place(*serving.bowling_keys(), "match_id")
+    stands = place(*serving.partnership_keys(), "match_id")
     sections = [
         listed("summary", unplaced, F.col("batting_team"), "runs", wickets),
         listed("phases", unplaced, F.col("phase"), "runs", wickets),

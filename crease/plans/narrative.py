@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crease.functions import text_or
-from crease.plans.serving import bowling_order, margin, rank_in_match
+from crease.plans.serving import batting_keys, bowling_keys, margin, partnership_keys
 
 # How many rows of each kind a fact pack holds.
 BATTING_PLACES = 10
@@ -14,28 +14,16 @@ BOWLING_PLACES = 10
 PARTNERSHIP_PLACES = 5
 
 
-def _batting_order() -> list[Column]:
-    return [F.desc("runs"), F.asc("innings_no"), F.asc("batter")]
+def _gathered(rows: DataFrame, name: str, keys: list[Column], places: int | None) -> DataFrame:
+    """One row per match with its rows in order, all or the first of them, as structs.
 
-
-def _partnership_order() -> list[Column]:
-    return [F.desc("runs"), F.asc("innings_no"), F.asc("wicket_number")]
-
-
-def _gathered(rows: DataFrame, name: str, order: list[Column], places: int | None) -> DataFrame:
-    """One row per match with its first rows, in order, as an array of structs.
-
-    The rows are cut to ``places`` before they are gathered; without a limit they are the
-    innings or phases of a match.
+    The rows gathered are lines of one match's scorecard, which its document bounds.
     """
-    columns = rows.columns
-    ranked = rows.withColumn("place", rank_in_match(*order))
+    keyed = F.struct(*[k.alias(f"key_{i}") for i, k in enumerate(keys)])
+    entries = F.sort_array(F.collect_list(F.struct(keyed.alias("keys"), F.struct("*").alias("row"))))
     if places is not None:
-        ranked = ranked.where(F.col("place") <= places)
-    entries = F.sort_array(F.collect_list(F.struct("place", F.struct(*columns).alias("row"))))
-    return ranked.groupBy("match_id").agg(
-        F.transform(entries, lambda entry: entry["row"]).alias(name)
-    )
+        entries = F.slice(entries, 1, places)
+    return rows.groupBy("match_id").agg(F.transform(entries, lambda e: e["row"]).alias(name))
 
 
 def match_facts(views: dict[str, DataFrame]) -> DataFrame:
@@ -44,13 +32,14 @@ def match_facts(views: dict[str, DataFrame]) -> DataFrame:
     All five sides stay in the buckets of their match, so the lists are built and joined
     without a shuffle.
     """
+    innings = F.col("innings_no")
     sides = [
-        _gathered(views["v_match_summary"], "summary", [F.asc("innings_no")], None),
-        _gathered(views["v_batting"], "batting", _batting_order(), BATTING_PLACES),
-        _gathered(views["v_bowling"], "bowling", bowling_order(), BOWLING_PLACES),
-        _gathered(views["v_phase"], "phases", [F.asc("innings_no"), F.asc("phase")], None),
+        _gathered(views["v_match_summary"], "summary", [innings], None),
+        _gathered(views["v_batting"], "batting", batting_keys(), BATTING_PLACES),
+        _gathered(views["v_bowling"], "bowling", bowling_keys(), BOWLING_PLACES),
+        _gathered(views["v_phase"], "phases", [innings, F.col("phase")], None),
         _gathered(
-            views["v_partnership"], "partnerships", _partnership_order(), PARTNERSHIP_PLACES
+            views["v_partnership"], "partnerships", partnership_keys(), PARTNERSHIP_PLACES
         ),
     ]
     facts = sides[0]
@@ -76,14 +65,14 @@ def global_facts(views: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {
         "summary": views["v_match_summary"].orderBy("innings_no", "match_id"),
         "batting": views["v_batting"]
-        .orderBy(*_batting_order(), "match_id")
+        .orderBy(*batting_keys(), "match_id")
         .limit(BATTING_PLACES),
         "bowling": views["v_bowling"]
-        .orderBy(*bowling_order(), "match_id")
+        .orderBy(*bowling_keys(), "match_id")
         .limit(BOWLING_PLACES),
         "phases": views["v_phase"].orderBy("innings_no", "match_id", "phase"),
         "partnerships": views["v_partnership"]
-        .orderBy(*_partnership_order(), "match_id")
+        .orderBy(*partnership_keys(), "match_id")
         .limit(PARTNERSHIP_PLACES),
     }
 

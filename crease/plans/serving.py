@@ -23,8 +23,24 @@ def _only(rows: DataFrame, **wanted) -> DataFrame:
     return rows
 
 
-def rank_in_match(*order: Column) -> Column:
-    return F.row_number().over(Window.partitionBy("match_id").orderBy(*order))
+def batting_keys() -> list[Column]:
+    """Most runs first."""
+    return [-F.col("runs"), F.col("innings_no"), F.col("batter")]
+
+
+def bowling_keys() -> list[Column]:
+    """Most wickets first, then the better economy; bowlers without a legal ball last."""
+    economy = F.col("economy")
+    return [-F.col("wickets"), economy.isNull(), economy, F.col("innings_no"), F.col("bowler")]
+
+
+def partnership_keys() -> list[Column]:
+    """Most runs first."""
+    return [-F.col("runs"), F.col("innings_no"), F.col("wicket_number")]
+
+
+def _rank(keys: list[Column]) -> Column:
+    return F.row_number().over(Window.partitionBy("match_id").orderBy(*keys)).alias("rank")
 
 
 def match_list(matches: DataFrame, season: int | None = None) -> DataFrame:
@@ -75,27 +91,6 @@ def result_header(summary: DataFrame, match_id: str | None = None) -> DataFrame:
 
     A margin in wickets goes before one in runs; absent names are printed as "None".
     """
-    first, second = F.col("innings_no") == 1, F.col("innings_no") == 2
-
-    def of(innings: Column, column: str) -> Column:
-        return F.max(F.when(innings, F.col(column))).alias(column)
-
-    headers = (
-        _only(summary, match_id=match_id)
-        .groupBy("match_id")
-        .agg(
-            F.bool_or(second).alias("has_second"),
-            of(second, "winner"),
-            of(second, "result_wickets"),
-            of(second, "result_runs"),
-            of(first, "toss_winner"),
-            of(first, "toss_decision"),
-            of(first, "player_of_match"),
-            of(first, "venue"),
-            of(first, "city"),
-        )
-        .where("has_second")
-    )
     details = F.concat(
         F.lit("Toss: "),
         text_or("toss_winner", "None"),
@@ -108,12 +103,16 @@ def result_header(summary: DataFrame, match_id: str | None = None) -> DataFrame:
         F.lit(", "),
         text_or("city", "None"),
     )
-    return headers.select(
-        "match_id",
-        "winner",
-        margin().alias("margin"),
-        F.concat(text_or("winner", "None"), F.lit(" won"), margin()).alias("headline"),
-        details.alias("details"),
+    return (
+        _only(summary, match_id=match_id)
+        .where("innings_no = 2")
+        .select(
+            "match_id",
+            "winner",
+            margin().alias("margin"),
+            F.concat(text_or("winner", "None"), F.lit(" won"), margin()).alias("headline"),
+            details.alias("details"),
+        )
     )
 
 
@@ -140,7 +139,7 @@ def batting_board(
         "match_id",
         "innings_no",
         "batting_team",
-        rank_in_match(F.desc("runs"), F.asc("innings_no"), F.asc("batter")).alias("rank"),
+        _rank(batting_keys()),
         "batter",
         "balls_faced",
         "runs",
@@ -163,15 +162,6 @@ def top_scorers(
     return board.select("match_id", "rank", "innings_no", "batting_team", "batter", "runs")
 
 
-def bowling_order() -> list[Column]:
-    return [
-        F.desc("wickets"),
-        F.asc_nulls_last("economy"),
-        F.asc("innings_no"),
-        F.asc("bowler"),
-    ]
-
-
 def bowling_board(
     bowling: DataFrame, match_id: str | None = None, team: str | None = None
 ) -> DataFrame:
@@ -180,7 +170,7 @@ def bowling_board(
         "match_id",
         "innings_no",
         "bowling_team",
-        rank_in_match(*bowling_order()).alias("rank"),
+        _rank(bowling_keys()),
         "bowler",
         "balls_bowled",
         "overs",
@@ -213,12 +203,11 @@ def partnership_board(
     partnerships: DataFrame, match_id: str | None = None, team: str | None = None
 ) -> DataFrame:
     """Partnerships of a match by runs, with the pair as one text."""
-    order = [F.desc("runs"), F.asc("innings_no"), F.asc("wicket_number")]
     return _only(partnerships, match_id=match_id, batting_team=team).select(
         "match_id",
         "innings_no",
         "batting_team",
-        rank_in_match(*order).alias("rank"),
+        _rank(partnership_keys()),
         "wicket_number",
         "batter1",
         "batter2",
@@ -251,21 +240,26 @@ def boundaries_by_team(batting: DataFrame, match_id: str | None = None) -> DataF
 def player_of_match_contribution(
     matches: DataFrame, batting: DataFrame, bowling: DataFrame, match_id: str | None = None
 ) -> DataFrame:
-    """What the player of the match did with bat and ball, over all innings of the match."""
-    chosen = _only(matches, match_id=match_id).where(F.col("player_of_match").isNotNull())
-    bat = batting.groupBy("match_id", F.col("batter").alias("player_of_match")).agg(
-        F.sum("runs").alias("runs"),
-        F.sum("balls_faced").alias("balls_faced"),
-        F.sum("fours").alias("fours"),
-        F.sum("sixes").alias("sixes"),
-    )
-    bowl = bowling.groupBy("match_id", F.col("bowler").alias("player_of_match")).agg(
-        F.sum("wickets").alias("wickets"),
-        F.sum("runs_conceded").alias("runs_conceded"),
-        F.sum("balls_bowled").alias("balls_bowled"),
+    """What the player of the match did with bat and ball, over all innings of the match.
+
+    Lines are met by match alone and picked by name inside the aggregation, which keeps both
+    joins in the buckets.
+    """
+    chosen = (
+        _only(matches, match_id=match_id)
+        .where(F.col("player_of_match").isNotNull())
+        .select("match_id", "player_of_match", "winner")
     )
-    key = ["match_id", "player_of_match"]
-    return chosen.select(*key, "winner").join(bat, key, "left").join(bowl, key, "left")
+
+    def totals(lines: DataFrame, name: str, columns: list[str]) -> DataFrame:
+        own = F.col(name) == F.col("player_of_match")
+        met = chosen.join(lines.select("match_id", name, *columns), "match_id", "left")
+        sums = [F.sum(F.when(own, F.col(c))).alias(c) for c in columns]
+        return met.groupBy(chosen.columns).agg(*sums)
+
+    bat = totals(batting, "batter", ["runs", "balls_faced", "fours", "sixes"])
+    bowl = totals(bowling, "bowler", ["wickets", "runs_conceded", "balls_bowled"])
+    return bat.join(bowl.drop("player_of_match", "winner"), "match_id")
 
 
 def most_runs_by_season(batting: DataFrame) -> DataFrame:

@@ -12,7 +12,8 @@ def builder(app_name: str = "crease") -> SparkSession.Builder:
     """Session settings worth having; everything else stays with the cluster's defaults.
 
     Match files are small, so the default cost of opening a file (4 MB) would pack only some
-    thirty of them into a task; the lower figure packs about a thousand.
+    thirty of them into a task; the lower figure packs about a thousand. Joins on a match and
+    something else may use the buckets by match as they are.
     """
     return (
         SparkSession.builder.appName(app_name)
@@ -20,6 +21,7 @@ def builder(app_name: str = "crease") -> SparkSession.Builder:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.files.openCostInBytes", str(64 * 1024))
+        .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
     )
 
 

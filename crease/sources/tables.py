@@ -201,7 +201,9 @@ class Warehouse:
     def clear(self, table: str) -> None:
         """Empty a partitioned table."""
         keys = [column for column, _ in LAYOUTS[table].partitions]
-        nothing = self.spark.createDataFrame([], self.stored(table).schema)
+        nothing = self.spark.range(0).select(
+            [F.lit(None).cast(f.dataType).alias(f.name) for f in self.stored(table).schema]
+        )
         writer = nothing.write.mode("overwrite").option("partitionOverwriteMode", "static")
         writer.partitionBy(keys).parquet(self._location(table))
         self.spark.sql(f"MSCK REPAIR TABLE {self.qualified(table)} SYNC PARTITIONS")
