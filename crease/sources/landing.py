@@ -22,8 +22,7 @@ REASONS = [
 def read_folder(spark: SparkSession, folders: str | list[str]) -> DataFrame:
     """(file_name, text) of each ``*.json`` directly inside the folders, one row per file."""
     paths = sorted({folders} if isinstance(folders, str) else set(folders))
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(paths)
-    return _named(files)
+    return _named(spark.read.text(paths, wholetext=True, pathGlobFilter="*.json"))
 
 
 def stream_folder(
