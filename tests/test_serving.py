@@ -1,0 +1,165 @@
+from __future__ import annotations
+
+import json
+
+import pytest
+from documents import ball, dicts, innings, match, raw, wicket
+
+from crease.operators import gold, marts, staging
+from crease.plans import career, narrative, results, serving
+
+
+def cards(spark, documents):
+    rows = raw(spark, documents)
+    matches = staging.stg_matches(rows)
+    balls = marts.fact_ball(rows, marts.dim_team(matches))
+    return {
+        "dim_match": matches,
+        "fact_ball": balls,
+        "v_batting": gold.v_batting(balls),
+        "v_bowling": gold.v_bowling(balls),
+        "v_match_summary": gold.v_match_summary(balls, matches),
+        "v_phase": gold.v_phase(balls),
+        "v_partnership": gold.v_partnership(balls),
+    }
+
+
+@pytest.fixture(scope="module")
+def league_of_three(spark):
+    won = match(
+        innings("A", [ball(bat=6), ball("A2", "A1", bat=4), ball(wickets=wicket("lbw", "A1"))]),
+        innings("B", [ball("B1", "B2", "A1", 1), ball("B1", "B2", "A2", extras={"wides": 1})]),
+        outcome={"winner": "A", "by": {"wickets": 3, "runs": 9}},
+    )
+    tied = match(
+        innings("A", [ball(bat=1)]),
+        innings("B", [ball("B1", "B2", "A1", 1)]),
+        outcome={"result": "tie"},
+        season=2017,
+        dates=["2017-04-02"],
+        player_of_match=None,
+        city=None,
+    )
+    short = match(innings("A", [ball(bat=2)]), season=2017, dates=["2017-04-01"])
+    views = cards(spark, {"1.json": won, "2.json": tied, "3.json": short})
+    return {name: view.cache() for name, view in views.items()}
+
+
+def test_lists(league_of_three):
+    matches = league_of_three["dim_match"]
+    assert [r["label"] for r in dicts(serving.match_list(matches))] == [
+        "A vs B (2016-05-01)",
+        "A vs B (2017-04-01)",
+        "A vs B (2017-04-02)",
+    ]
+    assert [r["match_id"] for r in dicts(serving.match_list(matches, 2017))] == ["3", "2"]
+    assert [r["season"] for r in dicts(serving.season_list(matches))] == [2017, 2016]
+
+
+def test_headline_puts_wickets_before_runs(league_of_three):
+    rows = {
+        r["match_id"]: r for r in dicts(serving.result_header(league_of_three["v_match_summary"]))
+    }
+    assert rows["1"]["headline"] == "A won by 3 wickets"
+    assert rows["2"]["headline"] == "None won"
+    assert rows["2"]["details"] == (
+        "Toss: A chose to field  ·  Player of the match: None  ·  Venue: Ground, None"
+    )
+    assert "3" not in rows  # no second innings
+
+
+def test_boards(league_of_three):
+    bowling = dicts(serving.bowling_board(league_of_three["v_bowling"], "1"), "rank")
+    assert [(r["bowler"], r["wickets"], r["economy"]) for r in bowling] == [
+        ("B1", 1, 20.0),
+        ("A1", 0, 6.0),
+        ("A2", 0, None),  # only wides
+    ]
+    team = dicts(serving.bowling_board(league_of_three["v_bowling"], "1", "A"), "rank")
+    assert [r["bowler"] for r in team] == ["A1", "A2"]
+    scorers = dicts(serving.top_scorers(league_of_three["v_batting"], "1", places=2), "rank")
+    assert [(r["batter"], r["runs"]) for r in scorers] == [("A1", 6), ("A2", 4)]
+    out = dicts(serving.batting_board(league_of_three["v_batting"], "1", "A"), "rank")
+    assert [(r["batter"], r["not_out"]) for r in out] == [("A1", "No"), ("A2", "Yes")]
+    stands = dicts(serving.partnership_board(league_of_three["v_partnership"], "1"), "rank")
+    assert [(r["pair"], r["runs"]) for r in stands] == [("A1 + A2", 10), ("B1 + B2", 2)]
+    overs = dicts(serving.over_progression(league_of_three["fact_ball"], "1"))
+    assert [(r["innings"], r["runs"], r["wickets"]) for r in overs] == [
+        ("Innings 1 · A", 10, 1),
+        ("Innings 2 · B", 2, 0),
+    ]
+    phases = dicts(serving.phase_table(league_of_three["v_phase"], "1", "A"))
+    assert [(r["phase"], r["phase_no"], r["runs"]) for r in phases] == [("Powerplay", 1, 10)]
+
+
+def test_players_and_leaders(league_of_three):
+    batting, bowling = league_of_three["v_batting"], league_of_three["v_bowling"]
+    assert [r["player"] for r in dicts(serving.player_index(batting, bowling))] == [
+        "A1",
+        "A2",
+        "B1",
+    ]
+    leaders = dicts(serving.most_runs_by_season(batting), "season")
+    assert [(r["season"], r["batter"], r["runs"]) for r in leaders] == [
+        (2016, "A1", 6),
+        (2017, "A1", 3),
+    ]
+    best = serving.player_of_match_contribution(league_of_three["dim_match"], batting, bowling)
+    rows = {r["match_id"]: (r["runs"], r["balls_bowled"]) for r in dicts(best)}
+    assert rows == {"1": (6, 1), "3": (2, None)}
+
+
+def test_careers(league_of_three):
+    batting, bowling = league_of_three["v_batting"], league_of_three["v_bowling"]
+    got = dicts(career.career_batting(batting, "A1"))
+    assert got == [
+        {
+            "batter": "A1",
+            "matches": 3,
+            "total_runs": 9,
+            "avg": 3.0,
+            "strike_rate": 200.0,
+            "fours": 0,
+            "sixes": 1,
+        }
+    ]
+    assert dicts(career.career_bowling(bowling, "A2"))[0]["economy"] is None
+    log = dicts(career.career_log(batting, bowling, "A1"))
+    assert [(str(r["date"]), r["role"], r["runs"], r["wickets"]) for r in log] == [
+        ("2017-04-02", "Bat", 1, None),
+        ("2017-04-02", "Bowl", 1, 0),
+        ("2017-04-01", "Bat", 2, None),
+        ("2016-05-01", "Bat", 6, None),
+        ("2016-05-01", "Bowl", 1, 0),
+    ]
+
+
+def test_facts_and_commentary(league_of_three):
+    facts = narrative.match_facts(league_of_three).cache()
+    documents = {r.match_id: json.loads(r.facts) for r in narrative.facts_json(facts).collect()}
+    assert set(documents["1"]) == {"summary", "batting", "bowling", "phases", "partnerships"}
+    assert [b["batter"] for b in documents["1"]["batting"]] == ["A1", "A2", "B1"]
+    assert documents["2"]["summary"][0]["winner"] is None
+    texts = {r.match_id: r.text for r in narrative.commentary(facts).collect()}
+    assert texts["1"] == (
+        "A won by 3 wickets. A posted 10/1 in 0.5 overs (run rate 20.0); "
+        "B replied with 2/0 in 0.2 overs. "
+        "Top scorer was A1 with 6 runs off 2 balls (strike rate 300.0). "
+        "B1 was the pick of the bowlers with 1 wicket(s) for 10 runs (economy 20.0). "
+        "The largest partnership was A1 and A2, who added 10 runs."
+    )
+    assert texts["2"].startswith("Top scorer was A1 with 1 runs")  # nobody won
+    assert texts["3"].startswith(
+        "A won. A posted 2/0 in 0.2 overs (run rate 12.0); None replied with None/None in None overs."
+    )
+
+
+def test_small_results(spark, league_of_three):
+    league_of_three["v_batting"].createOrReplaceTempView("some_batting")
+    sql = "select batter, runs from some_batting where match_id = ? order by runs desc"
+    rows = results.query(spark, sql, ["1"])
+    assert list(results.frame(rows).batter) == ["A1", "A2", "B1"]
+    assert results.first_row(rows) == ("A1", 6)
+    assert results.first_row(rows.where("runs > 99")) is None
+    with pytest.raises(ValueError, match="more than 2 rows"):
+        results.frame(rows, most=2)
