@@ -5,6 +5,7 @@ from crease.functions.scalar import (
     match_id_of,
     mean_of_rates,
     mean_of_whole,
+    moment,
     phase,
     phase_rank,
     rate,
@@ -19,6 +20,7 @@ __all__ = [
     "match_id_of",
     "mean_of_rates",
     "mean_of_whole",
+    "moment",
     "phase",
     "phase_rank",
     "rate",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -74,6 +76,11 @@ def phase_rank(column: str = "phase") -> Column:
     return F.array_position(F.array(*[F.lit(p) for p in PHASES]), F.col(column)).cast("int")
 
 
+def moment(when: datetime) -> Column:
+    """A date and time as written, whatever time zones Python and the session are in."""
+    return F.lit(when.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def text_or(column: str | Column, missing: str) -> Column:
     """The column as text, with ``missing`` printed for null."""
     value = F.col(column) if isinstance(column, str) else column

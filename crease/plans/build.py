@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crease.functions import moment
 from crease.operators import gold, marts, staging
 from crease.operators.copies import latest_copies
 from crease.operators.upsert import IDLE, recover, upsert
@@ -56,7 +57,7 @@ def load(
 def newer_than(raw: DataFrame, watermark: datetime | None) -> DataFrame:
     """Rows loaded strictly after the watermark."""
     floor = watermark or datetime(1970, 1, 1)
-    return raw.where(F.col("loaded_at") > F.lit(floor).cast("timestamp_ntz"))
+    return raw.where(F.col("loaded_at") > moment(floor))
 
 
 def watermark(wh: Warehouse, table: str) -> datetime | None:
@@ -157,7 +158,7 @@ def run(wh: Warehouse, now: datetime | None = None, full_refresh: bool = False)
     try:
         build(wh, full_refresh)
     except Exception as error:
-        steps.append((2, "build", "failed", type(error).__name__))
+        steps.append((2, "build", "failed", f"{type(error).__name__}: {error}".splitlines()[0]))
         return report()
     steps.append((2, "build", "passed", f"{wh.table('fact_ball').count()} balls"))
 

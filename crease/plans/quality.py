@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crease.functions import moment
 from crease.sources.tables import Warehouse
 
 # Age of the newest raw row at which the source is late, in hours.
@@ -124,8 +125,8 @@ def freshness(raw: DataFrame, now: datetime | None = None) -> DataFrame:
 
     A table without rows is an error.
     """
-    clock = F.current_timestamp() if now is None else F.lit(now)
-    age = clock.cast("timestamp_ntz") - F.col("last_loaded_at")
+    clock = F.current_timestamp().cast("timestamp_ntz") if now is None else moment(now)
+    age = clock - F.col("last_loaded_at")
 
     def hours(count: int):
         return F.make_dt_interval(hours=F.lit(count))

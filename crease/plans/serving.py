@@ -15,11 +15,15 @@ from crease.functions import fixture_label, innings_label, phase_rank, text_or
 
 TOP_SCORERS = 8
 
+# Fixed value: the choice that leaves a filter open, like None.
+ALL = "All"
+
 
 def _only(rows: DataFrame, **wanted) -> DataFrame:
     for column, value in wanted.items():
-        if value is not None:
-            rows = rows.where(F.col(column) == F.lit(value))
+        if value not in (None, ALL):
+            # Match ids are text; comparing them as numbers would keep the filter from the scan.
+            rows = rows.where(F.col(column) == F.lit(str(value) if column == "match_id" else value))
     return rows
 
 

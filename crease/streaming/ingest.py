@@ -14,7 +14,6 @@ def stream_load(
     wh: Warehouse,
     folder: str,
     checkpoint: str,
-    stream_name: str = "stream",
     loaded_at: Column | None = None,
     files_per_batch: int | None = None,
     continuous: bool = False,
@@ -22,12 +21,14 @@ def stream_load(
     """Load files that appear in a folder into the raw table, each of them once.
 
     The checkpoint remembers the files seen. A batch writes its own load partition, so one
-    that is repeated after a failure replaces what it wrote before. By default the query takes
-    what is there and stops; ``continuous`` keeps it waiting for more.
+    that is repeated after a failure replaces what it wrote before; the partition carries the
+    id that the checkpoint gave the stream, so a stream begun anew never meets an old one's.
+    By default the query takes what is there and stops; ``continuous`` keeps it waiting.
     """
 
     def write_batch(files: DataFrame, batch_id: int) -> None:
-        load(wh, files, f"{stream_name}-{batch_id}", loaded_at, skip_present=False)
+        stream = wh.spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
+        load(wh, files, f"{stream}-{batch_id}", loaded_at, skip_present=False)
 
     writer = (
         stream_folder(wh.spark, folder, files_per_batch)

@@ -75,6 +75,8 @@ def test_boards(league_of_three):
         ("A1", 0, 6.0),
         ("A2", 0, None),  # only wides
     ]
+    every = serving.bowling_board(league_of_three["v_bowling"], 1, "All")
+    assert dicts(every, "rank") == bowling  # a number for the id, "All" for the team
     team = dicts(serving.bowling_board(league_of_three["v_bowling"], "1", "A"), "rank")
     assert [r["bowler"] for r in team] == ["A1", "A2"]
     scorers = dicts(serving.top_scorers(league_of_three["v_batting"], "1", places=2), "rank")

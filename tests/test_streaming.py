@@ -34,6 +34,10 @@ def test_files_are_taken_once_as_they_arrive(spark, warehouse, tmp_path):
     build(wh)
     assert wh.table("fact_ball").count() == 3
 
+    # A stream begun anew loads everything once more and takes nothing of the old one's away.
+    stream_load(wh, str(folder), str(tmp_path / "other")).awaitTermination()
+    assert sorted(r.match_id for r in wh.table("raw_match_json").collect()) == ["1", "1", "2", "2"]
+
 
 def test_stream_equals_batch(spark, warehouse, tmp_path):
     import __spark_entry__ as registered
