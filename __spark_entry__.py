@@ -27,7 +27,7 @@ from crease.operators.copies import latest_copies  # noqa: E402
 from crease.plans import build, career, narrative, quality, serving  # noqa: E402
 from crease.session import shared_folder  # noqa: E402
 from crease.sources import landing  # noqa: E402
-from crease.sources.tables import Warehouse  # noqa: E402
+from crease.sources.tables import Warehouse, buckets_for  # noqa: E402
 from crease.streaming.ingest import stream_load  # noqa: E402
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
@@ -54,7 +54,9 @@ def _once(
         if key not in _built:
             folder = _folder(spark, sf_dir, purpose)
             database = f"crease_{purpose}_{md5(folder.encode()).hexdigest()[:8]}"
-            warehouse = Warehouse(spark, folder, database)
+            balls = spark.read.parquet(f"{sf_dir}/events.parquet").count()
+            buckets = buckets_for(balls, spark.sparkContext.defaultParallelism)
+            warehouse = Warehouse(spark, folder, database, buckets)
             fill(warehouse)
             _built[key] = warehouse
         return _built[key]

@@ -24,6 +24,15 @@ from crease.session import shared_folder
 
 MOST_PARTS = 256
 
+# Some 200 MB of the fact, and a count that Spark still accepts.
+BALLS_PER_BUCKET = 5_000_000
+MOST_BUCKETS = 65_536
+
+
+def buckets_for(balls: int, cores: int) -> int:
+    """A bucket count for an expected number of balls, at least one for each core."""
+    return min(max(cores, -(-balls // BALLS_PER_BUCKET)), MOST_BUCKETS)
+
 
 @dataclass(frozen=True)
 class Layout:
