@@ -12,6 +12,7 @@ from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
 from hashlib import md5
+from importlib.util import find_spec
 from pathlib import Path
 from threading import Lock
 
@@ -30,6 +31,12 @@ from crease.sources import landing  # noqa: E402
 from crease.sources.tables import Warehouse, buckets_for  # noqa: E402
 from crease.streaming.ingest import stream_load  # noqa: E402
 
+if find_spec("crease.llm") and find_spec("corpus_pipeline"):
+    import corpus_pipeline
+    from crease.llm import queries as llm
+else:  # the engine stands without its training-data operators
+    llm = None
+
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 
 _built: dict[tuple[str, str, str], Warehouse] = {}
@@ -332,8 +339,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "freshness": freshness,
         "quality_report": quality_report,
         "pipeline_report": pipeline_report,
+        **(llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return league_sql.statements()
+    return league_sql.statements() | (llm.oracle_sql() if llm else {})
