@@ -54,3 +54,32 @@ SELECT doc_id, size::BIGINT AS size, source_size, target,
          * size AS taken
 FROM laid
 """
+
+NEAR_DEDUP = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, coalesce(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+'), []) AS w
+    FROM documents
+),
+sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN []
+        ELSE list_distinct([w[i:i + 4] FOR i IN range(1, greatest(len(w) - 3, 2))]) END AS s
+    FROM words
+),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+links AS (
+    SELECT a.doc_id AS u, b.doc_id AS v
+    FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n
+    HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+),
+reach AS (
+    SELECT doc_id AS id, doc_id AS other FROM documents
+    UNION
+    SELECT r.id, l.v FROM reach r JOIN links l ON l.u = r.other
+),
+least AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, component_id, s.doc_id = component_id AS kept
+FROM sets s JOIN least ON s.doc_id = least.id
+"""

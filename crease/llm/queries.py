@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crease.llm import mixing, oracle, quality_rules
+from crease.llm import fingerprints, mixing, near_dedup, oracle, quality_rules
 from crease.llm.tables import table
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return fingerprints.edit_checks(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and weak supervision over all documents."""
     rows = quality_rules.judged(table(spark, sf_dir, "documents"))
@@ -26,6 +31,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near copies among all documents."""
+    return near_dedup.groups(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sources mixed to their target weights."""
     rows = mixing.copies(table(spark, sf_dir, "documents"))
@@ -34,10 +44,12 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_fingerprints": op1_fingerprints,
         "op3_quality_rules": op3_quality_rules,
+        "op5_near_dedup": op5_near_dedup,
         "op7_mixing": op7_mixing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mixing": oracle.MIXING}
+    return {"op5_near_dedup": oracle.NEAR_DEDUP, "op7_mixing": oracle.MIXING}
