@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from crease.llm import fingerprints, mixing, near_dedup, oracle, quality_rules
+from crease.llm import fingerprints, mixing, near_dedup, oracle, quality_rules, token_files
 from crease.llm.tables import table
 
 
@@ -42,12 +43,19 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents, written to files and read back."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_files.round_trip(table(spark, sf_dir, "documents"), path)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprints": op1_fingerprints,
         "op3_quality_rules": op3_quality_rules,
         "op5_near_dedup": op5_near_dedup,
         "op7_mixing": op7_mixing,
+        "op10_token_files": op10_token_files,
     }
 
 
