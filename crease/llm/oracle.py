@@ -83,3 +83,45 @@ least AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
 SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, component_id, s.doc_id = component_id AS kept
 FROM sets s JOIN least ON s.doc_id = least.id
 """
+
+LINE_DEDUP = r"""
+WITH lines AS (
+    SELECT doc_id, text, unnest(string_split(text, chr(10))) AS x,
+           generate_subscripts(string_split(text, chr(10)), 1) AS line
+    FROM documents WHERE text IS NOT NULL
+),
+counted AS (
+    SELECT doc_id, line, x, regexp_matches(x, '[^\x20\x09-\x0D]') AS worded,
+           len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) >= 10 AS long
+    FROM lines
+),
+sequences AS (
+    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line) AS seq FROM counted WHERE worded
+),
+windows AS (
+    SELECT doc_id, seq, 1 AS h, [x] AS w, long AS counts FROM sequences
+    UNION ALL
+    SELECT doc_id, seq, 2, [x, lead(x) OVER d], long OR lead(long) OVER d FROM sequences
+    WINDOW d AS (PARTITION BY doc_id ORDER BY seq)
+    UNION ALL
+    SELECT doc_id, seq, 3, [x, lead(x) OVER d, lead(x, 2) OVER d], true FROM sequences
+    WINDOW d AS (PARTITION BY doc_id ORDER BY seq)
+),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY w ORDER BY doc_id, seq) > 1 AS later
+    FROM windows WHERE w[h] IS NOT NULL
+),
+covered AS (
+    SELECT DISTINCT doc_id, unnest(range(seq, seq + h)) AS seq FROM placed WHERE later AND counts
+),
+gone AS (SELECT doc_id, line FROM sequences JOIN covered USING (doc_id, seq)),
+kept AS (
+    SELECT c.doc_id, count(g.line) AS removed,
+           string_agg(c.x, chr(10) ORDER BY c.line) FILTER (g.line IS NULL) AS text
+    FROM counted c LEFT JOIN gone g ON c.doc_id = g.doc_id AND c.line = g.line
+    GROUP BY c.doc_id
+)
+SELECT d.doc_id, coalesce(removed, 0)::INTEGER AS removed,
+       CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(k.text, '')) END AS kept_sha256
+FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""

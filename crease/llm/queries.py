@@ -6,8 +6,17 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from crease.llm import fingerprints, mixing, near_dedup, oracle, quality_rules, token_files
+from pyspark.sql import functions as F
+
+from crease.llm import (
+    fingerprints,
+    line_dedup,
+    mixing,
+    near_dedup,
+    oracle,
+    quality_rules,
+    token_files,
+)
 from crease.llm.tables import table
 
 
@@ -43,6 +52,12 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated runs of lines deleted from all documents."""
+    rows = line_dedup.deduplicated(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents, written to files and read back."""
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -55,9 +70,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_quality_rules": op3_quality_rules,
         "op5_near_dedup": op5_near_dedup,
         "op7_mixing": op7_mixing,
+        "op9_line_dedup": op9_line_dedup,
         "op10_token_files": op10_token_files,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_near_dedup": oracle.NEAR_DEDUP, "op7_mixing": oracle.MIXING}
+    return {"op5_near_dedup": oracle.NEAR_DEDUP, "op7_mixing": oracle.MIXING, "op9_line_dedup": oracle.LINE_DEDUP}
