@@ -14,6 +14,7 @@ from crease.llm import (
     mixing,
     near_dedup,
     oracle,
+    pieces,
     quality_rules,
     token_files,
 )
@@ -25,6 +26,20 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edit_checks(table(spark, sf_dir, "documents"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents, and the digest of the texts that they decode to."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    tokens = pieces.encoded(table(spark, sf_dir, "documents"), path)
+    return pieces.decoded(tokens, path).select(
+        "doc_id",
+        "n_tokens",
+        "n_bytes",
+        "score",
+        F.crc32("ids").alias("ids_crc32"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and weak supervision over all documents."""
     rows = quality_rules.judged(table(spark, sf_dir, "documents"))
@@ -67,6 +82,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprints": op1_fingerprints,
+        "op2_sentencepiece": op2_sentencepiece,
         "op3_quality_rules": op3_quality_rules,
         "op5_near_dedup": op5_near_dedup,
         "op7_mixing": op7_mixing,
