@@ -15,6 +15,7 @@ from crease.llm import (
     near_dedup,
     oracle,
     pieces,
+    quality_classifier,
     quality_rules,
     token_files,
 )
@@ -56,6 +57,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, learned from the labelled ones that aren't held out."""
+    documents, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return quality_classifier.scored(documents, labels)
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near copies among all documents."""
     return near_dedup.groups(table(spark, sf_dir, "documents"))
@@ -84,6 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_fingerprints": op1_fingerprints,
         "op2_sentencepiece": op2_sentencepiece,
         "op3_quality_rules": op3_quality_rules,
+        "op4_quality_classifier": op4_quality_classifier,
         "op5_near_dedup": op5_near_dedup,
         "op7_mixing": op7_mixing,
         "op9_line_dedup": op9_line_dedup,
