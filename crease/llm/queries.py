@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from crease.llm import (
     fingerprints,
     line_dedup,
+    lm_scoring,
     mixing,
     near_dedup,
     oracle,
@@ -68,6 +69,11 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.groups(table(spark, sf_dir, "documents"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a model of those that aren't held out."""
+    return lm_scoring.scored(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sources mixed to their target weights."""
     rows = mixing.copies(table(spark, sf_dir, "documents"))
@@ -93,6 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_quality_rules": op3_quality_rules,
         "op4_quality_classifier": op4_quality_classifier,
         "op5_near_dedup": op5_near_dedup,
+        "op6_lm_scoring": op6_lm_scoring,
         "op7_mixing": op7_mixing,
         "op9_line_dedup": op9_line_dedup,
         "op10_token_files": op10_token_files,
