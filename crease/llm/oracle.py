@@ -125,3 +125,27 @@ SELECT d.doc_id, coalesce(removed, 0)::INTEGER AS removed,
        CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(k.text, '')) END AS kept_sha256
 FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
+
+SUBSTRING_DEDUP = r"""
+WITH words AS (
+    SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM words WHERE len(w) >= 35),
+windows AS (
+    SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS x FROM starts
+),
+repeated AS (SELECT doc_id, i, count(*) OVER (PARTITION BY x) > 1 AS again FROM windows),
+gone AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM repeated WHERE again
+),
+each AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM words),
+kept AS (
+    SELECT e.doc_id, count(g.i) AS n_removed,
+           string_agg(e.word, ' ' ORDER BY e.i) FILTER (g.i IS NULL) AS text
+    FROM each e LEFT JOIN gone g ON e.doc_id = g.doc_id AND e.i = g.i
+    GROUP BY e.doc_id
+)
+SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256
+FROM words w LEFT JOIN kept k ON w.doc_id = k.doc_id
+"""

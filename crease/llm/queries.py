@@ -18,6 +18,7 @@ from crease.llm import (
     pieces,
     quality_classifier,
     quality_rules,
+    substring_dedup,
     token_files,
 )
 from crease.llm.tables import table
@@ -80,6 +81,12 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of repeated windows removed from all documents."""
+    rows = substring_dedup.deduplicated(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated runs of lines deleted from all documents."""
     rows = line_dedup.deduplicated(table(spark, sf_dir, "documents"))
@@ -101,10 +108,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_near_dedup": op5_near_dedup,
         "op6_lm_scoring": op6_lm_scoring,
         "op7_mixing": op7_mixing,
+        "op8_substring_dedup": op8_substring_dedup,
         "op9_line_dedup": op9_line_dedup,
         "op10_token_files": op10_token_files,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_near_dedup": oracle.NEAR_DEDUP, "op7_mixing": oracle.MIXING, "op9_line_dedup": oracle.LINE_DEDUP}
+    return {"op5_near_dedup": oracle.NEAR_DEDUP, "op7_mixing": oracle.MIXING, "op8_substring_dedup": oracle.SUBSTRING_DEDUP, "op9_line_dedup": oracle.LINE_DEDUP}
