@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crease.llm.tables import pieces, stored, utf8
 
@@ -114,22 +115,31 @@ def measures(text: bytes) -> tuple[int, ...]:
     )
 
 
-def measured(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id`` (and columns named in ``extra``) with the measures of each whole text."""
-    given = docs.select(F.col("doc_id").cast("long"), *extra, F.col("text").cast("string"))
-    names = [c for c in given.columns if c != "text"]
+def measured(docs: DataFrame) -> DataFrame:
+    """``row``, with the columns of the input, and the measures of each whole text."""
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
+    at = docs.columns.index("text")
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
-            rows = [measures(t) for t in utf8(batch.column("text"))]
-            values = np.array(rows, np.int64).T
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in names], *map(pa.array, values)],
-                [*names, *_MEASURES],
+        for batch in batches:
+            texts = pa.RecordBatch.from_arrays(
+                [batch.column("row").field(at), pa.array(range(batch.num_rows))], ["text", "at"]
             )
-
-    types = [f"`{c}` {t}" for c, t in given.dtypes if c != "text"]
-    return given.mapInArrow(made, ", ".join([*types, *[f"{m} long" for m in _MEASURES]]))
+            for piece in pieces([texts]):
+                values = np.array([measures(t) for t in utf8(piece.column("text"))], np.int64).T
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("row").slice(piece.column("at")[0].as_py(), piece.num_rows),
+                        *map(pa.array, values),
+                    ],
+                    ["row", *_MEASURES],
+                )
+
+    schema = T.StructType(
+        [T.StructField("row", rows.schema["row"].dataType)]
+        + [T.StructField(m, T.LongType()) for m in _MEASURES]
+    )
+    return rows.mapInArrow(made, schema)
 
 
 def vote(rule: Rule) -> Column:
@@ -189,13 +199,17 @@ def probability(accuracies: np.ndarray) -> Column:
     return 1 / (1 + F.exp(-reduce(add, terms)))
 
 
-def judged(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Measures, votes, ``base_failed``, ``probability`` and ``kept`` of each document.
+def _voted(docs: DataFrame) -> DataFrame:
+    return measured(docs).withColumns({f"vote_{r.name}": vote(r) for r in RULES})
+
+
+def judged(docs: DataFrame) -> DataFrame:
+    """``doc_id``, measures, votes, ``base_failed``, ``probability`` and ``kept`` of each document.
 
     Texts are read once; their measures, a few numbers a document, are stored for the verdicts.
     """
-    votes = {f"vote_{r.name}": vote(r) for r in RULES}
-    rows = stored(measured(docs, extra), "measures").withColumns(votes)
+    votes = _voted(docs.select(F.col("doc_id").cast("long"), "text"))
+    rows = stored(votes.select("row.doc_id", *votes.columns[1:]), "measures")
     accuracies = learned(rows)
     return (
         rows.withColumn("base_failed", base_failed())
@@ -205,10 +219,10 @@ def judged(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The documents that are kept, with the columns and rows of the input."""
-    votes = {f"vote_{r.name}": vote(r) for r in RULES}
-    row = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
-    rows = measured(docs.select("doc_id", "text", row), ("row",)).withColumns(votes)
-    accuracies = learned(measured(docs).withColumns(votes))
+    """The documents that are kept, with the columns and rows of the input.
+
+    Texts are read twice, once for the votes' counts and once for the verdicts, and not shuffled.
+    """
+    accuracies = learned(_voted(docs.select("text")))
     good = ~base_failed() & (probability(accuracies) >= KEEP)
-    return rows.where(good).select("row.*")
+    return _voted(docs).where(good).select("row.*")
