@@ -108,44 +108,44 @@ def _slice(slices: str) -> Column:
     return F.expr(f"pmod(xxhash64(node), {slices})")
 
 
-def links_in_groups(
-    rows: DataFrame,
+def linked_components(
+    members: DataFrame,
+    payloads: DataFrame,
     size: int,
     weight: float,
     prepare: Callable[[list[bytes]], list],
     alike: Alike,
 ) -> DataFrame:
-    """Links ``a``, ``b`` that connect whatever ``alike`` connects within each group.
+    """Components, as :func:`components` gives them, of what ``alike`` links within each group.
 
-    ``rows`` has ``group`` and ``node`` (long), ``payload`` (text or binary) and ``weight``; it is
-    read several times. A slice has about ``size`` rows and ``weight`` in all, or one row.
+    ``members`` has ``group``, ``node`` (long) and ``weight``, ``payloads`` has ``node`` and
+    ``payload`` (text or binary); both are read several times. A slice has about ``size`` rows and
+    ``weight`` in all, or one row.
     """
-    groups = (
-        rows.groupBy("group")
+    slices = f"cast(greatest(ceil(n / {size}), ceil(w / {weight})) as long)"
+    groups = stored(
+        members.groupBy("group")
         .agg(F.count("*").alias("n"), F.min("node").alias("lead"), F.sum("weight").alias("w"))
         .where("n > 1")
-        .withColumn("slices", F.expr(f"cast(greatest(ceil(n / {size}), ceil(w / {weight})) as long)"))
+        .select("group", "lead", F.expr(slices).alias("slices")),
+        "groups",
     )
-    groups = stored(groups.select("group", "lead", "slices"), "groups")
-    placed = rows.join(groups, "group").withColumn("slice", _slice("slices"))
+    placed = members.join(groups, "group").withColumn("slice", _slice("slices"))
     everywhere = F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)
+    own = F.when(F.col("node") == F.col("lead"), everywhere).otherwise(F.array("slice"))
     first = placed.select(
-        "group",
         "node",
-        "payload",
         F.lit(0).alias("role"),
-        F.explode(
-            F.when(F.col("node") == F.col("lead"), everywhere).otherwise(F.array("slice"))
-        ).alias("slice"),
-    ).withColumn("unit", F.array("group", F.lit(0).cast("long"), "slice"))
-    found = stored(_compared(first, prepare, alike), "links")
+        F.explode(F.transform(own, lambda s: F.array(F.col("group"), F.lit(0), s))).alias("unit"),
+    )
+    found = _compared(first.join(payloads, "node"), prepare, alike)
+    labels = components(found)
     large = groups.where("slices > 1")
     if large.isEmpty():
-        return found
+        return labels
 
-    labels = components(found)
     sliced = (
-        rows.join(large, "group")
+        members.join(large, "group")
         .withColumn("slice", _slice("slices"))
         .join(labels, "node", "left")
         .withColumn("component", F.coalesce("component", "node"))
@@ -159,52 +159,69 @@ def links_in_groups(
                 F.expr(f"cast(ceil((`all` - home.count) / {size}) as long)").alias("blocks"))
         .where("blocks > 0")
     )
-    apart = sliced.join(homes, "group")
+    apart = stored(sliced.join(homes, "group"), "apart")
     blocks = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
     strays = apart.where("component != home").select(
-        "group", "node", "payload", F.lit(0).alias("role"),
+        "group", "node", F.lit(0).alias("role"),
         _slice("blocks").alias("block"), F.explode(everywhere).alias("slice"),
     )
-    members = apart.select(
-        "group", "node", "payload", F.lit(1).alias("role"),
-        F.explode(blocks).alias("block"), "slice",
-    )
-    second = strays.unionByName(members).withColumn("unit", F.array("group", "block", "slice"))
-    return found.unionByName(stored(_compared(second, prepare, alike), "links"))
+    others = apart.select(
+        "group", "node", F.lit(1).alias("role"), F.explode(blocks).alias("block"), "slice"
+    )
+    second = strays.unionByName(others).select(
+        "node", "role", F.array("group", "block", "slice").alias("unit")
+    )
+    more = _compared(second.join(payloads, "node"), prepare, alike)
+
+    def label(column: str) -> DataFrame:
+        return labels.withColumnsRenamed({"node": column, "component": f"{column}_component"})
+
+    contracted = (
+        more.join(label("a"), "a", "left")
+        .join(label("b"), "b", "left")
+        .select(F.coalesce("a_component", "a").alias("a"), F.coalesce("b_component", "b").alias("b"))
+    )
+    later = components(contracted)
+    joined = labels.join(later.toDF("component", "least"), "component", "left").select(
+        "node", F.coalesce("least", "component").alias("component")
+    )
+    alone = later.join(labels, "node", "left_anti")
+    return stored(joined.unionByName(alone), "labels")
+
+
+#: Edges that a task of a round works on, about.
+EDGES = 20_000
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``component``, the smallest node reachable, for every node with an edge.
 
-    Each round gives every node the neighbour (or itself) of least priority, drawn anew by hash,
-    follows these choices twice, and contracts the edges. The number of nodes left falls by a
-    fraction each round, whatever the shape of the graph. Every round is written to the shared
-    folder; nothing of the graph reaches the driver.
+    Each round gives every node the neighbour (or itself) of least priority, drawn anew by hash, and
+    contracts the edges. The number of nodes left falls by a fraction each round, whatever the shape
+    of the graph. Every round is written to the shared folder, in as many files as its edges
+    need; nothing of the graph reaches the driver.
     """
     rest = stored(edges.where("a != b").distinct(), "edges")
     maps: list[DataFrame] = []
-    while not rest.isEmpty():
+    while n := rest.count():
+        tasks = n // EDGES + 1
         both = rest.unionByName(rest.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
         def priority(column: str) -> Column:
             return F.struct(F.xxhash64(F.lit(len(maps)), column).alias("p"), F.col(column).alias("x"))
 
         chosen = both.groupBy(F.col("a").alias("node")).agg(F.min(priority("b")).alias("least"))
-        chosen = stored(
-            chosen.select("node", F.least("least", priority("node"))["x"].alias("to")), "chosen"
-        )
-        twice = chosen.join(chosen.toDF("to", "next"), "to").select("node", F.col("next").alias("to"))
-        thrice = twice.join(chosen.toDF("to", "next"), "to").select("node", F.col("next").alias("to"))
-        moved = stored(thrice, "moved")
-        maps.append(moved)
-        rest = stored(
-            rest.join(moved.toDF("a", "x"), "a")
-            .join(moved.toDF("b", "y"), "b")
+        chosen = chosen.select("node", F.least("least", priority("node"))["x"].alias("to"))
+        chosen = stored(chosen.coalesce(tasks), "chosen")
+        maps.append(chosen)
+        moved = (
+            rest.join(chosen.toDF("a", "x"), "a")
+            .join(chosen.toDF("b", "y"), "b")
             .where("x != y")
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-            .distinct(),
-            "edges",
+            .distinct()
         )
+        rest = stored(moved.coalesce(tasks), "edges")
     if not maps:
         return edges.sparkSession.createDataFrame([], "node long, component long")
     labels = maps[0]
@@ -214,4 +231,4 @@ def components(edges: DataFrame) -> DataFrame:
         )
     labels = stored(labels, "labels")
     least = labels.groupBy("to").agg(F.min("node").alias("component"))
-    return labels.join(least, "to").select("node", "component")
+    return stored(labels.join(least, "to").select("node", "component"), "labels")

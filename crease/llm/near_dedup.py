@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crease.llm.links import components, links_in_groups
+from crease.llm.links import linked_components
 from crease.llm.tables import pieces, stored, utf8
 from crease.llm.words import minima, mixed, shingle_sets, shingles
 
@@ -184,27 +184,21 @@ def groups(
         ),
         "classes",
     )
-    buckets = classes.select("node", F.explode("bands").alias("group"))
-    full = buckets.groupBy("group").agg(F.count("*").alias("n")).where("n > 1").select("group")
-    met = stored(buckets.join(full, "group"), "buckets")
-    sketches = classes.select("node", F.col("sketch").alias("payload"), F.lit(0.0).alias("weight"))
-    rows = stored(met.join(sketches, "node"), "met")
+    buckets = classes.select("node", F.explode("bands").alias("group"), F.lit(0.0).alias("weight"))
+    sketches = classes.select("node", F.col("sketch").alias("payload"))
     slack = 5 * (threshold * (1 - threshold) / REGISTERS) ** 0.5
-    candidates = links_in_groups(
-        rows, SKETCHES, 1, _read_sketches, partial(alike_sketches, least=threshold - slack)
-    )
-    clusters = stored(
-        components(candidates)
-        .join(classes.select("node", F.col("n_shingles").cast("double").alias("weight")), "node")
-        .withColumnRenamed("component", "group"),
-        "clusters",
+    candidates = linked_components(
+        buckets, sketches, SKETCHES, 1, _read_sketches, partial(alike_sketches, least=threshold - slack)
     )
+    sizes = classes.select("node", F.col("n_shingles").cast("double").alias("weight"))
+    clusters = candidates.withColumnRenamed("component", "group").join(sizes, "node")
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").alias("payload"))
-    sets = stored(texts.where("payload is not null").join(clusters, "node"), "cluster-texts")
-    verified = links_in_groups(
-        sets, SETS, SHINGLES, shingle_sets, partial(alike_sets, threshold=threshold)
+    sets = stored(
+        texts.where("payload is not null").join(candidates.select("node"), "node"), "cluster-texts"
+    )
+    labels = linked_components(
+        clusters, sets, SETS, SHINGLES, shingle_sets, partial(alike_sets, threshold=threshold)
     )
-    labels = components(verified)
     named_classes = classes.select(*keys, "node").join(labels, "node", "left")
     member = named_classes.select(*keys, F.coalesce("component", "node").alias("component_id"))
     alone = F.col("n_shingles") == 0
