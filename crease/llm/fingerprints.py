@@ -100,7 +100,8 @@ def _in_order(docs: DataFrame) -> DataFrame:
     )
     n = partitions(spark)
     found = rows.select("place").where("place > double('-inf')")
-    edges = sorted(set(found.approxQuantile("place", [k / n for k in range(1, n)], 0.2 / n)))
+    shares = [k / n for k in range(1, n)]
+    edges = sorted({*found.approxQuantile("place", shares, 0.2 / n)}) if shares else []
     splits = [float("-inf"), *edges, float("inf")]
     if len(splits) > 2:
         placed = Bucketizer(splits=splits, inputCol="place", outputCol="bucket").transform(rows)

@@ -4,10 +4,9 @@ The vocabulary (pieces, scores, byte pieces) comes from a SentencePiece model fi
 normalised as that file's model does it, without changing characters: a space before it, spaces
 written as U+2581. Its ids are those of the segmentation whose scores add up to most; a character
 without a piece costs the least score less ten and becomes its bytes. Of equal sums the one whose
-last piece is longest wins, at every place. This is the segmentation of a unigram model; a model file
-trained by merges has scores too (minus the rank of a merge), but the library itself would
-replay the merges for it, so ids differ from the library's unless it is told to read the file as
-unigram (see the tests). Decoding gives back every text exactly; U+2581 itself is encoded as bytes.
+last piece is longest wins, at every place. This is the best path of a unigram model; a model file
+trained by merges has scores too (minus the rank of a merge), but for such a file the library replays
+the merges, so its ids differ (the tests compare with its lattice search instead). Decoding gives back every text exactly; U+2581 itself is encoded as bytes.
 
 Texts longer than ``CHUNK`` are split into chunks that tasks work on apart. A piece may reach over a
 chunk's end, so a boundary's state is how far. A chunk yields a matrix: the best score from each
