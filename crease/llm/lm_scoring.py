@@ -28,6 +28,7 @@ from __future__ import annotations
 import heapq
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -39,13 +40,13 @@ from pyspark.sql import functions as F
 from crease.llm.tables import partitions, pieces, stored, utf8
 from crease.llm.words import mixed
 
-FREQUENT = 1 << 17
-MOST_SLOTS = 22
-LANE = 64
+FREQUENT = 1 << 16
+MOST_SLOTS = 20
+LANE = 32
 FOLDS = 5
 #: Documents that weights are fitted on, of one in ``HELD_BACK``, each up to ``LONGEST`` characters.
 TUNED, HELD_BACK, LONGEST = 400, 64, 20_000
-RATE = 0.01
+RATE = 0.02
 ORDERS = 3
 GATES = 16
 #: Counts of a block of the hashed table; bytes of text worked on at a time.
@@ -237,7 +238,7 @@ class Model:
     def decisions(self, texts: list[list[int]]) -> Decisions:
         lengths = np.array([len(t) for t in texts])
         firsts = np.cumsum(lengths) - lengths
-        symbols = np.fromiter((k for t in texts for k in t), np.int64, int(lengths.sum()))
+        symbols = np.fromiter(chain.from_iterable(texts), np.int64, int(lengths.sum()))
         return decisions(self.codes, symbols, firsts, self.slots)
 
     def odds(self, found: Decisions) -> np.ndarray:
