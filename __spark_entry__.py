@@ -10,7 +10,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 from datetime import datetime
-from functools import reduce
+from functools import partial, reduce
 from hashlib import md5
 from importlib.util import find_spec
 from pathlib import Path
@@ -21,13 +21,12 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+import league  # noqa: E402
 import league_sql  # noqa: E402
-from crease import league  # noqa: E402
 from crease.operators import staging  # noqa: E402
 from crease.operators.copies import latest_copies  # noqa: E402
 from crease.plans import build, career, narrative, quality, serving  # noqa: E402
 from crease.session import shared_folder  # noqa: E402
-from crease.sources import landing  # noqa: E402
 from crease.sources.tables import Warehouse, buckets_for  # noqa: E402
 from crease.streaming.ingest import stream_load  # noqa: E402
 
@@ -38,6 +37,8 @@ else:  # the engine stands without its training-data operators
     llm = None
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
+#: What the queries that take a parameter are asked for.
+ONE_MATCH, ONE_SEASON, ONE_PLAYER = "100002", 2008, "T2_P5"
 
 _built: dict[tuple[str, str, str], Warehouse] = {}
 _lock = Lock()
@@ -88,9 +89,8 @@ def raw_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     def fill(wh: Warehouse) -> None:
         folder = f"{wh.root}/landing"
         league.write_files(_documents(spark, sf_dir), folder)
-        files = landing.read_folder(spark, folder)
-        build.load(wh, files, "folder", league.load_stamp())
-        build.load(wh, files, "folder-again", league.load_stamp(1))
+        build.load_folder(wh, folder, "folder", league.load_stamp())
+        build.load_folder(wh, folder, "folder-again", league.load_stamp(1))
 
     raw = _once(spark, sf_dir, "folder", fill).table("raw_match_json")
     return _stamped(raw).select("match_id", "file_name", "loaded_at")
@@ -106,6 +106,46 @@ def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _once(spark, sf_dir, "rejects", fill).rejects().select("file_name", "reason")
 
 
+def repaired_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Broken files first, sound ones of the same names after; what is still turned away."""
+
+    def fill(wh: Warehouse) -> None:
+        files = _documents(spark, sf_dir)
+        build.load(wh, league.defective(files), "broken", F.lit("2024-01-01 00:00:00"))
+        build.load(wh, files, "repaired", F.lit("2024-01-02 00:00:00"))
+
+    wh = _once(spark, sf_dir, "repaired", fill)
+    sound = wh.table("raw_match_json").select("file_name", F.lit("accepted").alias("outcome"))
+    return sound.unionByName(wh.rejects().select("file_name", F.col("reason").alias("outcome")))
+
+
+def _late_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Every fourth match loaded and built after the others, but stamped before them."""
+
+    def fill(wh: Warehouse) -> None:
+        files = _documents(spark, sf_dir)
+        match = F.regexp_substr("file_name", F.lit(r"\d+")).cast("long") - league.FIRST_MATCH_ID
+        for load_id, part, day in (("timely", match % 4 != 3, 2), ("late", match % 4 == 3, 1)):
+            build.load(wh, files.where(part), load_id, F.lit(f"2024-01-0{day} 00:00:00"))
+            build.build(wh)
+
+    return _once(spark, sf_dir, "late", fill)
+
+
+def late_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matches after a load stamped earlier than one already built."""
+    return _late_warehouse(spark, sf_dir).table("dim_match")
+
+
+def late_players(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _late_warehouse(spark, sf_dir).table("dim_player")
+
+
+def unmerged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted matches that tables lack, where a load came with an early stamp."""
+    return build.unmerged(_late_warehouse(spark, sf_dir))
+
+
 def latest_of_two_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every match loaded twice; the later copy stays."""
     raw = league_warehouse(spark, sf_dir).table("raw_match_json").drop("raw_variant")
@@ -175,9 +215,11 @@ def fact_ball_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stamped(_once(spark, sf_dir, "incremental", fill).table("fact_ball"))
 
 
-def match_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The scorecards of all matches in one list."""
-    cards = serving.scorecard(build.gold_views(league_warehouse(spark, sf_dir)))
+def match_scorecard(
+    spark: SparkSession, sf_dir: str, match_id: str | None = None
+) -> DataFrame:
+    """The scorecards of all matches, or of one, in one list."""
+    cards = serving.scorecard(build.gold_views(league_warehouse(spark, sf_dir)), match_id)
 
     def listed(section: str, view: str, name, runs: str, wickets, rate: str) -> DataFrame:
         return cards[view].select(
@@ -302,6 +344,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "raw_ingest": raw_ingest,
         "ingest_rejects": ingest_rejects,
+        "repaired_files": repaired_files,
+        "late_load": late_load,
+        "late_players": late_players,
+        "unmerged": unmerged,
         "latest_copies": latest_of_two_copies,
         "stream_ingest": stream_ingest,
         "stg_matches": stg_matches,
@@ -336,6 +382,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             serving.player_of_match_contribution, "dim_match", "v_batting", "v_bowling"
         ),
         "most_runs_by_season": _view(serving.most_runs_by_season, "v_batting"),
+        "one_match_scorecard": partial(match_scorecard, match_id=ONE_MATCH),
+        "season_matches": _view(partial(serving.match_list, season=ONE_SEASON), "dim_match"),
+        "one_player_career": _view(partial(career.career_batting, player=ONE_PLAYER), "v_batting"),
         "freshness": freshness,
         "quality_report": quality_report,
         "pipeline_report": pipeline_report,

@@ -10,13 +10,14 @@ from pyspark.errors import AnalysisException
 
 from crease.plans import build, quality
 from crease.session import builder
-from crease.sources.landing import read_folder
+from crease.sources.landing import list_folder, read_folder
 from crease.sources.tables import Warehouse
 from crease.streaming.ingest import stream_load
 
 
 def main(arguments: list[str] | None = None) -> int:
     parser = ArgumentParser(prog="crease", description=__doc__)
+    parser.add_argument("--buckets", type=int, help="buckets by match of a new warehouse")
     parser.add_argument("--root", help="warehouse folder, by default in spark.checkpoint.dir")
     steps = parser.add_subparsers(dest="step", required=True)
     loading = steps.add_parser("load", help="load the *.json files of folders")
@@ -33,17 +34,20 @@ def main(arguments: list[str] | None = None) -> int:
     chosen = parser.parse_args(arguments)
 
     spark = builder().getOrCreate()
-    wh = Warehouse(spark, chosen.root)
+    wh = Warehouse(spark, chosen.root, buckets=chosen.buckets)
     if chosen.step == "load":
         try:
-            files = read_folder(spark, chosen.folders)
+            found = not list_folder(spark, chosen.folders).isEmpty()
         except AnalysisException:
-            files = None
-        if files is None or files.isEmpty():
-            print(f"No files matched: {chosen.folders}")
+            found = False
+        if not found:
+            print(f"There is no *.json file in {', '.join(chosen.folders)}")
             return 1
         load_id = datetime.now(UTC).strftime("%Y%m%dT%H%M%S%f")
-        build.load(wh, files, load_id, skip_present=not chosen.again)
+        if chosen.again:
+            build.load(wh, read_folder(spark, chosen.folders), load_id, skip_present=False)
+        else:
+            build.load_folder(wh, chosen.folders, load_id)
     elif chosen.step == "stream":
         checkpoint = f"{wh.root}/checkpoint"
         stream_load(wh, chosen.folder, checkpoint, continuous=chosen.wait).awaitTermination()

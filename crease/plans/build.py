@@ -12,7 +12,7 @@ from crease.operators import gold, marts, staging
 from crease.operators.copies import latest_copies
 from crease.operators.upsert import IDLE, recover, upsert
 from crease.plans import quality
-from crease.sources.landing import parse
+from crease.sources.landing import list_folder, parse, read_files, read_folder
 from crease.sources.tables import Warehouse
 
 
@@ -39,12 +39,14 @@ def load(
     """Parse (file_name, text) rows into the raw table, sound and rejected ones alike.
 
     Every text is read and parsed once; the outcome decides which partition the row lands in.
-    Repeating a load under the same id replaces it. File names loaded under another id are
-    skipped unless ``skip_present`` is off, which re-loads them as newer copies.
+    Repeating a load under the same id replaces it. File names accepted under another id are
+    skipped unless ``skip_present`` is off, which re-loads them as newer copies; a name that was
+    turned away may come again. ``load_folder`` leaves names out before their texts are read.
     """
-    earlier = wh.stored("raw_match_json").where(F.col("load_id") != load_id).select("file_name")
-    if skip_present and not earlier.isEmpty():
-        files = files.join(earlier.distinct(), "file_name", "left_anti")
+    if skip_present:
+        present = _present(wh, load_id)
+        if not present.isEmpty():
+            files = files.join(present, "file_name", "left_anti")
     rows = (
         parse(files, loaded_at)
         .withColumn("info", staging.info())
@@ -54,6 +56,30 @@ def load(
     wh.replace("raw_match_json", rows)
 
 
+def _present(wh: Warehouse, load_id: str) -> DataFrame:
+    """Names of the files accepted under another load id."""
+    accepted = wh.accepted().where(F.col("load_id") != load_id)
+    return accepted.select("file_name").distinct()
+
+
+def load_folder(
+    wh: Warehouse, folders: str | list[str], load_id: str, loaded_at: Column | None = None
+) -> None:
+    """Load the files of folders that aren't there yet; texts of the others are not read.
+
+    The names are listed and compared first. The paths that remain pass through the driver, as the
+    paths of any read do; a first load reads the folders as they are.
+    """
+    present = _present(wh, load_id)
+    if present.isEmpty():
+        load(wh, read_folder(wh.spark, folders), load_id, loaded_at, skip_present=False)
+        return
+    new = list_folder(wh.spark, folders).join(present, "file_name", "left_anti")
+    paths = [row["path"] for row in new.select("path").collect()]
+    if paths:
+        load(wh, read_files(wh.spark, paths), load_id, loaded_at, skip_present=False)
+
+
 def newer_than(raw: DataFrame, watermark: datetime | None) -> DataFrame:
     """Rows loaded strictly after the watermark."""
     floor = watermark or datetime(1970, 1, 1)
@@ -64,21 +90,47 @@ def watermark(wh: Warehouse, table: str) -> datetime | None:
     return wh.table(table).agg(F.max("loaded_at").alias("last")).first()["last"]
 
 
-def arrivals(wh: Warehouse, tables: list[str]) -> dict[str, DataFrame | None]:
-    """For each table the latest copy of each match loaded since it was last brought up to
-    date, or None. Tables at the same watermark share the search for copies."""
-    marks = {table: watermark(wh, table) for table in tables}
-    found = {}
-    for mark in set(marks.values()):
-        newer = newer_than(wh.accepted(), mark)
-        found[mark] = None if newer.isEmpty() else latest_copies(newer)
-    return {table: found[mark] for table, mark in marks.items()}
+def new_balls(wh: Warehouse) -> DataFrame | None:
+    """The latest copy of each match stamped after the newest ball, or None."""
+    newer = newer_than(wh.accepted(), watermark(wh, "fact_ball"))
+    return None if newer.isEmpty() else latest_copies(newer)
+
+
+def new_headers(wh: Warehouse) -> DataFrame | None:
+    """The latest copy of each match that the headers lack or hold in an earlier copy, or None.
+
+    All accepted documents are compared, by narrow columns alone and whatever their stamps: a load
+    may end, and be stamped, before one that was built earlier.
+    """
+    held = wh.table("match_header").select("match_id", F.col("loaded_at").alias("held_at"))
+    latest = latest_copies(wh.accepted())
+    newer = (F.col("match_id") == F.col("held_id")) & (F.col("held_at") >= F.col("loaded_at"))
+    missing = latest.join(held.withColumnRenamed("match_id", "held_id"), newer, "left_anti")
+    return None if missing.isEmpty() else missing
+
+
+def unmerged(wh: Warehouse) -> DataFrame:
+    """(table_name, matches): accepted matches that a table lacks.
+
+    Dimensions lack none after a build. The fact lacks those whose load was stamped at or before the
+    newest ball when it was built: its watermark is strict, and a full refresh takes them in.
+    """
+    accepted = wh.accepted().select("match_id").distinct()
+
+    def lacking(name: str, table: str) -> DataFrame:
+        held = wh.table(table).select("match_id").distinct()
+        return accepted.join(held, "match_id", "left_anti").agg(
+            F.lit(name).alias("table_name"), F.count("*").alias("matches")
+        )
+
+    return lacking("dim_match", "match_header").unionByName(lacking("fact_ball", "fact_ball"))
 
 
 def build(wh: Warehouse, full_refresh: bool = False, replace_match: bool = False) -> None:
     """Bring the marts up to date with the raw table.
 
-    Headers and balls are merged incrementally, dimensions are rebuilt from the headers.
+    Headers and balls are merged incrementally, dimensions are rebuilt from the headers. Headers
+    follow all accepted documents, balls those stamped after the newest ball.
     Documents are shuffled once, by match, before they are opened to balls many times their
     size. A re-loaded match keeps balls that are gone from its new document unless
     ``replace_match`` is set.
@@ -90,9 +142,8 @@ def build(wh: Warehouse, full_refresh: bool = False, replace_match: bool = False
             wh.note(table, IDLE)
         else:
             recover(wh, table, key)
-    new = arrivals(wh, ["match_header", "fact_ball"])
+    headers, documents = new_headers(wh), new_balls(wh)
 
-    headers = new["match_header"]
     if headers is not None:
         upsert(wh, "match_header", wh.by_bucket(staging.match_header(headers)), "match_id")
 
@@ -103,8 +154,8 @@ def build(wh: Warehouse, full_refresh: bool = False, replace_match: bool = False
     wh.replace("dim_player_team", marts.dim_player_team(wh.by_bucket(header)))
     wh.replace("dim_season", marts.dim_season(matches))
 
-    if new["fact_ball"] is not None:
-        documents = new["fact_ball"].select("match_id", "raw_variant", "loaded_at")
+    if documents is not None:
+        documents = documents.select("match_id", "raw_variant", "loaded_at")
         teams = wh.table("dim_team")
         if teams.count() <= BROADCAST_TEAMS:
             balls = marts.fact_ball(wh.by_bucket(documents), F.broadcast(teams))

@@ -21,8 +21,24 @@ REASONS = [
 
 def read_folder(spark: SparkSession, folders: str | list[str]) -> DataFrame:
     """(file_name, text) of each ``*.json`` directly inside the folders, one row per file."""
-    paths = sorted({folders} if isinstance(folders, str) else set(folders))
-    return _named(spark.read.text(paths, wholetext=True, pathGlobFilter="*.json"))
+    return _named(spark.read.text(_paths(folders), wholetext=True, pathGlobFilter="*.json"))
+
+
+def list_folder(spark: SparkSession, folders: str | list[str]) -> DataFrame:
+    """(file_name, path) of the same files; their contents are not read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json")
+    return files.load(_paths(folders)).select(
+        file_name_of(F.col("path")).alias("file_name"), "path"
+    )
+
+
+def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(file_name, text) of files given by path."""
+    return _named(spark.read.text(paths, wholetext=True))
+
+
+def _paths(folders: str | list[str]) -> list[str]:
+    return sorted({folders} if isinstance(folders, str) else set(folders))
 
 
 def stream_folder(

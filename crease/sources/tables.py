@@ -100,16 +100,28 @@ class Warehouse:
         return buckets
 
     def note(self, name: str, value: str) -> None:
-        """Keep a one-word remark beside the tables."""
+        """Keep a one-word remark beside the tables.
+
+        Each goes to a folder of its own with the next number, and none is deleted: a crash leaves
+        the last complete remark in force.
+        """
+        last = self._last_note(name)
         one_row = self.spark.range(1, numPartitions=1).select(F.lit(value).alias("value"))
-        one_row.write.mode("overwrite").json(f"{self.root}/notes/{name}")
+        number = last["number"] + 1 if last else 1
+        one_row.write.mode("overwrite").json(f"{self.root}/notes/{name}/number={number}")
 
     def noted(self, name: str) -> str | None:
+        last = self._last_note(name)
+        return last["value"] if last else None
+
+    def _last_note(self, name: str):
         try:
-            row = self.spark.read.schema("value string").json(f"{self.root}/notes/{name}").first()
+            notes = self.spark.read.schema("value string, number long").json(
+                f"{self.root}/notes/{name}"
+            )
         except AnalysisException:
             return None
-        return row["value"] if row else None
+        return notes.where("value is not null").orderBy(F.desc("number")).first()
 
     def _declare(self, table: str) -> None:
         """Make a table known to the catalog, with the files it may already have."""
@@ -169,8 +181,12 @@ class Warehouse:
         return self.stored("raw_match_json").where("accepted")
 
     def rejects(self) -> DataFrame:
-        turned_away = self.stored("raw_match_json").where("not accepted")
-        return turned_away.select("file_name", "reason", "loaded_at")
+        """Files turned away, as they came last, unless they came again and were accepted."""
+        turned_away = self.stored("raw_match_json").where("not accepted").groupBy("file_name")
+        last = turned_away.agg(
+            F.max(F.struct("loaded_at", "reason")).alias("last")
+        ).select("file_name", "last.reason", "last.loaded_at")
+        return last.join(self.accepted().select("file_name").distinct(), "file_name", "left_anti")
 
     def by_bucket(self, rows: DataFrame) -> DataFrame:
         """Rows shuffled so that each task holds whole buckets."""
@@ -185,20 +201,21 @@ class Warehouse:
             else F.lit(None).cast(field.dataType).alias(field.name)
             for field in self.stored(table).schema
         ]
-        with self._whole_variants():
+        with self._whole_variants(rows.sparkSession):
             rows.select(columns).write.insertInto(self.qualified(table), overwrite=overwrite)
 
     @contextmanager
-    def _whole_variants(self) -> Iterator[None]:
+    def _whole_variants(self, session: SparkSession) -> Iterator[None]:
         """Store variants unshredded: balls are always read together, and putting them back
-        together from hundreds of leaf columns costs more than it saves."""
+        together from hundreds of leaf columns costs more than it saves. The session is that of
+        the rows; a stream's batch has one of its own."""
         setting = "spark.sql.variant.writeShredding.enabled"
-        before = self.spark.conf.get(setting)
-        self.spark.conf.set(setting, "false")
+        before = session.conf.get(setting)
+        session.conf.set(setting, "false")
         try:
             yield
         finally:
-            self.spark.conf.set(setting, before)
+            session.conf.set(setting, before)
 
     def append(self, table: str, rows: DataFrame) -> None:
         self._insert(table, rows, overwrite=False)

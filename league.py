@@ -1,7 +1,7 @@
 """A league of matches derived from the ``events`` table, one delivery per event.
 
-It gives the engine documents whose volume follows the given data. All values are arithmetic
-on an event's own columns, so results can be checked without going through a document.
+It gives tests and measurements of the engine documents whose volume follows the given data. All
+values are arithmetic on an event's own columns, so results can be checked without going through a document.
 """
 
 from __future__ import annotations

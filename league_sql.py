@@ -261,7 +261,7 @@ def _quality_tests() -> str:
 
 def statements() -> dict[str, str]:
     fact = "SELECT * FROM fact_ball"
-    return {
+    every = {
         "raw_ingest": _over("SELECT match_id, file_name, loaded_at FROM raw_match_json"),
         "ingest_rejects": _over(
             """SELECT CASE WHEN mi % 7 = 0 THEN translate(match_id, '0123456789', 'abcdefghij')
@@ -269,6 +269,17 @@ def statements() -> dict[str, str]:
             ['no_match_id', 'invalid_json', 'several_matches', 'missing_meta', 'missing_info',
              'missing_innings', 'bad_season'][mi % 7 + 1] AS reason FROM m"""
         ),
+        "repaired_files": _over(
+            """SELECT file_name, 'accepted' AS outcome FROM raw_match_json
+            UNION ALL SELECT translate(match_id, '0123456789', 'abcdefghij') || '.json',
+              'no_match_id' FROM m WHERE mi % 7 = 0"""
+        ),
+        "late_load": _over("SELECT * FROM dim_match"),
+        "late_players": _over("SELECT * FROM dim_player"),
+        "unmerged": _over(
+            """SELECT 'dim_match' AS table_name, 0::BIGINT AS matches
+            UNION ALL SELECT 'fact_ball', count(*) FROM m WHERE mi % 4 = 3"""
+        ),
         "latest_copies": _over("SELECT match_id, file_name, 2 AS copy FROM raw_match_json"),
         "stream_ingest": _over(
             """SELECT match_id, match_id || '.json' AS file_name, count(*) AS balls
@@ -499,3 +510,12 @@ def statements() -> dict[str, str]:
             UNION ALL SELECT 3, 'test', 'passed', '0 of 45 tests failing'"""
         ),
     }
+
+    def narrowed(name: str, condition: str) -> str:
+        return f"SELECT * FROM ({every[name]}) WHERE {condition}"
+
+    return every | {
+        "one_match_scorecard": narrowed("match_scorecard", "match_id = '100002'"),
+        "season_matches": narrowed("match_list", "season = 2008"),
+        "one_player_career": narrowed("career_batting", "batter = 'T2_P5'"),
+    }

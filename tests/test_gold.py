@@ -4,7 +4,7 @@ from documents import ball, dicts, fact, innings, match, wicket
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from crease import league
+import league
 from crease.functions import phase
 from crease.operators import gold
 

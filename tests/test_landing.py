@@ -5,8 +5,8 @@ import json
 from documents import ball, files, innings, match
 from pyspark.sql import functions as F
 
-from crease.plans.build import load
-from crease.sources.landing import parse, read_folder
+from crease.plans.build import load, load_folder
+from crease.sources.landing import list_folder, parse, read_folder
 
 
 def reasons(spark, documents):
@@ -88,7 +88,7 @@ def test_loads_repeat_without_copies(spark, warehouse):
     load(wh, files(spark, documents), "second")  # files already present
     assert stored() == (1, 1)
     load(wh, files(spark, documents), "third", skip_present=False)  # wanted again
-    assert stored() == (2, 2)
+    assert stored() == (2, 1)  # a file turned away again is listed as it came last
     assert wh.rejects().first().reason == "invalid_json"
     assert wh.table("raw_match_json").columns == [
         "match_id",
@@ -96,3 +96,27 @@ def test_loads_repeat_without_copies(spark, warehouse):
         "raw_variant",
         "loaded_at",
     ]
+
+
+def test_a_repaired_file_is_taken(spark, warehouse):
+    wh = warehouse()
+    load(wh, files(spark, {"1.json": "{", "2.json": "{"}), "broken")
+    load(wh, files(spark, {"1.json": match(innings("A", [ball()])), "2.json": "["}), "repaired")
+    assert [r.match_id for r in wh.table("raw_match_json").collect()] == ["1"]
+    assert [tuple(r)[:2] for r in wh.rejects().collect()] == [("2.json", "invalid_json")]
+
+
+def test_names_come_first_and_only_new_texts_are_read(spark, warehouse, tmp_path):
+    wh, folder = warehouse(), tmp_path / "landing"
+    folder.mkdir()
+    document = json.dumps(match(innings("A", [ball()])))
+    (folder / "1.json").write_text(document)
+    load_folder(wh, str(folder), "first")
+    (folder / "2.json").write_text(document)
+    (folder / "1.json").write_text("{")  # present, so it is not looked into
+    load_folder(wh, str(folder), "second")
+    load_folder(wh, str(folder), "third")
+    names = wh.stored("raw_match_json").select("file_name", "load_id").collect()
+    assert sorted(map(tuple, names)) == [("1.json", "first"), ("2.json", "second")]
+    plan = list_folder(spark, str(folder))._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan

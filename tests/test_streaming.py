@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 from documents import ball, innings, match
 from pyspark.sql import functions as F
 
 from crease.operators import staging
-from crease.plans.build import build
+from crease.plans.build import build, load_folder
 from crease.streaming.ingest import stream_load
 
 
@@ -47,3 +48,22 @@ def test_stream_equals_batch(spark, warehouse, tmp_path):
     raw = registered.league_warehouse(spark, folder).table("raw_match_json")
     batch = staging.stg_deliveries(raw).groupBy("match_id").agg(F.count("*").alias("balls"))
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_stream_and_batch_store_documents_alike(spark, warehouse, tmp_path):
+    def kinds(wh):
+        files = spark.read.parquet(f"{wh.root}/tables/raw_match_json/*/*/*.parquet")
+        return str(files.schema)
+
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    (folder / "1.json").write_text(json.dumps(match(innings("A", [ball()]))))
+    streamed, batch = warehouse("streamed"), warehouse("batch")
+    stream_load(streamed, str(folder), str(tmp_path / "checkpoint")).awaitTermination()
+    load_folder(batch, str(folder), "once")
+    assert kinds(streamed) == kinds(batch)
+    sizes = [
+        len(next(Path(wh.root, "tables/raw_match_json").rglob("*.parquet")).read_bytes())
+        for wh in (streamed, batch)
+    ]
+    assert abs(sizes[0] - sizes[1]) < 300  # shredded columns would make it larger

@@ -5,7 +5,7 @@ from documents import ball, files, innings, match
 from pyspark.sql import functions as F
 
 from crease.operators.upsert import ARRIVED, IDLE, LOADING, REWRITING, upsert
-from crease.plans.build import build, load
+from crease.plans.build import build, load, unmerged
 
 DAYS = [f"2024-01-0{day} 00:00:00" for day in range(1, 6)]
 
@@ -155,3 +155,36 @@ def test_watermark_is_strict(spark, warehouse):
     assert balls(wh) == [("1", 1, 1)]  # same or older stamps are behind the mark
     build(wh, full_refresh=True)
     assert [row[0] for row in balls(wh)] == ["1", "2", "3"]
+
+
+def test_a_load_stamped_before_one_already_built_reaches_the_dimensions(spark, warehouse):
+    wh = warehouse()
+    for name, day in (("1", 2), ("2", 1)):
+        load(wh, files(spark, {f"{name}.json": match(innings("A", [ball()]))}), f"day{day}", F.lit(DAYS[day]))
+        build(wh)
+    assert sorted(r.match_id for r in wh.table("dim_match").collect()) == ["1", "2"]
+    assert {r.table_name: r.matches for r in unmerged(wh).collect()} == {"dim_match": 0, "fact_ball": 1}
+    build(wh, full_refresh=True)
+    assert {r.table_name: r.matches for r in unmerged(wh).collect()} == {"dim_match": 0, "fact_ball": 0}
+
+
+def test_a_crash_while_a_note_is_written_leaves_the_last_one(spark, warehouse, monkeypatch):
+    wh = warehouse()
+    merge(wh, spark, {"1": [1], "2": [2]})
+
+    def crash(path, *args, **kwargs):
+        raise RuntimeError("crash")
+
+    from pyspark.sql import DataFrameWriter
+
+    for state in (LOADING, ARRIVED, REWRITING):
+        wh.note("fact_ball", state)
+        with monkeypatch.context() as patch:
+            patch.setattr(DataFrameWriter, "json", crash)
+            with pytest.raises(RuntimeError):
+                wh.note("fact_ball", IDLE)
+        assert wh.noted("fact_ball") == state
+    # A folder that a crash left without its file counts for nothing.
+    number = wh._last_note("fact_ball")["number"] + 1
+    spark.createDataFrame([], "value string").write.json(f"{wh.root}/notes/fact_ball/number={number}")
+    assert wh.noted("fact_ball") == REWRITING
