@@ -106,19 +106,30 @@ def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _once(spark, sf_dir, "rejects", fill).rejects().select("file_name", "reason")
 
 
-def repaired_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Broken files first, sound ones of the same names after; what is still turned away."""
+def _repaired_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Broken files first, sound ones of the same names after."""
 
     def fill(wh: Warehouse) -> None:
         files = _documents(spark, sf_dir)
         build.load(wh, league.defective(files), "broken", F.lit("2024-01-01 00:00:00"))
         build.load(wh, files, "repaired", F.lit("2024-01-02 00:00:00"))
+        build.build(wh)
+
+    return _once(spark, sf_dir, "repaired", fill)
+
 
-    wh = _once(spark, sf_dir, "repaired", fill)
+def repaired_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is accepted and what is still turned away after repair."""
+    wh = _repaired_warehouse(spark, sf_dir)
     sound = wh.table("raw_match_json").select("file_name", F.lit("accepted").alias("outcome"))
     return sound.unionByName(wh.rejects().select("file_name", F.col("reason").alias("outcome")))
 
 
+def repaired_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matches built beside files that were turned away."""
+    return _repaired_warehouse(spark, sf_dir).table("dim_match")
+
+
 def _late_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """Every fourth match loaded and built after the others, but stamped before them."""
 
@@ -345,6 +356,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "raw_ingest": raw_ingest,
         "ingest_rejects": ingest_rejects,
         "repaired_files": repaired_files,
+        "repaired_build": repaired_build,
         "late_load": late_load,
         "late_players": late_players,
         "unmerged": unmerged,

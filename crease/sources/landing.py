@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +19,11 @@ REASONS = [
     "missing_info",
     "missing_innings",
     "bad_season",
+    "bad_date",
+    "bad_outcome",
+    "bad_people",
+    "bad_players",
+    "bad_innings",
 ]
 
 
@@ -66,8 +74,9 @@ def _named(files: DataFrame) -> DataFrame:
 def parse(files: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     """(match_id, file_name, raw_variant, loaded_at, reason) for each (file_name, text).
 
-    ``reason`` is null for a sound document. The id comes from the file name, and a root
-    array holding a single match counts as that match. Each text is parsed once.
+    ``reason`` is null for a sound document: one that the tables can be built from, since whatever
+    they cast can be cast. What a document may lack is not missed here. The id comes from the file
+    name, and a root array holding a single match counts as that match. Each text is parsed once.
     """
     stamp = F.current_timestamp() if loaded_at is None else loaded_at
     documents = files.select(
@@ -90,6 +99,13 @@ def parse(files: DataFrame, loaded_at: Column | None = None) -> DataFrame:
         _absent("$.info"),
         _absent("$.innings"),
         season_text.isNotNull() & season.isNull(),
+        _unfit("raw_variant", "$.info.dates[0]", "date"),
+        _not_object("raw_variant", "$.info.outcome")
+        | _unfit("raw_variant", "$.info.outcome.by.runs", "int")
+        | _unfit("raw_variant", "$.info.outcome.by.wickets", "int"),
+        _not_object("raw_variant", "$.info.registry.people"),
+        _not_object("raw_variant", "$.info.players") | _any_player_list_unfit(),
+        _any("raw_variant", "$.innings", _innings_unfit),
     ]
     reason = F.coalesce(
         *[F.when(failed, F.lit(name)) for name, failed in zip(REASONS, failures, strict=True)]
@@ -103,10 +119,52 @@ def parse(files: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     )
 
 
-def _part(column: str, path: str) -> Column:
+def _part(column: Column | str, path: str) -> Column:
     return F.variant_get(column, path, "variant")
 
 
 def _absent(path: str) -> Column:
-    part = _part("raw_variant", path)
-    return part.isNull() | F.is_variant_null(part)
+    return ~_present("raw_variant", path)
+
+
+def _present(of: Column | str, path: str) -> Column:
+    part = _part(of, path)
+    return part.isNotNull() & ~F.is_variant_null(part)
+
+
+def _unfit(of: Column | str, path: str, kind: str) -> Column:
+    """Whether something is there that can't be read as the kind."""
+    return _present(of, path) & F.try_variant_get(of, path, kind).isNull()
+
+
+def _not_object(of: Column | str, path: str = "$") -> Column:
+    return _unfit(of, path, "map<string,variant>")
+
+
+def _any(of: Column | str, path: str, unfit: Callable[[Column], Column]) -> Column:
+    """Whether something is there that is no list, or is one with an unfit item."""
+    items = F.try_variant_get(of, path, "array<variant>")
+    return _unfit(of, path, "array<variant>") | F.coalesce(F.exists(items, unfit), F.lit(False))
+
+
+def _any_player_list_unfit() -> Column:
+    teams = F.try_variant_get("raw_variant", "$.info.players", "map<string,variant>")
+    unfit = F.exists(F.map_values(teams), lambda names: _unfit(names, "$", "array<string>"))
+    return F.coalesce(unfit, F.lit(False))
+
+
+def _innings_unfit(innings: Column) -> Column:
+    def over_unfit(over: Column) -> Column:
+        return _not_object(over) | _any(over, "$.deliveries", ball_unfit)
+
+    def ball_unfit(ball: Column) -> Column:
+        numbers = [f"$.runs.{name}" for name in ("batter", "extras", "total")]
+        numbers += [f"$.extras.{name}" for name in ("wides", "noballs", "byes", "legbyes")]
+        shapes = [_not_object(ball, path) for path in ("$", "$.runs", "$.extras")]
+        unfit = [_unfit(ball, path, "int") for path in numbers]
+        return reduce(Column.__or__, [*shapes, *unfit, _any(ball, "$.wickets", wicket_unfit)])
+
+    def wicket_unfit(wicket: Column) -> Column:
+        return _not_object(wicket) | _any(wicket, "$.fielders", lambda one: _not_object(one))
+
+    return _not_object(innings) | _any(innings, "$.overs", over_unfit)

@@ -222,10 +222,10 @@ def load_stamp(hours_later: int = 0) -> Column:
 
 
 def defective(files: DataFrame) -> DataFrame:
-    """Each document with one of seven defects, by match number; the names carry the number
-    in letters, except where the file name must yield an id."""
+    """Each document with one of twelve defects, by match number; the names of the first kind carry
+    the number in letters."""
     match = F.regexp_substr("file_name", F.lit(r"\d+")).cast("long") - FIRST_MATCH_ID
-    defect = match % 7
+    defect = match % 12
     text = F.col("text")
     body = F.expr("substring(text, 2)")
     spoiled = (
@@ -235,6 +235,11 @@ def defective(files: DataFrame) -> DataFrame:
         .when(defect == 4, F.regexp_replace(text, '"info":\\{', '"about":{'))
         .when(defect == 5, F.regexp_replace(text, '"innings":\\[', '"played":['))
         .when(defect == 6, F.regexp_replace(text, '"season":(\\d{4})', '"season":"$1/09"'))
+        .when(defect == 7, F.regexp_replace(text, '"dates":\\["(\\d{4})-\\d\\d-\\d\\d', '"dates":["$1-13-45'))
+        .when(defect == 8, F.regexp_replace(text, '"people":\\{', '"people":5,"others":{'))
+        .when(defect == 9, F.regexp_replace(text, '"players":\\{', '"players":{"none":7,'))
+        .when(defect == 10, F.concat(F.regexp_replace(text, '"innings":\\[', '"innings":{"all":['), F.lit("}")))
+        .when(defect == 11, F.regexp_replace(text, '"runs":\\{"batter":\\d+', '"runs":{"batter":"x"'))
         .otherwise(text)
     )
     name = F.when(

@@ -264,16 +264,18 @@ def statements() -> dict[str, str]:
     every = {
         "raw_ingest": _over("SELECT match_id, file_name, loaded_at FROM raw_match_json"),
         "ingest_rejects": _over(
-            """SELECT CASE WHEN mi % 7 = 0 THEN translate(match_id, '0123456789', 'abcdefghij')
+            """SELECT CASE WHEN mi % 12 = 0 THEN translate(match_id, '0123456789', 'abcdefghij')
               ELSE match_id END || '.json' AS file_name,
             ['no_match_id', 'invalid_json', 'several_matches', 'missing_meta', 'missing_info',
-             'missing_innings', 'bad_season'][mi % 7 + 1] AS reason FROM m"""
+             'missing_innings', 'bad_season', 'bad_date', 'bad_people', 'bad_players',
+             'bad_innings', 'bad_innings'][mi % 12 + 1] AS reason FROM m"""
         ),
         "repaired_files": _over(
             """SELECT file_name, 'accepted' AS outcome FROM raw_match_json
             UNION ALL SELECT translate(match_id, '0123456789', 'abcdefghij') || '.json',
-              'no_match_id' FROM m WHERE mi % 7 = 0"""
+              'no_match_id' FROM m WHERE mi % 12 = 0"""
         ),
+        "repaired_build": _over("SELECT * FROM dim_match"),
         "late_load": _over("SELECT * FROM dim_match"),
         "late_players": _over("SELECT * FROM dim_player"),
         "unmerged": _over(

@@ -2,10 +2,11 @@ from __future__ import annotations
 
 import json
 
+import pytest
 from documents import ball, files, innings, match
 from pyspark.sql import functions as F
 
-from crease.plans.build import load, load_folder
+from crease.plans.build import build, load, load_folder
 from crease.sources.landing import list_folder, parse, read_folder
 
 
@@ -120,3 +121,56 @@ def test_names_come_first_and_only_new_texts_are_read(spark, warehouse, tmp_path
     assert sorted(map(tuple, names)) == [("1.json", "first"), ("2.json", "second")]
     plan = list_folder(spark, str(folder))._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan
+
+
+def spoiled(path, value):
+    """A sound document with a value put in place at a path."""
+    document = json.loads(json.dumps(match(innings("A", [ball()]))))
+    at = document
+    for step in path[:-1]:
+        at = at.setdefault(step, {}) if isinstance(at, dict) else at[step]
+    at[path[-1]] = value
+    return document
+
+
+BALL = ("innings", 0, "overs", 0, "deliveries", 0)
+
+
+@pytest.mark.parametrize(
+    ("path", "value", "reason"),
+    [
+        (("info", "dates"), ["2016-13-45"], "bad_date"),
+        (("info", "outcome"), {"by": {"runs": "many"}}, "bad_outcome"),
+        (("info", "outcome"), [1], "bad_outcome"),
+        (("info", "registry"), {"people": ["A"]}, "bad_people"),
+        (("info", "players"), {"A": 7}, "bad_players"),
+        (("innings",), {}, "bad_innings"),
+        (("innings",), [5], "bad_innings"),
+        (("innings", 0, "overs"), "none", "bad_innings"),
+        (("innings", 0, "overs", 0, "deliveries"), {"a": 1}, "bad_innings"),
+        ((*BALL, "runs"), {"batter": "x"}, "bad_innings"),
+        ((*BALL, "runs"), 4, "bad_innings"),
+        ((*BALL, "extras"), {"wides": []}, "bad_innings"),
+        ((*BALL, "wickets"), [{"fielders": ["B"]}], "bad_innings"),
+        ((*BALL, "wickets"), None, None),
+        (("info", "outcome"), None, None),
+        (("innings", 0, "overs", 0, "deliveries"), None, None),
+    ],
+)
+def test_what_cannot_be_cast_is_turned_away(spark, path, value, reason):
+    rows = parse(files(spark, {"1.json": spoiled(path, value)})).collect()
+    assert [r.reason for r in rows] == [reason]
+
+
+def test_a_build_goes_on_beside_bad_values(spark, warehouse):
+    wh = warehouse()
+    documents = {
+        "1.json": spoiled(("info", "dates"), ["2016-13-45"]),
+        "2.json": spoiled((*BALL, "runs"), {"batter": "x"}),
+        "3.json": spoiled(("innings",), {}),
+        "4.json": match(innings("A", [ball()])),
+    }
+    load(wh, files(spark, documents), "mixed")
+    build(wh)
+    assert [r.match_id for r in wh.table("dim_match").collect()] == ["4"]
+    assert wh.table("fact_ball").count() == 1 and wh.rejects().count() == 3
