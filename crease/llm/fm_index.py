@@ -74,7 +74,10 @@ def suffix_order(symbols: np.ndarray, depth: int = DEPTH) -> np.ndarray:
 
 
 class FMIndex:
-    """Counts of the occurrences of sequences, extended to the left symbol by symbol."""
+    """Counts of the occurrences of sequences, extended to the left symbol by symbol.
+
+    The text ends with a symbol that is not searched for.
+    """
 
     def __init__(self, symbols: np.ndarray, size: int):
         order = suffix_order(symbols)

@@ -43,16 +43,8 @@ def test_base_is_exact_and_the_model_is_better(spark, monkeypatch, frequent):
     held = [r for r in rows if r["held_out"]]
     if frequent > 200:
         assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
-    again = lm_scoring.scored(docs.repartition(5)).collect()
-    assert sorted((r["doc_id"], round(r["score"], 4)) for r in again) == pytest.approx(
-        sorted((r["doc_id"], round(r["score"], 4)) for r in rows), abs=1e-3
-    ) or all(
-        abs(a - b) < 1e-3
-        for (_, a), (_, b) in zip(
-            sorted((r["doc_id"], r["score"]) for r in again),
-            sorted((r["doc_id"], r["score"]) for r in rows),
-        )
-    )
+    again = {r["doc_id"]: r["score"] for r in lm_scoring.scored(docs.repartition(5)).collect()}
+    assert all(abs(again[r["doc_id"]] - r["score"]) < 1e-3 for r in rows)
 
 
 def test_cases(spark):

@@ -11,7 +11,7 @@ from crease.llm import fm_index, substring_dedup
 
 def test_index_counts_what_a_scan_counts():
     draw = np.random.default_rng(1)
-    symbols = draw.integers(0, 9, 700)
+    symbols = np.append(draw.integers(1, 9, 700), 0)
     index = fm_index.FMIndex(symbols, 9)
     text = symbols.tolist()
     for _ in range(60):
