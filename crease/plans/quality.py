@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crease.functions import moment
+from crease.functions import moment, surrogate_key
 from crease.sources.tables import Warehouse
 
 # Age of the newest raw row at which the source is late, in hours.
@@ -76,6 +76,22 @@ def unique(rows: DataFrame, column: str) -> DataFrame:
     )
 
 
+def unique_ball_key(fact: DataFrame) -> DataFrame:
+    """The same for the delivery key, match by match and so without moving a ball.
+
+    A key is made of the match and the ball's place in it, so only a key that isn't its own ball's
+    can occur in two matches; where there is one, keys are counted across matches.
+    """
+    own = surrogate_key("match_id", "innings_no", "over_no", "ball_in_over")
+    if not fact.where(F.col("delivery_key") != own).isEmpty():
+        return unique(fact, "delivery_key")
+    held = fact.where(F.col("delivery_key").isNotNull())
+    repeated = held.groupBy("match_id", "delivery_key").count().where("count > 1")
+    return repeated.agg(F.count("*").alias("failures")).select(
+        F.lit("unique").alias("test"), F.lit("delivery_key").alias("column_name"), "failures"
+    )
+
+
 def unique_combination(rows: DataFrame, columns: list[str]) -> DataFrame:
     """Groups of the columns with more than one row; nulls are equal to each other."""
     repeated = rows.groupBy(*columns).count().where("count > 1")
@@ -104,7 +120,10 @@ def relationships(
 def report(wh: Warehouse) -> DataFrame:
     """Every declared test as (table_name, test, column_name, failures)."""
     results = [(t, not_null(wh.table(t), columns)) for t, columns in NOT_NULL.items()]
-    results += [(t, unique(wh.table(t), column)) for t, column in UNIQUE]
+    results += [
+        (t, unique_ball_key(wh.table(t)) if column == "delivery_key" else unique(wh.table(t), column))
+        for t, column in UNIQUE
+    ]
     results += [
         (t, relationships(wh.table(t), column, wh.table(parent), parent_column))
         for t, column, parent, parent_column in RELATIONSHIPS

@@ -74,7 +74,22 @@ def test_freshness(spark, warehouse):
     assert status(datetime(2024, 1, 2, 8, 0, 1)) == "error"
 
 
-def test_run_stops_at_the_first_failure(spark, warehouse):
+def test_ball_keys_are_counted_in_their_buckets(spark, warehouse):
+    wh = warehouse()
+    documents = {f"{k}.json": match(innings("A", [ball(), ball()])) for k in (1, 2)}
+    load(wh, files(spark, documents), "one", F.lit(MORNING))
+    build(wh)
+    fact = wh.table("fact_ball")
+    held = fact.groupBy("match_id", "delivery_key").count()
+    assert "Exchange" not in held._jdf.queryExecution().executedPlan().toString()
+    assert failures(quality.unique_ball_key(fact)) == 0
+    assert failures(quality.unique_ball_key(fact.unionByName(fact.limit(1)))) == 1
+    # A key that another match's ball has is found as well.
+    strange = fact.withColumn("delivery_key", F.lit("same"))
+    assert failures(quality.unique_ball_key(strange)) == 1
+
+
+def test_run_stops_at_the_first_failure(spark, warehouse, monkeypatch):
     wh = warehouse()
     load(wh, files(spark, {"1.json": match(innings("A", [ball()]))}), "one", F.lit(MORNING))
 
@@ -89,5 +104,11 @@ def test_run_stops_at_the_first_failure(spark, warehouse):
     ]
     strange = match(innings("A", [{**ball(), "runs": {"batter": "many"}}]))
     load(wh, files(spark, {"2.json": strange}), "two", F.lit("2024-01-01 10:00:00"))
+    assert [step[1] for step in steps(datetime(2024, 1, 1, 12))] == ["passed"] * 3  # turned away
+
+    def broken(*_):
+        raise RuntimeError("no build")
+
+    monkeypatch.setattr("crease.plans.build.build", broken)
     got = steps(datetime(2024, 1, 1, 12))
     assert [step[:2] for step in got] == [("freshness", "passed"), ("build", "failed")]
