@@ -52,7 +52,8 @@ def _offset(source: Column) -> Column:
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """``source``, ``source_size``, ``n_docs`` and ``target`` from sizes by source.
+    """``source``, ``source_size``, ``n_docs`` and ``target`` from sizes by source, a row for each,
+    which is all that the windows over the whole of them see.
 
     The total is shared by weight. Shares above the limit are cut to it and what is cut is shared
     among the rest, until none is above. A source is cut when the level at which shares of weight

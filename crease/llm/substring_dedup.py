@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crease.llm.fm_index import FMIndex, repeated_intervals
-from crease.llm.tables import partitions, pieces, stored, utf8
+from crease.llm.tables import PIECE, partitions, pieces, stored, utf8
 from crease.llm.words import mixed, word_hashes
 
 WINDOW = 35
@@ -114,29 +114,41 @@ def _anchored(docs: DataFrame) -> DataFrame:
 _SEGMENTS = "doc_id long, tie long, anchor long, first int, words binary"
 
 
+_SEGMENT_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+
+
+def _segment_batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows of segments in batches of bounded size, however many a text gives."""
+    names = [c.split()[0] for c in _SEGMENTS.split(", ")]
+    held: list[tuple] = []
+    size = 0
+    for row in rows:
+        held.append(row)
+        size += len(row[-1])
+        if size > PIECE:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*held), _SEGMENT_TYPES)], names
+            )
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*held), _SEGMENT_TYPES)], names
+        )
+
+
 def _segments(rows: DataFrame) -> DataFrame:
     """The words of the stretches listed beside each document's text."""
 
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in pieces(batches):
-            out: list[list] = [[] for _ in range(5)]
-            names = ("doc_id", "tie", "live")
-            for text, doc_id, tie, live in zip(
-                utf8(batch.column("text")), *[batch.column(c).to_pylist() for c in names]
-            ):
+            columns = [batch.column(c).to_pylist() for c in ("doc_id", "tie", "live")]
+            for text, doc_id, tie, live in zip(utf8(batch.column("text")), *columns):
                 words = text.split()
                 for s in live:
                     stop = s["first"] + s["windows"] + WINDOW - 1
-                    held = b" ".join(words[s["first"] : stop])
-                    for column, value in zip(out, (doc_id, tie, s["anchor"], s["first"], held)):
-                        column.append(value)
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(out, types)],
-                [c.split()[0] for c in _SEGMENTS.split(", ")],
-            )
+                    yield doc_id, tie, s["anchor"], s["first"], b" ".join(words[s["first"] : stop])
 
-    return rows.mapInArrow(made, _SEGMENTS)
+    return rows.mapInArrow(lambda batches: _segment_batches(cut(batches)), _SEGMENTS)
 
 
 def _searched(shard: list[tuple[int, bytes, int]]) -> Iterator[tuple[int, bytes, list[int]]]:
@@ -203,24 +215,18 @@ def _indexed(distinct: DataFrame) -> DataFrame:
 def _by_window(segments: DataFrame) -> DataFrame:
     """The segments' single windows, each with the hash of its words for an anchor."""
 
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "words", 1 << 18):
-            out: list[list] = [[] for _ in range(5)]
-            names = ("doc_id", "tie", "first", "words")
-            for doc_id, tie, first, held in zip(*[batch.column(c).to_pylist() for c in names]):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in pieces(batches, "words"):
+            columns = [batch.column(c).to_pylist() for c in ("doc_id", "tie", "first", "words")]
+            for doc_id, tie, first, held in zip(*columns):
                 words = held.split(b" ")
                 for k in range(len(words) - WINDOW + 1):
                     window = b" ".join(words[k : k + WINDOW])
-                    anchor = int.from_bytes(hashlib.blake2b(window, digest_size=8).digest(), "little", signed=True)
-                    for column, value in zip(out, (doc_id, tie, anchor, first + k, window)):
-                        column.append(value)
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(out, types)],
-                [c.split()[0] for c in _SEGMENTS.split(", ")],
-            )
+                    digest = hashlib.blake2b(window, digest_size=8).digest()
+                    anchor = int.from_bytes(digest, "little", signed=True)
+                    yield doc_id, tie, anchor, first + k, window
 
-    return segments.mapInArrow(made, _SEGMENTS)
+    return segments.mapInArrow(lambda batches: _segment_batches(cut(batches)), _SEGMENTS)
 
 
 def _names() -> list:
