@@ -38,13 +38,27 @@ from crease.llm.tables import pieces, stored, utf8
 
 #: Characters of a chunk.
 CHUNK = 1 << 15
-#: Words whose segmentation a worker remembers.
-MEMORY = 400_000
+#: Words whose segmentation a worker remembers, and as many from before.
+MEMORY = 250_000
 
 SPACE = "▁"
 #: Stands for U+2581 of a text; no valid text has it.
 _LITERAL = "\ud800"
 _UNITS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+_LINED_UNITS = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n+|[^{SPACE}\n]+")
+
+
+class _Units(dict):
+    """Ids and scores of words, found when they are first asked for."""
+
+    def __init__(self, vocabulary: Vocabulary, older: dict[str, tuple[bytes, float]]):
+        self.vocabulary, self.older = vocabulary, older
+
+    def __missing__(self, unit: str) -> tuple[bytes, float]:
+        found = self.older.get(unit) or self.vocabulary.segmented(unit)
+        if len(unit) < 64:
+            self[unit] = found
+        return found
 
 
 class Vocabulary:
@@ -73,7 +87,14 @@ class Vocabulary:
             self.text[k] = bytes([value])
         self.is_byte = np.zeros(len(every), bool)
         self.is_byte[byte] = True
-        self.known: dict[str, tuple[bytes, float]] = {}
+        #: Pieces with score and id, and what begins one with a score that never wins, to know when
+        #: to look no further.
+        low = float("-inf"), b""
+        self.begun = {p[:n]: low for p in self.scored for n in range(1, len(p))}
+        self.begun.update((p, (s, k.to_bytes(4, "little"))) for p, (s, k) in self.scored.items())
+        self.single = {p for p in self.scored if len(p) == 1}
+        self.split = _UNITS if any("\n" in p for p in self.scored) else _LINED_UNITS
+        self.units = _Units(self, {})
 
     def steps(self, s: str, end: int) -> Iterator[tuple[float, int, int]]:
         """Score, length and id (-1: bytes) of the pieces that end at ``end``, longest first."""
@@ -114,22 +135,36 @@ class Vocabulary:
             end -= n
         return b"".join(reversed(out)), end
 
-    def unit(self, s: str) -> tuple[bytes, float]:
-        """Ids and score of a text on its own."""
-        found = self.known.get(s)
-        if found is None:
-            score, back = self.best(s, np.zeros(1), len(s))
-            found = self.trace(s, back, len(s))[0], score[-1]
-            if len(self.known) > MEMORY:
-                self.known.clear()
-            if len(s) < 64:
-                self.known[s] = found
-        return found
+    def segmented(self, s: str) -> tuple[bytes, float]:
+        """Ids and score of a text on its own: the same as best and trace, start by start."""
+        size, get, single = len(s), self.begun.get, self.single
+        score, back, ids = [float("-inf")] * (size + 1), [0] * (size + 1), [b""] * (size + 1)
+        score[0] = 0.0
+        for start in range(size):
+            base = score[start]
+            if s[start] not in single and base + self.unknown > score[start + 1]:
+                score[start + 1], back[start + 1] = base + self.unknown, start
+                held = s[start].replace(_LITERAL, SPACE).encode()
+                ids[start + 1] = self.bytes[np.frombuffer(held, np.uint8)].tobytes()
+            for end in range(start + 1, size + 1):
+                found = get(s[start:end])
+                if found is None:
+                    break
+                if (value := base + found[0]) > score[end]:
+                    score[end], back[end], ids[end] = value, start, found[1]
+        out, end = [], size
+        while end:
+            out.append(ids[end])
+            end = back[end]
+        out.reverse()
+        return b"".join(out), score[-1]
 
     def whole(self, s: str) -> tuple[bytes, float]:
         if not self.cuts:
-            return self.unit(s)
-        found = list(map(self.unit, _UNITS.findall(s)))
+            return self.segmented(s)
+        if len(self.units) > MEMORY:
+            self.units = _Units(self, dict(self.units))
+        found = list(map(self.units.__getitem__, self.split.findall(s)))
         return b"".join([f[0] for f in found]), sum([f[1] for f in found])
 
     def decode(self, ids: np.ndarray) -> bytes:

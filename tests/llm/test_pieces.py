@@ -82,7 +82,10 @@ def test_chunks_give_what_one_pass_gives(vocabulary, monkeypatch, cuts):
         text = draw.choice(texts)[: draw.randrange(1, 600)]
         text = text.replace(" ", "") if k % 3 == 0 else text + "▁ 😀😀" * (k % 2) + text[:30]
         s = pieces.normalised(" " + text)
-        assert chunked(vocabulary, s, draw.choice([16, 17, 40, 100, 1000])) == vocabulary.whole(s)
+        whole = vocabulary.whole(s)
+        assert chunked(vocabulary, s, draw.choice([16, 17, 40, 100, 1000])) == whole
+        score, back = vocabulary.best(s, np.zeros(1), len(s))
+        assert (vocabulary.trace(s, back, len(s))[0], score[-1]) == whole
 
 
 def test_scan_is_the_product_of_all_before():
