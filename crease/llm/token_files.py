@@ -17,6 +17,7 @@ gives empty folders and no rows. A giant document makes a block of its own.
 
 from __future__ import annotations
 
+import os
 import re
 from array import array
 from collections.abc import Iterator
@@ -24,6 +25,7 @@ from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,83 +37,122 @@ END = 0
 #: Ids of a block, about.
 BLOCK = 1 << 18
 #: Units whose ids a worker remembers, and as many from before.
-MEMORY = 400_000
+MEMORY = 300_000
 
-# A token of the byte-level pattern never reaches over a space that a visible character follows, so
-# the text falls into units there, and a unit has the same ids in every text.
+#: Marks that commonly end a word.
+MARKS = ".,;:!?"
+
+# Fixed value: the pattern of the byte-level vocabularies that splits a text before merges.
+_PATTERN = regex.compile(
+    r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+)
+# A token of that pattern never reaches over a space that a visible character follows, so the text
+# falls into units there, and a unit has the same ids in every text.
 _UNIT = re.compile(r" (?=\S)")
 
 
+def _byte_characters() -> dict[int, str]:
+    """What stands for each byte in byte-level vocabularies: itself where it prints, and else the
+    next character from 256 on."""
+    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in prints]
+    return {b: chr(b) for b in prints} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+class _Odd(Exception):
+    """A unit that is none: what follows a space is another one, or the text's end."""
+
+
+class _Units(dict):
+    """Ids of units that follow a space, by what follows it, made when they are first asked for."""
+
+    def __init__(self, encoder: Encoder, older: dict[str, bytes]):
+        self.encoder, self.older = encoder, older
+
+    def __missing__(self, unit: str) -> bytes:
+        found = self.older.get(unit)
+        if found is None:
+            if unit.isalpha():
+                found = self.encoder.merged(" " + unit)
+            elif not unit or unit[0].isspace():
+                raise _Odd
+            elif unit[-1] in MARKS and unit[:-1].isalpha():
+                found = self[unit[:-1]] + self.encoder.tokens(unit[-1])
+            else:
+                line, _, word = unit.partition("\n")
+                if line and word.isalpha() and not line[-1].isspace():
+                    found = self[line] + self.encoder.tokens("\n") + self.encoder.token(word)
+                else:
+                    found = self.encoder.tokens(" " + unit)
+        self[unit] = found
+        return found
+
+
 class Encoder:
-    """Ids of texts by the ``tokenizers`` library, four bytes each, remembered by unit.
+    """Ids of texts by the ``tokenizers`` library, remembered by unit and by pattern token.
 
-    The tokenizer file is opened where the tasks run, by a path that holds on all of them.
+    The library's merges are called for a pattern token at a time, which costs a fraction of encoding
+    it as a text; texts with special tokens go to it whole. The tokenizer file is opened where the
+    tasks run, by a path that holds on all of them.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel ones
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.newline = self.tokenizer.encode("\n", add_special_tokens=False).ids[-1]
-        #: Ids of units that follow a space, by what follows it; and those from before the last
-        #: time that there were too many.
+        self.model = self.tokenizer.model
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        #: Two bytes an id where all ids fit, else four; low byte first.
+        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        self.characters = _byte_characters()
         self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
-
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of words without white space, each after a space, many at a time.
-
-        Where one ends, a newline is a token of its own.
-        """
-        out: list[bytes] = []
-        for k in range(0, len(words), 512):
-            part = words[k : k + 512]
-            held = self._ids([" " + "\n ".join(part) + "\n"])[0]
-            ends = np.flatnonzero(np.frombuffer(held, "u4") == self.newline) * 4
-            if len(ends) != len(part):
-                out.extend(self._ids([" " + w for w in part]))
-                continue
-            starts = [0, *(ends[:-1] + 4).tolist()]
-            out.extend([held[a:b] for a, b in zip(starts, ends.tolist())])
-        return out
-
-    def _learn(self, units: set[str]) -> None:
-        if len(self.known) > MEMORY:
-            self.older, self.known = self.known, {}
-        new = units - self.known.keys()
-        found = new & self.older.keys()
-        self.known.update((u, self.older[u]) for u in found)
-        words, others = [], []
-        for u in new - found:
-            (words if len(u.split()) == 1 and not u[-1].isspace() else others).append(u)
-        self.known.update(zip(words, self._words(words)))
-        self.known.update(zip(others, self._ids([" " + u for u in others])))
+        self.units = _Units(self, {})
+
+    def merged(self, token: str) -> bytes:
+        """Ids of a pattern token."""
+        if token.isascii() and token.isprintable():
+            held = token.replace(" ", self.characters[32])
+        else:
+            held = token.encode().decode("latin-1").translate(self.characters)
+        return array(self.code, [t.id for t in self.model.tokenize(held)]).tobytes()
+
+    def token(self, token: str) -> bytes:
+        found = self.known.get(token)
+        if found is None:
+            if len(self.known) > MEMORY:
+                self.known.clear()
+            found = self.known[token] = self.merged(token)
+        return found
+
+    def tokens(self, text: str) -> bytes:
+        """Ids of a text without special tokens."""
+        return b"".join(map(self.token, _PATTERN.findall(text)))
+
+    def _whole(self, text: str) -> bytes:
+        if any(s in text for s in self.special):
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            return array(self.code, ids).tobytes()
+        first, *rest = text.split(" ")
+        try:
+            return self.tokens(first) + b"".join(map(self.units.__getitem__, rest))
+        except _Odd:
+            first, *rest = _UNIT.split(text)
+            return self.tokens(first) + b"".join(map(self.units.__getitem__, rest))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") for t in texts]
-        seen = set().union(*[units[1:] for units in split])
-        odd = {u for u in seen if not u or u[0].isspace()}  # two spaces and the like
-        if odd:
-            for k, units in enumerate(split):
-                if not odd.isdisjoint(units):
-                    split[k] = _UNIT.split(texts[k])
-            seen = set().union(*[units[1:] for units in split])
-        self._learn(seen)
-        heads = self._ids([units[0] for units in split])
-        known = self.known
-        return [
-            b"".join([head, *[known[u] for u in units[1:]]]) for head, units in zip(heads, split)
-        ]
+        if len(self.units) > MEMORY:
+            self.units = _Units(self, dict(self.units))
+        return [self._whole(t) for t in texts]
 
 
-def encoded(docs: DataFrame, path: str, end: int = END) -> DataFrame:
-    """``doc_id`` and ``ids``: the whole text's ids and the end id, four bytes each, low byte first."""
+def id_bytes(path: str) -> int:
+    """Bytes that an id of the tokenizer takes in a table: two, or four for large vocabularies."""
+    return array(Encoder(path).code).itemsize
+
 
-    last = end.to_bytes(4, "little")
+def encoded(docs: DataFrame, path: str, end: int = END) -> DataFrame:
+    """``doc_id`` and ``ids``: the whole text's ids and the end id, ``id_bytes`` each, low byte first."""
     #: Empty, but a worker's copy of it lasts from task to task: it keeps the worker's encoder.
     worker = docs.sparkSession.sparkContext.broadcast({})
 
@@ -119,6 +160,7 @@ def encoded(docs: DataFrame, path: str, end: int = END) -> DataFrame:
         if "encoder" not in worker.value:
             worker.value["encoder"] = Encoder(path)
         encoder = worker.value["encoder"]
+        last = array(encoder.code, [end]).tobytes()
         for batch in pieces(batches, limit=2 * PIECE):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             ids = [a + last for a in encoder.encode(texts)]
@@ -130,13 +172,13 @@ def encoded(docs: DataFrame, path: str, end: int = END) -> DataFrame:
     return rows.mapInArrow(made, "doc_id long, ids binary")
 
 
-def ranked(tokens: DataFrame) -> DataFrame:
+def ranked(tokens: DataFrame, width: int) -> DataFrame:
     """``id`` and ``rank`` by falling frequency: a row for each id of the vocabulary that occurs."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1, np.int64)
         for batch in pieces(batches, "ids"):
-            ids = np.frombuffer(b"".join(batch.column("ids").to_pylist()), "<u4")
+            ids = np.frombuffer(b"".join(batch.column("ids").to_pylist()), f"<u{width}")
             found = np.bincount(ids, minlength=len(counts))
             found[: len(counts)] += counts
             counts = found
@@ -183,10 +225,10 @@ _BLOCKS = (
 )
 
 
-def write(tokens: DataFrame, folder: str) -> None:
+def write(tokens: DataFrame, folder: str, width: int) -> None:
     """Writes ``ids`` (as :func:`encoded` gives them, kept in a table) to blocks in ``folder``."""
     spark = tokens.sparkSession
-    ranked(tokens).write.parquet(f"{folder}/ranks")
+    ranked(tokens, width).write.parquet(f"{folder}/ranks")
     ranks = spark.read.parquet(f"{folder}/ranks").toPandas()  # the vocabulary, 4 bytes an id
     table = np.zeros(int(ranks["id"].max()) + 1 if len(ranks) else 1, np.uint32)
     table[ranks["id"].to_numpy()] = ranks["rank"].to_numpy()
@@ -194,14 +236,14 @@ def write(tokens: DataFrame, folder: str) -> None:
 
     def blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = 0
-        for batch in pieces(batches, "ids", 4 * BLOCK):
+        for batch in pieces(batches, "ids", width * BLOCK):
             ids = batch.column("ids").to_pylist()
-            control, data = packed(shared.value[np.frombuffer(b"".join(ids), "<u4")])
+            control, data = packed(shared.value[np.frombuffer(b"".join(ids), f"<u{width}")])
             columns = [
                 pa.array([batch.column("file")[0].as_py()], pa.int32()),
                 pa.array([number], pa.int32()),
                 pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())),
-                pa.array([[len(i) // 4 for i in ids]], pa.list_(pa.int64())),
+                pa.array([[len(i) // width for i in ids]], pa.list_(pa.int64())),
                 pa.array([control], pa.binary()),
                 pa.array([data], pa.binary()),
             ]
@@ -270,7 +312,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
     ``ids_crc32`` over all of a document's ids as unsigned 32-bit integers, little end first."""
     spark = docs.sparkSession
     folder = f"{shared_folder(spark)}/crease-llm/tokens-{uuid4().hex}"
-    write(stored(encoded(docs, path), "ids"), folder)
+    write(stored(encoded(docs, path), "ids"), folder, id_bytes(path))
     return read(spark, folder).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )
