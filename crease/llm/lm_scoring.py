@@ -1,8 +1,8 @@
 """LM scoring by logistic mixing of hashed-context bit predictors.
 
 A text is its words, lower-cased A-Z, and an end token. Tokens are counted over all documents that
-are learned from. The most frequent (``FREQUENT`` at most) and an escape have binary codes of
-a Huffman tree; a token costs the decisions along its path. Each decision is predicted by the
+are learned from. The most frequent (``FREQUENT``, or one for every ``CODED`` training tokens where
+that is more) and an escape have binary codes of a Huffman tree; a token costs the decisions along its path. Each decision is predicted by the
 tree's own counts (order 0) and by counts hashed under the token before it (order 1) and the two
 before it (order 2). The predictions' log odds are added up with weights that a gate chooses by how
 sure the higher orders are, and the weights are refined by gradient after every decision. Any other
@@ -14,9 +14,10 @@ hashed counts. So a score depends on the model and the text alone, a giant text
 independent lanes, and a batch's lanes advance together in numpy.
 
 Token counts are exact and grow with the corpus: tokens beyond the frequent ones are joined with
-their counts in Spark and never meet in one task. Hashed counts have a slot for every
-16 training tokens, up to 2 ** ``MOST_SLOTS``; a task's own counts are added up block by block. The
-model that is broadcast is bounded by ``FREQUENT`` and ``MOST_SLOTS``.
+their counts in Spark and never meet in one task. Hashed counts have a slot for every 16 training
+tokens or fewer, however many there are (the hash has bits for 2 ** 31 slots). A task counts in
+sorted runs of bounded size, and the runs are added up block by block. The model that is broadcast
+grows with the corpus: four bytes a slot, and the coded tokens with their codes.
 
 Cases: a null or empty text is its end token; rows that share a ``doc_id`` are scored each on its
 own; a null ``doc_id`` counts as held out; other columns are not read. Without training documents
@@ -41,7 +42,9 @@ from crease.llm.tables import partitions, pieces, stored, utf8
 from crease.llm.words import mixed
 
 FREQUENT = 1 << 16
-MOST_SLOTS = 20
+#: Training tokens for each coded token, where that makes more than ``FREQUENT``; for each slot.
+CODED = 4096
+SLOT = 16
 LANE = 32
 FOLDS = 5
 #: Documents that weights are fitted on, of one in ``HELD_BACK``, each up to ``LONGEST`` characters.
@@ -49,8 +52,10 @@ TUNED, HELD_BACK, LONGEST = 400, 64, 20_000
 RATE = 0.02
 ORDERS = 3
 GATES = 16
-#: Counts of a block of the hashed table; bytes of text worked on at a time.
-BLOCK = 1 << 16
+#: Counts of a block of the hashed table; decisions that a task counts before it passes them on.
+BLOCK = 1 << 20
+RUN = 1 << 25
+#: Bytes of text worked on at a time.
 PIECE = 3 << 19
 #: Distinct tokens that a task counts before it passes them on.
 COUNTED = 300_000
@@ -58,6 +63,16 @@ COUNTED = 300_000
 END = b""
 
 
+def slot_bits(tokens: int) -> int:
+    """Two to this power are the slots of a hashed table."""
+    return max((tokens // SLOT).bit_length(), 16)
+
+
+def coded_tokens(tokens: int) -> int:
+    """How many tokens have a code, at most."""
+    return max(FREQUENT, tokens // CODED)
+
+
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % FOLDS == 1, F.lit(True))
 
@@ -161,7 +176,7 @@ def decisions(codes: Codes, symbols: np.ndarray, firsts: np.ndarray, slots: int)
         value *= np.uint32(0x85EBCA6B)
         value ^= value >> np.uint32(15)
         value *= np.uint32(0xC2B2AE35)
-        found.append((value >> np.uint32(32 - slots)).astype(np.int32))
+        found.append(value >> np.uint32(32 - slots))
     return Decisions(nodes, codes.bits[path], found, begins)
 
 
@@ -222,7 +237,7 @@ class Model:
         self.logs = np.log10(np.append(counts, 0) + 0.5)  # the escape's is not used
         self.codes = huffman(np.append(counts + 0.5, max(rest, 0.5)))
         self.slots = slots
-        self.hashed = [np.zeros(1 << slots, np.float32) for _ in range(ORDERS - 1)]
+        self.hashed = [np.zeros(1 << slots, np.float16) for _ in range(ORDERS - 1)]
         self.weights = np.zeros((GATES, ORDERS), np.float32)
         self.weights[:, 0] = 1
 
@@ -242,8 +257,11 @@ class Model:
         return decisions(self.codes, symbols, firsts, self.slots)
 
     def odds(self, found: Decisions) -> np.ndarray:
-        hashed = [table[s] for table, s in zip(self.hashed, found.slots)]
-        return np.stack([self.codes.odds[found.nodes], *hashed])
+        out = np.empty((ORDERS, len(found.nodes)), np.float32)
+        out[0] = self.codes.odds[found.nodes]
+        for row, table, slot in zip(out[1:], self.hashed, found.slots):
+            row[:] = table[slot]
+        return out
 
     def scores(self, texts: list[list[int]]) -> np.ndarray:
         """Log10 probability of each text's symbols."""
@@ -280,15 +298,15 @@ class Model:
             self.weights[g] = w
 
 
-def _frequent(counts: DataFrame) -> tuple[list[bytes], np.ndarray, int]:
-    """The most frequent tokens and their counts, ``FREQUENT`` at most, and the least count taken."""
+def _frequent(counts: DataFrame, most: int) -> tuple[list[bytes], np.ndarray, int]:
+    """The most frequent tokens and their counts, ``most`` at most, and the least count taken."""
     rounded = F.when(F.col("n") < 1024, F.col("n")).otherwise(
         F.expr("shiftleft(shiftright(n, length(bin(n)) - 8), length(bin(n)) - 8)")
     )
     steps = counts.groupBy(rounded.alias("n")).agg(F.count("*").alias("tokens"))
     taken, least = 0, 1 << 62
     for row in sorted(steps.collect(), key=lambda r: -r["n"]):  # some thousand rows at most
-        if taken + row["tokens"] > FREQUENT:
+        if taken + row["tokens"] > most:
             break
         taken, least = taken + row["tokens"], row["n"]
     rows = counts.where(F.col("n") >= least).toPandas()
@@ -301,60 +319,87 @@ def _hashed(texts: DataFrame, model: Model) -> list[np.ndarray]:
     """Log odds of the slots of orders 1 and 2, from the decisions of all texts."""
     spark = texts.sparkSession
     shared = spark.sparkContext.broadcast(_parts(model))
-    slots = model.slots
+    blocks = -(-(2 << model.slots) // BLOCK)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _whole(shared.value)
-        tables = np.zeros((ORDERS - 1, 2 << slots), np.uint32)
+        kept: list[list[np.ndarray]] = [[] for _ in range(ORDERS - 1)]
+        held = 0
         for batch in pieces(batches, limit=PIECE):
             found = own.decisions([own.read(t)[0] for t in utf8(batch.column("text"))])
-            for table, slot in zip(tables, found.slots):
-                np.add.at(table, slot * 2 + found.bits, np.uint32(1))
-        packer = zstandard.ZstdCompressor(level=1)
-        flat = tables.reshape(-1)
-        for block, at in enumerate(range(0, len(flat), BLOCK)):
-            if (part := flat[at : at + BLOCK]).any():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block]), pa.array([packer.compress(part.tobytes())], pa.binary())],
-                    ["block", "counts"],
-                )
+            for keys, slot in zip(kept, found.slots):
+                keys.append((slot << np.uint32(1)) | found.bits)
+                held += len(slot)
+            if held > RUN:
+                yield from _run(kept, blocks, BLOCK)
+                held = 0
+        if held:
+            yield from _run(kept, blocks, BLOCK)
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[int, np.ndarray] = {}
+        at, total = None, np.zeros(BLOCK)
         for batch in batches:
-            for block, held in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist()):
-                part = np.frombuffer(zstandard.ZstdDecompressor().decompress(held), np.uint32)
-                totals[block] = totals.get(block, 0) + part.astype(np.float64)
-        for block, total in totals.items():
-            zero, one = total.reshape(-1, 2).T
-            odds = np.log((one + 0.4) / (zero + 0.4)).astype(np.float16)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block]), pa.array([odds.tobytes()], pa.binary())], ["block", "odds"]
-            )
-
-    # As many tasks as run at a time, since each passes on a table of its own.
-    n = max(spark.sparkContext.defaultParallelism, 1)
-    counts = texts.select("text").coalesce(n).mapInArrow(counted, "block long, counts binary")
-    rows = counts.repartition(partitions(spark), "block").mapInArrow(added, "block long, odds binary")
-    out = np.zeros((ORDERS - 1) << slots, np.float16)
-    for row in rows.collect():  # two bytes a slot
+            for block, keys, counts in zip(*(batch.column(c).to_pylist() for c in batch.schema.names)):
+                if at is not None and block != at:
+                    yield _odds(at, total)
+                    total[:] = 0
+                at = block
+                total[np.cumsum(_unpacked(keys))] += _unpacked(counts)
+        if at is not None:
+            yield _odds(at, total)
+
+    counts = texts.select("text").mapInArrow(counted, "block long, keys binary, counts binary")
+    dealt = counts.repartition(partitions(spark), "block").sortWithinPartitions("block")
+    out = np.zeros((ORDERS - 1, blocks * BLOCK // 2), np.float16)
+    flat = out.reshape(-1)
+    for row in dealt.mapInArrow(added, "block long, odds binary").collect():  # two bytes a slot
         at = row["block"] * BLOCK // 2
-        part = np.frombuffer(row["odds"], np.float16)
-        out[at : at + len(part)] = part
-    return list(out.astype(np.float32).reshape(ORDERS - 1, -1))
+        flat[at : at + BLOCK // 2] = np.frombuffer(row["odds"], np.float16)
+    return [table[: 1 << model.slots] for table in out]
+
+
+def _run(kept: list[list[np.ndarray]], blocks: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Counts of the distinct keys that were kept, by table and block; nothing is kept after that."""
+    packer = zstandard.ZstdCompressor(level=1)
+    for table, parts in enumerate(kept):
+        keys = np.concatenate(parts) if parts else np.empty(0, np.uint32)
+        parts.clear()
+        keys.sort()
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
+        counts = np.diff(first, append=len(keys)).astype(np.uint32)
+        keys = keys[first]
+        cuts = np.searchsorted(keys, np.arange(blocks + 1, dtype=np.uint64) * size)
+        for block, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+            if a < b:
+                steps = np.diff(keys[a:b], prepend=np.uint32(block * size))
+                packed = [packer.compress(x.tobytes()) for x in (steps, counts[a:b])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([table * blocks + block]), *(pa.array([x], pa.binary()) for x in packed)],
+                    ["block", "keys", "counts"],
+                )
+
+
+def _unpacked(held: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(held), np.uint32)
+
+
+def _odds(block: int, total: np.ndarray) -> pa.RecordBatch:
+    zero, one = total.reshape(-1, 2).T
+    odds = np.log((one + 0.4) / (zero + 0.4)).astype(np.float16)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([block]), pa.array([odds.tobytes()], pa.binary())], ["block", "odds"]
+    )
 
 
 def _parts(model: Model) -> dict:
-    """The model as plain values, odds in two bytes; a worker's copy keeps the model made of it."""
-    hashed = [table.astype(np.float16) for table in model.hashed]
-    return dict(vars(model), codes=tuple(model.codes), hashed=hashed)
+    """The model as plain values; a worker's copy keeps the model made of it."""
+    return dict(vars(model), codes=tuple(model.codes))
 
 
 def _whole(parts: dict) -> Model:
     if "model" not in parts:
         model = Model.__new__(Model)
         vars(model).update(parts, codes=Codes(*parts["codes"]))
-        model.hashed = [table.astype(np.float32) for table in parts.pop("hashed")]
         parts["model"] = model
     return parts["model"]
 
@@ -376,10 +421,9 @@ def learned(docs: DataFrame) -> Corpus:
     counts = stored(token_counts(training), "token-counts")
     sums = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     tokens, distinct = sums["n"] or 0, sums["v"]
-    frequent, n, least = _frequent(counts)
-    slots = min(max((max(tokens, 1) // 16).bit_length(), 16), MOST_SLOTS)
+    frequent, n, least = _frequent(counts, coded_tokens(tokens))
     rest = tokens - int(n.sum()) + 0.5 * (distinct - len(n) + 1)
-    model = Model(frequent, n, rest, slots)
+    model = Model(frequent, n, rest, slot_bits(tokens))
     back = F.pmod(F.xxhash64("doc_id"), F.lit(HELD_BACK)) == 0
     model.hashed = _hashed(training.where(~back), model)
     sample = training.where(back & (F.length("text") <= LONGEST))

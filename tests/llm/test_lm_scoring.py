@@ -87,3 +87,22 @@ def test_texts_are_scored_apart():
     texts = [[0, 1, 2], [3, 2], [0] * 300 + [2], [2]]
     alone = [model.scores([t])[0] for t in texts]
     assert np.allclose(model.scores(texts), alone, atol=1e-6)
+
+
+def test_slots_and_codes_grow_with_the_training_tokens():
+    sizes = [10**k for k in range(5, 11)]
+    slots = [1 << lm_scoring.slot_bits(n) for n in sizes]
+    assert all(n <= 16 * s for n, s in zip(sizes, slots))
+    coded = [lm_scoring.coded_tokens(n) for n in sizes]
+    assert coded[0] == lm_scoring.FREQUENT and coded[-1] > 30 * lm_scoring.FREQUENT
+    assert coded[-1] > 5 * coded[-2]
+
+
+def test_counts_of_many_runs_and_blocks_are_whole(spark, monkeypatch):
+    docs = spark.read.parquet(f"{tables.SMALL}/documents.parquet")
+    whole = lm_scoring.learned(docs).model
+    monkeypatch.setattr(lm_scoring, "RUN", 5_000)
+    monkeypatch.setattr(lm_scoring, "BLOCK", 1 << 12)
+    parts = lm_scoring.learned(docs.repartition(3)).model
+    assert all(np.array_equal(a, b) for a, b in zip(whole.hashed, parts.hashed))
+    assert all(len(t) == 1 << whole.slots and t.any() for t in whole.hashed)
