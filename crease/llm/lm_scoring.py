@@ -9,8 +9,13 @@ sure the higher orders are, and the weights are refined by gradient after every
 token costs the escape and its smoothed share among the others, unseen tokens sharing one place; so
 what is scored is a distribution over tokens, as in the base score.
 
-Refinement starts afresh every ``LANE`` tokens, from weights fitted on documents held back from the
-hashed counts. So a score depends on the model and the text alone, a giant text is as many
+Every training document is in the hashed counts. The weights that refinement starts from are fitted
+on all of them too, each by the counts of the half of the documents (by hash of ``doc_id``) that it
+is not in: one pass adds up in Spark how often the decisions met which odds, in halves of a unit,
+and Newton's method runs on these sums. (Only the tree's own odds include the document.) Where one
+half is empty, as with a single training document, there is nothing to fit to.
+
+Refinement starts afresh every ``LANE`` tokens. So a score depends on the model and the text alone, a giant text is as many
 independent lanes, and a batch's lanes advance together in numpy.
 
 Token counts are exact and grow with the corpus: tokens beyond the frequent ones are joined with
@@ -47,8 +52,8 @@ CODED = 4096
 SLOT = 16
 LANE = 32
 FOLDS = 5
-#: Documents that weights are fitted on, of one in ``HELD_BACK``, each up to ``LONGEST`` characters.
-TUNED, HELD_BACK, LONGEST = 400, 64, 20_000
+#: Weights are fitted to odds counted in the other half; levels of odds a unit, and the most.
+HALVES, LEVELS, FAR = 2, 2, 14
 RATE = 0.02
 ORDERS = 3
 GATES = 16
@@ -279,25 +284,41 @@ class Model:
         )
         return np.add.reduceat(each, np.cumsum(lanes) - lanes) / np.log(10)
 
-    def fit(self, texts: list[list[int]]) -> None:
-        """Weights by Newton's method on the decisions of texts, gate by gate."""
-        if not texts:
-            return
-        found = self.decisions(texts)
-        odds, bits = self.odds(found), found.bits.astype(np.float64)
-        gate = gates(odds)
+    def fit(self, met: np.ndarray, times: np.ndarray) -> None:
+        """Weights by Newton's method, gate by gate, from how often what was met (:func:`met`)."""
+        side = 2 * FAR * LEVELS + 1
+        bits, level = (met % 2).astype(np.float64), met // 2
+        odds = np.empty((ORDERS, len(met)))
+        for row in odds[::-1]:
+            row[:] = (level % side) / LEVELS - FAR
+            level = level // side
         for g in range(GATES):
-            x, y = odds[:, gate == g].T.astype(np.float64), bits[gate == g]
+            own = level == g
+            x, y, n = odds[:, own].T, bits[own], times[own]
             w = start = np.array([1.0] + [0.0] * (ORDERS - 1))
             for _ in range(20):
                 p = 1 / (1 + np.exp(-np.clip(x @ w, -14, 14)))
-                slope = x.T @ (y - p) - 10 * (w - start)
-                curve = (x * (p * (1 - p))[:, None]).T @ x + 10 * np.eye(ORDERS)
+                slope = x.T @ (n * (y - p)) - 10 * (w - start)
+                curve = (x * (n * p * (1 - p))[:, None]).T @ x + 10 * np.eye(ORDERS)
                 step = np.linalg.solve(curve, slope)
                 w = w + step / max(1.0, np.abs(step).max())
             self.weights[g] = w
 
 
+def met(odds: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Gate, rounded odds and outcome of decisions, as one number."""
+    side = 2 * FAR * LEVELS + 1
+    out = gates(odds).astype(np.int32)
+    for row in odds:
+        out *= np.int32(side)
+        level = np.clip(row, -FAR, FAR)
+        level *= np.float32(LEVELS)
+        out += np.rint(level, out=level).astype(np.int32) + np.int32(FAR * LEVELS)
+    out *= np.int32(2)
+    out += bits
+    return out
+
+
 def _frequent(counts: DataFrame, most: int) -> tuple[list[bytes], np.ndarray, int]:
     """The most frequent tokens and their counts, ``most`` at most, and the least count taken."""
     rounded = F.when(F.col("n") < 1024, F.col("n")).otherwise(
@@ -315,21 +336,36 @@ def _frequent(counts: DataFrame, most: int) -> tuple[list[bytes], np.ndarray, in
     return rows["token"].tolist(), rows["n"].to_numpy(np.int64), least
 
 
-def _hashed(texts: DataFrame, model: Model) -> list[np.ndarray]:
-    """Log odds of the slots of orders 1 and 2, from the decisions of all texts."""
+def _half(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(HALVES)).cast("int").alias("half")
+
+
+def _by_half(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
+    half = batch.column("half").to_numpy()
+    texts = utf8(batch.column("text"))
+    for h in range(HALVES):
+        if (own := np.flatnonzero(half == h)).size:
+            yield h, [texts[k] for k in own]
+
+
+def _hashed(texts: DataFrame, model: Model) -> DataFrame:
+    """``block``, and log odds of its slots of orders 1 and 2 from the decisions of ``all`` texts
+    and of each half of them."""
     spark = texts.sparkSession
     shared = spark.sparkContext.broadcast(_parts(model))
-    blocks = -(-(2 << model.slots) // BLOCK)
+    blocks = _blocks(model)
+    names = ["all", *(f"half{h}" for h in range(HALVES))]
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _whole(shared.value)
-        kept: list[list[np.ndarray]] = [[] for _ in range(ORDERS - 1)]
+        kept: list[list[np.ndarray]] = [[] for _ in range(HALVES * (ORDERS - 1))]
         held = 0
         for batch in pieces(batches, limit=PIECE):
-            found = own.decisions([own.read(t)[0] for t in utf8(batch.column("text"))])
-            for keys, slot in zip(kept, found.slots):
-                keys.append((slot << np.uint32(1)) | found.bits)
-                held += len(slot)
+            for h, half in _by_half(batch):
+                found = own.decisions([own.read(t)[0] for t in half])
+                for k, slot in enumerate(found.slots):
+                    kept[k * HALVES + h].append((slot << np.uint32(1)) | found.bits)
+                    held += len(slot)
             if held > RUN:
                 yield from _run(kept, blocks, BLOCK)
                 held = 0
@@ -337,29 +373,69 @@ def _hashed(texts: DataFrame, model: Model) -> list[np.ndarray]:
             yield from _run(kept, blocks, BLOCK)
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, total = None, np.zeros(BLOCK)
+        at, total = None, np.zeros((HALVES, BLOCK))
         for batch in batches:
-            for block, keys, counts in zip(*(batch.column(c).to_pylist() for c in batch.schema.names)):
+            for block, half, keys, counts in zip(*(c.to_pylist() for c in batch.columns)):
                 if at is not None and block != at:
-                    yield _odds(at, total)
+                    yield _odds(at, total, names)
                     total[:] = 0
                 at = block
-                total[np.cumsum(_unpacked(keys))] += _unpacked(counts)
+                total[half, np.cumsum(_unpacked(keys))] += _unpacked(counts)
         if at is not None:
-            yield _odds(at, total)
+            yield _odds(at, total, names)
 
-    counts = texts.select("text").mapInArrow(counted, "block long, keys binary, counts binary")
+    counts = texts.select("half", "text").mapInArrow(
+        counted, "block long, half int, keys binary, counts binary"
+    )
     dealt = counts.repartition(partitions(spark), "block").sortWithinPartitions("block")
-    out = np.zeros((ORDERS - 1, blocks * BLOCK // 2), np.float16)
+    found = dealt.mapInArrow(added, ", ".join(["block long", *(f"{x} binary" for x in names)]))
+    return stored(found, "hashed-odds")
+
+
+def _blocks(model: Model) -> int:
+    return -(-(2 << model.slots) // BLOCK)
+
+
+def _tables(hashed: DataFrame, name: str, model: Model) -> list[np.ndarray]:
+    """The odds of that name for all slots, two bytes a slot."""
+    out = np.zeros((ORDERS - 1, _blocks(model) * BLOCK // 2), np.float16)
     flat = out.reshape(-1)
-    for row in dealt.mapInArrow(added, "block long, odds binary").collect():  # two bytes a slot
+    for row in hashed.select("block", name).collect():
         at = row["block"] * BLOCK // 2
-        flat[at : at + BLOCK // 2] = np.frombuffer(row["odds"], np.float16)
+        flat[at : at + BLOCK // 2] = np.frombuffer(row[name], np.float16)
     return [table[: 1 << model.slots] for table in out]
 
 
+def _fit(texts: DataFrame, hashed: DataFrame, model: Model) -> None:
+    """Fits the weights of the model on the decisions of all texts by the odds of the other half."""
+    others = [_tables(hashed, f"half{(h + 1) % HALVES}", model) for h in range(HALVES)]
+    shared = texts.sparkSession.sparkContext.broadcast(_parts(model) | {"hashed": others})
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = _whole(shared.value)
+        others = own.hashed
+        times = np.zeros(2 * GATES * (2 * FAR * LEVELS + 1) ** ORDERS, np.int64)
+        for batch in pieces(batches, limit=PIECE):
+            for h, half in _by_half(batch):
+                own.hashed = others[h]
+                found = own.decisions([own.read(t)[0] for t in half])
+                np.add.at(times, met(own.odds(found), found.bits), 1)
+        own.hashed = others
+        some = np.flatnonzero(times)
+        for at in range(0, len(some), 100_000):
+            part = some[at : at + 100_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part), pa.array(times[part])], ["met", "n"]
+            )
+
+    found = texts.select("half", "text").mapInArrow(counted, "met long, n long")
+    rows = found.groupBy("met").agg(F.sum("n").alias("n")).toArrow()
+    model.fit(*(rows.column(c).to_numpy() for c in ("met", "n")))
+    shared.unpersist()
+
+
 def _run(kept: list[list[np.ndarray]], blocks: int, size: int) -> Iterator[pa.RecordBatch]:
-    """Counts of the distinct keys that were kept, by table and block; nothing is kept after that."""
+    """Counts of the distinct keys that were kept, by table, half and block; none is kept after that."""
     packer = zstandard.ZstdCompressor(level=1)
     for table, parts in enumerate(kept):
         keys = np.concatenate(parts) if parts else np.empty(0, np.uint32)
@@ -374,8 +450,12 @@ def _run(kept: list[list[np.ndarray]], blocks: int, size: int) -> Iterator[pa.Re
                 steps = np.diff(keys[a:b], prepend=np.uint32(block * size))
                 packed = [packer.compress(x.tobytes()) for x in (steps, counts[a:b])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([table * blocks + block]), *(pa.array([x], pa.binary()) for x in packed)],
-                    ["block", "keys", "counts"],
+                    [
+                        pa.array([table // HALVES * blocks + block]),
+                        pa.array([table % HALVES], pa.int32()),
+                        *(pa.array([x], pa.binary()) for x in packed),
+                    ],
+                    ["block", "half", "keys", "counts"],
                 )
 
 
@@ -383,12 +463,13 @@ def _unpacked(held: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(held), np.uint32)
 
 
-def _odds(block: int, total: np.ndarray) -> pa.RecordBatch:
-    zero, one = total.reshape(-1, 2).T
-    odds = np.log((one + 0.4) / (zero + 0.4)).astype(np.float16)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([block]), pa.array([odds.tobytes()], pa.binary())], ["block", "odds"]
-    )
+def _odds(block: int, total: np.ndarray, names: list[str]) -> pa.RecordBatch:
+    odds = []
+    for counts in (total.sum(0), *total):
+        zero, one = counts.reshape(-1, 2).T
+        odds.append(np.log((one + 0.4) / (zero + 0.4)).astype(np.float16).tobytes())
+    columns = [pa.array([block]), *(pa.array([x], pa.binary()) for x in odds)]
+    return pa.RecordBatch.from_arrays(columns, ["block", *names])
 
 
 def _parts(model: Model) -> dict:
@@ -424,11 +505,10 @@ def learned(docs: DataFrame) -> Corpus:
     frequent, n, least = _frequent(counts, coded_tokens(tokens))
     rest = tokens - int(n.sum()) + 0.5 * (distinct - len(n) + 1)
     model = Model(frequent, n, rest, slot_bits(tokens))
-    back = F.pmod(F.xxhash64("doc_id"), F.lit(HELD_BACK)) == 0
-    model.hashed = _hashed(training.where(~back), model)
-    sample = training.where(back & (F.length("text") <= LONGEST))
-    sample = sample.orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(TUNED).collect()
-    model.fit([model.read(r["text"].encode())[0] for r in sample])
+    texts = training.select("text", _half(F.col("doc_id")))
+    hashed = _hashed(texts, model)
+    _fit(texts, hashed, model)
+    model.hashed = _tables(hashed, "all", model)
     return Corpus(counts, tokens, distinct, least, model)
 
 

@@ -106,3 +106,16 @@ def test_counts_of_many_runs_and_blocks_are_whole(spark, monkeypatch):
     parts = lm_scoring.learned(docs.repartition(3)).model
     assert all(np.array_equal(a, b) for a, b in zip(whole.hashed, parts.hashed))
     assert all(len(t) == 1 << whole.slots and t.any() for t in whole.hashed)
+
+
+def test_all_training_documents_are_counted_and_fitted(spark):
+    # Long texts alone, of which one in many would have been held back.
+    texts = [(i, f"first{i} second{i} " + "some words come again and again " * 700) for i in range(300)]
+    rows = [(i, t) for i, t in texts if brute.fold(i) != 1]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = lm_scoring.learned(docs).model
+    assert (model.weights[:, 1:] != 0).any()
+    for i, text in rows:
+        found = model.decisions([model.read(text.encode())[0][:2]])
+        second = slice(found.firsts[1], None)
+        assert all((table[slots[second]] != 0).mean() > 0.5 for table, slots in zip(model.hashed, found.slots))
