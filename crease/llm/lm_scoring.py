@@ -15,8 +15,9 @@ is not in: one pass adds up in Spark how often the decisions met which odds, in
 and Newton's method runs on these sums. (Only the tree's own odds include the document.) Where one
 half is empty, as with a single training document, there is nothing to fit to.
 
-Refinement starts afresh every ``LANE`` tokens. So a score depends on the model and the text alone, a giant text is as many
-independent lanes, and a batch's lanes advance together in numpy.
+Refinement carries on through a whole text; one of more than ``LANE`` tokens is as many lanes, each
+refined apart. The lanes of a batch advance together in numpy, a stretch of tokens at a time. A score
+depends on the model and the text alone.
 
 Token counts are exact and grow with the corpus: tokens beyond the frequent ones are joined with
 their counts in Spark and never meet in one task. Hashed counts have a slot for every 16 training
@@ -50,7 +51,7 @@ FREQUENT = 1 << 16
 #: Training tokens for each coded token, where that makes more than ``FREQUENT``; for each slot.
 CODED = 4096
 SLOT = 16
-LANE = 32
+LANE = 8192
 FOLDS = 5
 #: Weights are fitted to odds counted in the other half; levels of odds a unit, and the most.
 HALVES, LEVELS, FAR = 2, 2, 14
@@ -60,8 +61,10 @@ GATES = 16
 #: Counts of a block of the hashed table; decisions that a task counts before it passes them on.
 BLOCK = 1 << 20
 RUN = 1 << 25
-#: Bytes of text worked on at a time.
+#: Bytes of text worked on at a time, and of text scored together; tokens of a stretch of all lanes.
 PIECE = 3 << 19
+SCORED = 16 << 20
+STRETCH = 1 << 16
 #: Distinct tokens that a task counts before it passes them on.
 COUNTED = 300_000
 
@@ -160,14 +163,21 @@ class Decisions(NamedTuple):
     firsts: np.ndarray
 
 
-def decisions(codes: Codes, symbols: np.ndarray, firsts: np.ndarray, slots: int) -> Decisions:
-    """Decisions of the symbols of texts, which begin at ``firsts``."""
+def contexts(symbols: np.ndarray, firsts: np.ndarray) -> list[np.ndarray]:
+    """Hashes of the tokens before each symbol, for orders 1 and 2; texts begin at ``firsts``."""
     one = np.concatenate([np.zeros(1, np.int64), symbols[:-1] + 1])
     one[firsts] = 0
     two = np.concatenate([np.zeros(1, np.int64), one[:-1]])
     two[firsts] = 0
     context1 = mixed((one + 1).astype(np.uint64))
     context2 = mixed(context1 + (two + 7).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return [(context >> np.uint64(32)).astype(np.uint32) for context in (context1, context2)]
+
+
+def decisions(
+    codes: Codes, symbols: np.ndarray, before: list[np.ndarray], slots: int
+) -> Decisions:
+    """Decisions of the symbols, which have these contexts before them."""
     lengths = (codes.starts[1:] - codes.starts[:-1])[symbols]
     begins = np.concatenate([[0], np.cumsum(lengths)])
     path = np.repeat((codes.starts[symbols] - begins[:-1]).astype(np.int32), lengths)
@@ -175,8 +185,8 @@ def decisions(codes: Codes, symbols: np.ndarray, firsts: np.ndarray, slots: int)
     nodes = codes.nodes[path]
     spread = nodes.astype(np.uint32) * np.uint32(0x9E3779B1)
     found = []
-    for context in (context1, context2):
-        value = np.repeat((context >> np.uint64(32)).astype(np.uint32), lengths)
+    for context in before:
+        value = np.repeat(context, lengths)
         value ^= spread
         value *= np.uint32(0x85EBCA6B)
         value ^= value >> np.uint32(15)
@@ -195,9 +205,10 @@ def gates(odds: np.ndarray) -> np.ndarray:
 
 
 def refined(
-    odds: np.ndarray, bits: np.ndarray, starts: np.ndarray, ends: np.ndarray, weights: np.ndarray
+    odds: np.ndarray, bits: np.ndarray, starts: np.ndarray, ends: np.ndarray, own: np.ndarray
 ) -> np.ndarray:
-    """Natural log probability of each lane's decisions, its weights refined along the way.
+    """Natural log probability of each lane's decisions; its weights, in ``own`` by order and then
+    lane and gate, are refined along the way.
 
     The lanes' first decisions come first, then their second ones, and so on, so that a step of all
     lanes works on a slice.
@@ -210,9 +221,8 @@ def refined(
     begins = np.cumsum(live) - live
     lane = np.arange(live.sum(), dtype=np.int32) - np.repeat(begins, live).astype(np.int32)
     at = starts[order].astype(np.int32)[lane] + np.repeat(steps.astype(np.int32), live)
-    gate = gates(odds)[at] + lane * np.int32(GATES)
+    gate = gates(odds)[at] + order[lane] * GATES
     odds, bits = odds[:, at], bits[at].astype(np.float32)
-    own = np.repeat(weights.T[:, None, :], len(order), 1).reshape(ORDERS, -1)  # order, lane x gate
     total = np.zeros(len(order))
     for begin, n in zip(begins, live):
         x, place = odds[:, begin : begin + n], gate[begin : begin + n]
@@ -259,7 +269,7 @@ class Model:
         lengths = np.array([len(t) for t in texts])
         firsts = np.cumsum(lengths) - lengths
         symbols = np.fromiter(chain.from_iterable(texts), np.int64, int(lengths.sum()))
-        return decisions(self.codes, symbols, firsts, self.slots)
+        return decisions(self.codes, symbols, contexts(symbols, firsts), self.slots)
 
     def odds(self, found: Decisions) -> np.ndarray:
         out = np.empty((ORDERS, len(found.nodes)), np.float32)
@@ -270,19 +280,32 @@ class Model:
 
     def scores(self, texts: list[list[int]]) -> np.ndarray:
         """Log10 probability of each text's symbols."""
-        found = self.decisions(texts)
         lengths = np.array([len(t) for t in texts])
         firsts = np.cumsum(lengths) - lengths
+        symbols = np.fromiter(chain.from_iterable(texts), np.int64, int(lengths.sum()))
+        before = contexts(symbols, firsts)
         lanes = -(-lengths // LANE)
         lane_first = np.repeat(firsts, lanes) + LANE * (
             np.arange(lanes.sum()) - np.repeat(np.cumsum(lanes) - lanes, lanes)
         )
         lane_end = np.minimum(lane_first + LANE, np.repeat(firsts + lengths, lanes))
-        each = refined(
-            self.odds(found), found.bits, found.firsts[lane_first], found.firsts[lane_end],
-            self.weights,
-        )
-        return np.add.reduceat(each, np.cumsum(lanes) - lanes) / np.log(10)
+        order = np.argsort(lane_first - lane_end, kind="stable")
+        at, end = lane_first[order], lane_end[order]
+        own = np.tile(self.weights.T, (1, len(order)))
+        each, live = np.zeros(len(order)), len(order)
+        while live := int(np.count_nonzero(at[:live] < end[:live])):  # longest lanes first
+            stop = np.minimum(at[:live] + max(STRETCH // live, 16), end[:live])
+            size = stop - at[:live]
+            begins = np.cumsum(size) - size
+            place = np.repeat(at[:live] - begins, size) + np.arange(size.sum())
+            found = decisions(self.codes, symbols[place], [c[place] for c in before], self.slots)
+            ends = found.firsts[begins + size]
+            odds = self.odds(found)
+            each[:live] += refined(odds, found.bits, found.firsts[begins], ends, own)
+            at[:live] = stop
+        out = np.empty(len(order))
+        out[order] = each
+        return np.add.reduceat(out, np.cumsum(lanes) - lanes) / np.log(10)
 
     def fit(self, met: np.ndarray, times: np.ndarray) -> None:
         """Weights by Newton's method, gate by gate, from how often what was met (:func:`met`)."""
@@ -528,7 +551,7 @@ def scored(docs: DataFrame) -> DataFrame:
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _whole(shared.value)
         kind = pa.list_(pa.struct([("token", pa.binary()), ("times", pa.int64())]))
-        for batch in pieces(batches, limit=PIECE):
+        for batch in pieces(batches, limit=SCORED):
             texts = utf8(batch.column("text"))
             read = [model.read(t) for t in texts]
             symbols = [np.array(s) for s, _ in read]

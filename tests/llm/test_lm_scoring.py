@@ -119,3 +119,13 @@ def test_all_training_documents_are_counted_and_fitted(spark):
         found = model.decisions([model.read(text.encode())[0][:2]])
         second = slice(found.firsts[1], None)
         assert all((table[slots[second]] != 0).mean() > 0.5 for table, slots in zip(model.hashed, found.slots))
+
+
+def test_refined_weights_are_carried_through_a_text():
+    model = lm_scoring.Model([b"a", b"b", b""], np.array([5, 30, 2]), 1.0, 16)
+    short, whole = model.scores([[0] * 32, [0] * 1024])
+    assert whole > 32 * short * 0.8
+    # In several lanes and stretches, texts of any length at once.
+    texts = [[0, 1] * 9000, [1], [0] * 700, [0, 1, 2] * 40]
+    alone = [model.scores([t])[0] for t in texts]
+    assert np.allclose(model.scores(texts), alone, rtol=1e-5)
