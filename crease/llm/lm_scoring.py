@@ -34,7 +34,7 @@ from __future__ import annotations
 
 import heapq
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 from typing import NamedTuple
 
@@ -60,7 +60,7 @@ ORDERS = 3
 GATES = 16
 #: Counts of a block of the hashed table; decisions that a task counts before it passes them on.
 BLOCK = 1 << 20
-RUN = 1 << 25
+RUN = 1 << 24
 #: Bytes of text worked on at a time, and of text scored together; tokens of a stretch of all lanes.
 PIECE = 3 << 19
 SCORED = 16 << 20
@@ -375,7 +375,7 @@ def _hashed(texts: DataFrame, model: Model) -> DataFrame:
     """``block``, and log odds of its slots of orders 1 and 2 from the decisions of ``all`` texts
     and of each half of them."""
     spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast(_parts(model))
+    shared = spark.sparkContext.broadcast(_parts(model) | {"hashed": []})
     blocks = _blocks(model)
     names = ["all", *(f"half{h}" for h in range(HALVES))]
 
@@ -423,7 +423,7 @@ def _tables(hashed: DataFrame, name: str, model: Model) -> list[np.ndarray]:
     """The odds of that name for all slots, two bytes a slot."""
     out = np.zeros((ORDERS - 1, _blocks(model) * BLOCK // 2), np.float16)
     flat = out.reshape(-1)
-    for row in hashed.select("block", name).collect():
+    for row in hashed.select("block", name).toLocalIterator():
         at = row["block"] * BLOCK // 2
         flat[at : at + BLOCK // 2] = np.frombuffer(row[name], np.float16)
     return [table[: 1 << model.slots] for table in out]
@@ -431,30 +431,31 @@ def _tables(hashed: DataFrame, name: str, model: Model) -> list[np.ndarray]:
 
 def _fit(texts: DataFrame, hashed: DataFrame, model: Model) -> None:
     """Fits the weights of the model on the decisions of all texts by the odds of the other half."""
-    others = [_tables(hashed, f"half{(h + 1) % HALVES}", model) for h in range(HALVES)]
-    shared = texts.sparkSession.sparkContext.broadcast(_parts(model) | {"hashed": others})
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = _whole(shared.value)
-        others = own.hashed
-        times = np.zeros(2 * GATES * (2 * FAR * LEVELS + 1) ** ORDERS, np.int64)
-        for batch in pieces(batches, limit=PIECE):
-            for h, half in _by_half(batch):
-                own.hashed = others[h]
-                found = own.decisions([own.read(t)[0] for t in half])
+    def counted(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own = _whole(shared.value)
+            times = np.zeros(2 * GATES * (2 * FAR * LEVELS + 1) ** ORDERS, np.int64)
+            for batch in pieces(batches, limit=PIECE):
+                found = own.decisions([own.read(t)[0] for t in utf8(batch.column("text"))])
                 np.add.at(times, met(own.odds(found), found.bits), 1)
-        own.hashed = others
-        some = np.flatnonzero(times)
-        for at in range(0, len(some), 100_000):
-            part = some[at : at + 100_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part), pa.array(times[part])], ["met", "n"]
-            )
-
-    found = texts.select("half", "text").mapInArrow(counted, "met long, n long")
-    rows = found.groupBy("met").agg(F.sum("n").alias("n")).toArrow()
+            some = np.flatnonzero(times)
+            for at in range(0, len(some), 100_000):
+                part = some[at : at + 100_000]
+                yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(times[part])], ["met", "n"])
+
+        return of
+
+    sums = []
+    for h in range(HALVES):  # one after the other, since each takes a model of its own
+        other = _tables(hashed, f"half{(h + 1) % HALVES}", model)
+        shared = texts.sparkSession.sparkContext.broadcast(_parts(model) | {"hashed": other})
+        del other
+        found = texts.where(F.col("half") == h).select("text")
+        found = found.mapInArrow(counted(shared), "met long, n long")
+        sums.append(found.groupBy("met").agg(F.sum("n").alias("n")).toArrow())
+        shared.destroy()
+    rows = pa.concat_tables(sums)
     model.fit(*(rows.column(c).to_numpy() for c in ("met", "n")))
-    shared.unpersist()
 
 
 def _run(kept: list[list[np.ndarray]], blocks: int, size: int) -> Iterator[pa.RecordBatch]:
@@ -471,7 +472,7 @@ def _run(kept: list[list[np.ndarray]], blocks: int, size: int) -> Iterator[pa.Re
         for block, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
             if a < b:
                 steps = np.diff(keys[a:b], prepend=np.uint32(block * size))
-                packed = [packer.compress(x.tobytes()) for x in (steps, counts[a:b])]
+                packed = [packer.compress(_planes(x)) for x in (steps, counts[a:b])]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([table // HALVES * blocks + block]),
@@ -482,8 +483,14 @@ def _run(kept: list[list[np.ndarray]], blocks: int, size: int) -> Iterator[pa.Re
                 )
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """The low bytes of all values, then their next ones, and so on: most are small."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
 def _unpacked(held: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(held), np.uint32)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(held), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view(np.uint32).reshape(-1)
 
 
 def _odds(block: int, total: np.ndarray, names: list[str]) -> pa.RecordBatch:
