@@ -149,3 +149,69 @@ SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS
        sha256(coalesce(k.text, '')) AS kept_sha256
 FROM words w LEFT JOIN kept k ON w.doc_id = k.doc_id
 """
+
+RESAMPLING = r"""
+WITH steps(k) AS (SELECT unnest(range(256))::UBIGINT),
+-- The CRC-32 table: eight shifts of each byte.
+shifted AS (
+    SELECT k, list_reduce([k, 0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[], lambda v, zero:
+        CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::UBIGINT) ELSE v >> 1 END) AS value
+    FROM steps
+),
+crc AS (SELECT list(value ORDER BY k) AS tab FROM shifted),
+texts AS (
+    SELECT 's' AS side, doc_id AS id, text FROM documents
+    UNION ALL SELECT 't', item_id, text FROM benchmark
+),
+words AS (
+    SELECT side, id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+    FROM texts
+),
+features AS (SELECT side, id, word, count(*) AS n FROM words GROUP BY ALL),
+hexed AS (SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM features)),
+placed AS (
+    SELECT word, xor(list_reduce(
+        list_prepend(4294967295::UBIGINT, list_transform(range(len(h) // 2),
+            lambda i: ('0x' || substr(h, 2 * i::INTEGER + 1, 2))::UBIGINT)),
+        lambda c, b: xor(tab[(xor(c, b) & 255)::INTEGER + 1], c >> 8)), 4294967295::UBIGINT) % 10000
+        AS bucket
+    FROM hexed, crc
+),
+counts AS (
+    SELECT bucket, coalesce(sum(n) FILTER (side = 's'), 0)::DOUBLE AS s,
+           coalesce(sum(n) FILTER (side = 't'), 0)::DOUBLE AS t
+    FROM features JOIN placed USING (word) GROUP BY bucket
+),
+totals AS (SELECT sum(s) AS s, sum(t) AS t FROM counts),
+gains AS (
+    SELECT bucket, floor(1000.0::DOUBLE * ln(((c.t + 1) * (a.s + 10000)) / ((c.s + 1) * (a.t + 10000))))::BIGINT AS gain
+    FROM counts c, totals a
+),
+weights AS (
+    SELECT id AS doc_id, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS total
+    FROM features JOIN placed USING (word) JOIN gains USING (bucket)
+    WHERE side = 's' GROUP BY id
+),
+weighed AS (
+    SELECT doc_id, coalesce(n_features, 0) AS n_features,
+           CASE WHEN n_features IS NULL THEN 0
+                ELSE (total - ((total % n_features) + n_features) % n_features) // n_features
+           END AS weight,
+           ('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT AS h
+    FROM documents LEFT JOIN weights USING (doc_id)
+),
+scored AS (
+    SELECT doc_id, n_features, weight::BIGINT AS weight,
+           weight::BIGINT + floor(-1000.0::DOUBLE * ln(-ln((h::DOUBLE + 0.5) / 4294967296.0::DOUBLE)))::BIGINT AS score
+    FROM weighed
+),
+able AS (
+    SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+    FROM scored WHERE n_features >= 20
+)
+SELECT s.doc_id, s.n_features, s.weight, s.score,
+       CASE WHEN place <= n * 10 // 100 THEN place END AS rank
+FROM scored s LEFT JOIN able USING (doc_id)
+"""

@@ -12,12 +12,15 @@ from crease.llm import (
     fingerprints,
     line_dedup,
     lm_scoring,
+    merge_replay,
     mixing,
     near_dedup,
     oracle,
+    periodic_runs,
     pieces,
     quality_classifier,
     quality_rules,
+    resampling,
     substring_dedup,
     token_files,
 )
@@ -99,6 +102,31 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), path)
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents weighed towards the benchmark, a tenth of them drawn and ranked."""
+    documents, target = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return resampling.resampled(documents, target)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of all documents, a tenth of which have some put in."""
+    documents = periodic_runs.with_planted_runs(table(spark, sf_dir, "documents"))
+    return periodic_runs.digests(periodic_runs.collapsed(documents))
+
+
+def op13_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents by the rank file, and digests of them and of what they decode to."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    documents = table(spark, sf_dir, "documents")
+    tokens = merge_replay.encoded(documents, path, public_tokenizers.PATTERN)
+    return merge_replay.decoded(tokens, path).select(
+        "doc_id",
+        F.expr("cast(octet_length(ids) / 4 as long)").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprints": op1_fingerprints,
@@ -111,8 +139,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_line_dedup": op9_line_dedup,
         "op10_token_files": op10_token_files,
+        "op11_resampling": op11_resampling,
+        "op12_periodic_runs": op12_periodic_runs,
+        "op13_merge_replay": op13_merge_replay,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_near_dedup": oracle.NEAR_DEDUP, "op7_mixing": oracle.MIXING, "op8_substring_dedup": oracle.SUBSTRING_DEDUP, "op9_line_dedup": oracle.LINE_DEDUP}
+    return {
+        "op5_near_dedup": oracle.NEAR_DEDUP,
+        "op7_mixing": oracle.MIXING,
+        "op8_substring_dedup": oracle.SUBSTRING_DEDUP,
+        "op9_line_dedup": oracle.LINE_DEDUP,
+        "op11_resampling": oracle.RESAMPLING,
+    }

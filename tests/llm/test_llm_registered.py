@@ -29,7 +29,7 @@ def test_query_equals_its_sql(spark, name):
 
 def test_one_query_for_each_operator():
     names = sorted(int(name.split("_")[0][2:]) for name in queries.queries())
-    assert names == list(range(1, 11))
+    assert names == list(range(1, 14))
     assert {*queries.queries(), "pipeline"} <= {*registered.queries()}
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "line_dedup", "near_dedup", "mixing", "sentencepiece",
