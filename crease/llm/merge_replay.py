@@ -1,12 +1,12 @@
 """Byte-level BPE encoding and decoding: the merges of a rank file, replayed over a corpus's words.
 
 The pattern cuts texts into words, which are merged each on its own, so a word that a corpus holds a
-billion times is merged once. Texts are kept in blocks as numbers into the block's list of distinct
-words. The corpus's distinct words are dealt by hash to tasks, each of which replays the merges over all
-its words at once: an inverted index holds, for each merge (by the rank of what it makes), the places of
-the pairs that it applies to; the lowest rank goes first, over all its places, and only the pairs with
-the two neighbours of a merged place are looked up anew. The words' ids then go back to the blocks that
-hold the words, and blocks open to documents.
+billion times is merged once. Texts are kept in blocks as numbers into the block's distinct words. These
+are dealt by hash, as one row a block and share, to tasks, so that equal words of all blocks meet. Each
+task replays the merges over its words together: an inverted index holds, for each merge (by the rank of
+what it makes), the places of the pairs that it applies to; the lowest rank goes first, over all its
+places, and only the pairs with the two neighbours of a merged place are looked up anew. The ids go back
+to the blocks that hold the words, which lie in buckets and aren't moved, and blocks open to documents.
 
 A pair is mergeable where its bytes together have a rank, and a word that is itself a token is that
 token, as in the ``tiktoken`` library. Should a merge make a pair of a lower rank than its own, the rest
@@ -17,7 +17,8 @@ Decoding looks up each id's bytes.
 Cases: a null text is an empty one; an empty text has no ids and decodes to nothing. Special tokens
 aren't known: their strings are ordinary text. Rows are encoded each on its own, whatever ids and texts
 they share; other columns are not read. A giant text is a block of its own, a giant word is replayed by
-one task, some 100 bytes a byte of it. An empty table gives no rows.
+one task, some 100 bytes a byte of it. A task remembers the ids of up to ``MEMORY`` words; beyond that it
+begins anew, and a word may be replayed again. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,19 +29,25 @@ from bisect import bisect_right
 from collections.abc import Iterator
 from heapq import heappop, heappush
 from itertools import accumulate
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 import regex
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crease.llm.tables import pieces, stored
+from crease.llm.tables import bucketed, partitions, pieces
 
-#: Bytes of text of a block, and bytes of words that merges are replayed over at a time.
+#: Bytes of text of a block.
 BLOCK = 16 << 20
-REPLAYED = 1 << 20
+#: Words that merges are replayed over at a time, about, and whose ids a task remembers.
+REPLAYED = 1 << 16
+MEMORY = 1 << 20
+#: Stands between words in a list; no UTF-8 text has this byte.
+_BETWEEN = b"\xff"
 
 
 class Ranks:
@@ -137,14 +144,25 @@ class _Numbered(dict):
         return number
 
 
+def _packed(values: np.ndarray) -> bytes:
+    return zstandard.compress(values.astype("<u4").tobytes())
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(packed), "<u4")
+
+
 _BLOCKS = (
-    "block long, doc_ids array<long>, n_words array<long>, width int, numbers binary, "
-    "words array<string>"
+    "block long, doc_ids array<long>, n_words array<long>, numbers binary, "
+    "shares array<struct<share: int, words: binary>>"
 )
+_SHARES = pa.list_(pa.struct([("share", pa.int32()), ("words", pa.binary())]))
 
 
-def blocks(docs: DataFrame, pattern: str) -> DataFrame:
-    """Texts as numbers of their words (``width`` bytes each), by block, with its distinct words."""
+def blocks(docs: DataFrame, pattern: str, shares: int) -> DataFrame:
+    """Texts as numbers of their words, by block, with its distinct words in shares by hash.
+
+    Words are numbered through all shares of the block, in order of the shares."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(pattern).findall
@@ -156,17 +174,25 @@ def blocks(docs: DataFrame, pattern: str) -> DataFrame:
                 found = find(text.as_py() or "")
                 numbers.extend(map(numbered.__getitem__, found))
                 counts.append(len(found))
-            width = 2 if len(numbered) <= 1 << 16 else 4
-            held = np.frombuffer(numbers, np.uint32).astype(f"<u{width}").tobytes()
+            words = [w.encode() for w in numbered]
+            share = np.fromiter((crc32(w) % shares for w in words), np.int64, len(words))
+            order = np.argsort(share, kind="stable")
+            place = np.empty(len(words), np.uint32)
+            place[order] = np.arange(len(words))
+            sizes = np.bincount(share, minlength=shares)
+            lists = []
+            for k, past in zip(np.flatnonzero(sizes), np.cumsum(sizes)[sizes > 0]):
+                held = [words[i] for i in order[past - sizes[k] : past]]
+                packed = zstandard.compress(_BETWEEN.join(held))
+                lists.append({"share": int(k), "words": packed})
             columns = [
                 pa.array([block]),
                 pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())),
                 pa.array([counts], pa.list_(pa.int64())),
-                pa.array([width], pa.int32()),
-                pa.array([held], pa.binary()),
-                pa.array([list(numbered)], pa.list_(pa.string())),
+                pa.array([_packed(place[np.frombuffer(numbers, np.uint32)])], pa.binary()),
+                pa.array([lists], _SHARES),
             ]
-            names = ["block", "doc_ids", "n_words", "width", "numbers", "words"]
+            names = ["block", "doc_ids", "n_words", "numbers", "shares"]
             yield pa.RecordBatch.from_arrays(columns, names)
             block += 1
 
@@ -174,47 +200,84 @@ def blocks(docs: DataFrame, pattern: str) -> DataFrame:
     return rows.mapInArrow(made, _BLOCKS)
 
 
-def replayed(words: DataFrame, path: str) -> DataFrame:
-    """``word`` and ``ids`` (four bytes each, low byte first) of a table of distinct words."""
+def replayed(lists: DataFrame, path: str) -> DataFrame:
+    """Lists of words (``block``, ``share``, ``words``) with ``counts`` and ``ids`` in their place: how
+    many ids each word has, and the ids of all, one after the other."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = None
-        for batch in pieces(batches, "word", REPLAYED):
-            ranks = ranks or Ranks(path)
-            found = ranks.replayed([w.encode() for w in batch.column("word").to_pylist()])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("word"), pa.array(found, pa.binary())], ["word", "ids"]
-            )
+        ranks = Ranks(path)
+        known: dict[bytes, bytes] = {}
+        waiting: list[tuple[int, int, list[bytes]]] = []
+        new: dict[bytes, None] = {}
+
+        def finished() -> pa.RecordBatch:
+            known.update(zip(new, ranks.replayed(list(new))))
+            found = [[known[w] for w in words] for _, _, words in waiting]
+            counts = [np.fromiter((len(i) // 4 for i in ids), np.uint32, len(ids)) for ids in found]
+            columns = [
+                pa.array([block for block, _, _ in waiting], pa.int64()),
+                pa.array([share for _, share, _ in waiting], pa.int32()),
+                pa.array(map(_packed, counts), pa.binary()),
+                pa.array([zstandard.compress(b"".join(ids)) for ids in found], pa.binary()),
+            ]
+            waiting.clear()
+            new.clear()
+            if len(known) > MEMORY:
+                known.clear()
+            return pa.RecordBatch.from_arrays(columns, ["block", "share", "counts", "ids"])
+
+        held = 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                words = zstandard.decompress(row["words"]).split(_BETWEEN)
+                waiting.append((row["block"], row["share"], words))
+                new.update(dict.fromkeys(w for w in words if w not in known))
+                held += len(words)
+                if len(new) > REPLAYED or held > 8 * REPLAYED:
+                    yield finished()
+                    held = 0
+        if waiting:
+            yield finished()
 
-    return words.select("word").mapInArrow(made, "word string, ids binary")
+    return lists.mapInArrow(made, "block long, share int, counts binary, ids binary")
+
+
+def _gathered(numbers: np.ndarray, counts: np.ndarray, starts: np.ndarray, ids: np.ndarray):
+    """The ids of words by number, and how many each word has."""
+    n = counts[numbers]
+    place = np.repeat(starts[numbers] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    return ids[place], n
 
 
 def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``doc_id`` and ``ids`` (four bytes each, low byte first) of every text."""
-    cut = stored(blocks(docs, pattern), "blocks")
-    places = cut.select("block", F.posexplode("words").alias("place", "word"))
-    words = stored(replayed(places.select("word").distinct(), path), "words")
-    lists = (
-        places.join(words, "word")
-        .groupBy("block")
-        .agg(F.sort_array(F.collect_list(F.struct("place", "ids"))).alias("ids"))
-        .select("block", F.col("ids.ids").alias("ids"))
-    )
+    n = partitions(docs.sparkSession)
+    cut = bucketed(blocks(docs, pattern, n), "blocks", "block", n)
+    lists = cut.select("block", F.explode("shares").alias("held")).select("block", "held.*")
+    merged = replayed(lists.repartitionById(n, "share"), path)
+    found = F.sort_array(F.collect_list(F.struct("share", "counts", "ids")))
+    by_block = merged.groupBy("block").agg(found.alias("found"))
 
     def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                numbers = batch.column("numbers")[row].as_py()
-                numbers = np.frombuffer(numbers, f"<u{batch.column('width')[row].as_py()}")
-                ids = batch.column("ids")[row].as_py() or []
+                found = batch.column("found")[row].as_py() or []
+                nothing = [np.empty(0, np.uint32)]
+                counts = np.concatenate(nothing + [_unpacked(f["counts"]) for f in found])
+                ids = np.concatenate(nothing + [_unpacked(f["ids"]) for f in found])
+                counts = counts.astype(np.int64)
+                starts = np.cumsum(counts) - counts
+                numbers = _unpacked(batch.column("numbers")[row].as_py())
                 doc_ids = batch.column("doc_ids")[row].as_py()
-                ends = np.cumsum(batch.column("n_words")[row].as_py(), dtype=np.int64).tolist()
+                ends = np.cumsum(batch.column("n_words")[row].as_py(), dtype=np.int64)
                 at = 0
                 for first in range(0, len(ends), 256):
-                    texts = []
-                    for end in ends[first : first + 256]:
-                        texts.append(b"".join([ids[k] for k in numbers[at:end].tolist()]))
-                        at = end
+                    past = ends[first : first + 256]
+                    held, each = _gathered(numbers[at : past[-1]], counts, starts, ids)
+                    cuts = 4 * np.append(0, np.cumsum(each))[np.append(at, past) - at]
+                    joined = held.astype("<u4").tobytes()
+                    texts = [joined[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+                    at = int(past[-1])
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(doc_ids[first : first + 256], pa.int64()),
@@ -224,7 +287,7 @@ def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                     )
 
     # A block without words is in no list.
-    rows = cut.drop("words").join(lists, "block", "left")
+    rows = cut.drop("shares").join(by_block.hint("merge"), "block", "left")
     return rows.mapInArrow(opened, "doc_id long, ids binary")
 
 

@@ -31,6 +31,16 @@ def stored(rows: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def bucketed(rows: DataFrame, purpose: str, column: str, buckets: int) -> DataFrame:
+    """The same as a table in buckets by a column: joins on it leave these rows where they are."""
+    spark = rows.sparkSession
+    name = f"crease_llm_{purpose}_{uuid4().hex}"
+    path = f"{shared_folder(spark)}/crease-llm/{name}"
+    writer = rows.write.bucketBy(buckets, column).option("path", path)
+    writer.option("compression", "zstd").saveAsTable(name)
+    return spark.table(name)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

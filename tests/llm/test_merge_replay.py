@@ -57,7 +57,8 @@ def test_a_merge_that_makes_a_pair_of_a_lower_rank(tmp_path):
 
 def test_cases_in_small_blocks(spark, ranks, monkeypatch):
     monkeypatch.setattr(merge_replay, "BLOCK", 300)
-    monkeypatch.setattr(merge_replay, "REPLAYED", 100)
+    monkeypatch.setattr(merge_replay, "REPLAYED", 10)
+    monkeypatch.setattr(merge_replay, "MEMORY", 30)
     rows = tables.CASES + [(100 + k, t, "en", "a") for k, t in enumerate(ODD)]
     docs, encoding = tables.cases(spark, rows), library(ranks.rank)
     tokens = merge_replay.encoded(docs, PATH, public_tokenizers.PATTERN)
