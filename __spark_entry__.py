@@ -16,7 +16,7 @@ from importlib.util import find_spec
 from pathlib import Path
 from threading import Lock
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -28,7 +28,7 @@ from crease.operators.copies import latest_copies  # noqa: E402
 from crease.plans import build, career, narrative, quality, serving  # noqa: E402
 from crease.session import shared_folder  # noqa: E402
 from crease.sources.tables import Warehouse, buckets_for  # noqa: E402
-from crease.streaming.ingest import stream_load  # noqa: E402
+from crease.streaming.ingest import stream_load, stream_merge  # noqa: E402
 
 if find_spec("crease.llm") and find_spec("corpus_pipeline"):
     import corpus_pipeline
@@ -179,6 +179,22 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select("match_id", "file_name").join(balls, "match_id")
 
 
+def stream_fact_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two folders with matches in common, merged into the fact as streams of several batches."""
+
+    def fill(wh: Warehouse) -> None:
+        files = _documents(spark, sf_dir)
+        for day, part in _two_days():
+            folder = f"{wh.root}/landing/day{day}"
+            written = league.write_files(files.where(part), folder)
+            stamp = F.lit(f"2024-01-0{day} 00:00:00")
+            checkpoint = f"{wh.root}/checkpoint/day{day}"
+            half = -(-written // 2)
+            stream_merge(wh, folder, checkpoint, stamp, files_per_batch=half).awaitTermination()
+
+    return _stamped(_once(spark, sf_dir, "stream_merge", fill).table("fact_ball"))
+
+
 def stg_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.stg_matches(league_warehouse(spark, sf_dir).table("raw_match_json"))
 
@@ -212,13 +228,18 @@ def fact_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stamped(league_warehouse(spark, sf_dir).table("fact_ball"))
 
 
+def _two_days() -> list[tuple[int, Column]]:
+    """Which matches come on the first and on the second of two days; some come on both."""
+    match = F.regexp_substr("file_name", F.lit(r"\d+")).cast("long") - league.FIRST_MATCH_ID
+    return [(1, match % 8 < 6), (2, match % 8 >= 4)]
+
+
 def fact_ball_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads with matches in common, each merged into the fact."""
 
     def fill(wh: Warehouse) -> None:
-        match = F.regexp_substr("file_name", F.lit(r"\d+")).cast("long") - league.FIRST_MATCH_ID
         files = _documents(spark, sf_dir)
-        for day, part in ((1, match % 8 < 6), (2, match % 8 >= 4)):
+        for day, part in _two_days():
             stamp = F.lit(f"2024-01-0{day} 00:00:00")
             build.load(wh, files.where(part), f"day{day}", stamp, skip_present=False)
             build.build(wh)
@@ -369,6 +390,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         **{table: _mart(table) for table in dimensions},
         "fact_ball": fact_ball,
         "fact_ball_incremental": fact_ball_incremental,
+        "stream_fact_ball": stream_fact_ball,
         **{name: _view(lambda view: view, name) for name in build.GOLD},
         "match_list": _view(serving.match_list, "dim_match"),
         "season_list": _view(serving.season_list, "dim_match"),

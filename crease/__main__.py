@@ -12,7 +12,7 @@ from crease.plans import build, quality
 from crease.session import builder
 from crease.sources.landing import list_folder, read_folder
 from crease.sources.tables import Warehouse
-from crease.streaming.ingest import stream_load
+from crease.streaming.ingest import stream_load, stream_merge
 
 
 def main(arguments: list[str] | None = None) -> int:
@@ -26,6 +26,7 @@ def main(arguments: list[str] | None = None) -> int:
     watching = steps.add_parser("stream", help="load files not yet seen in a folder")
     watching.add_argument("folder")
     watching.add_argument("--wait", action="store_true", help="keep waiting for more")
+    watching.add_argument("--merge", action="store_true", help="merge each batch into the tables")
     building = steps.add_parser("build", help="bring the marts up to date")
     building.add_argument("--full-refresh", action="store_true")
     steps.add_parser("freshness", help="age of the newest raw row")
@@ -50,7 +51,8 @@ def main(arguments: list[str] | None = None) -> int:
             build.load_folder(wh, chosen.folders, load_id)
     elif chosen.step == "stream":
         checkpoint = f"{wh.root}/checkpoint"
-        stream_load(wh, chosen.folder, checkpoint, continuous=chosen.wait).awaitTermination()
+        take = stream_merge if chosen.merge else stream_load
+        take(wh, chosen.folder, checkpoint, continuous=chosen.wait).awaitTermination()
     elif chosen.step == "build":
         build.build(wh, chosen.full_refresh)
     elif chosen.step == "freshness":

@@ -1,9 +1,12 @@
 """Keyed merge into a stored table, safe to repeat after a crash at any point.
 
-Parquet has no MERGE. New matches are appended; parts that already hold rows of an arriving
+Parquet has no MERGE. New matches are appended; buckets that already hold rows of an arriving
 match are rewritten as a whole. Both happen only after the arriving rows, and the complete
-content of every part about to be replaced, are stored beside the table. A note says which of
+content of every bucket about to be replaced, are stored beside the table. A note says which of
 these copies is complete, so that the next call can finish what an earlier one left undone.
+
+A merge may carry a mark, as a stream's batch does: the note keeps it, and a merge that comes
+again under the mark of the last one, which is complete, changes nothing.
 """
 
 from __future__ import annotations
@@ -16,40 +19,43 @@ from crease.sources.tables import Warehouse
 IDLE, LOADING, ARRIVED, REWRITING = "idle", "loading", "arrived", "rewriting"
 
 
-def upsert(wh: Warehouse, table: str, rows: DataFrame, key: str) -> None:
+def upsert(wh: Warehouse, table: str, rows: DataFrame, key: str, mark: str | None = None) -> None:
     """Merge rows on ``key``; rows of a match with a key that no longer arrives stay.
 
     With ``key="match_id"`` all earlier rows of an arriving match are replaced. Columns new to
     the table are added to it, columns missing from the rows are null in them.
     """
-    recover(wh, table, key)
+    done = recover(wh, table, key)
+    if mark is not None and done == mark:
+        return
     _widen(wh, table, rows)
     if wh.stored(table).isEmpty():
         wh.note(table, LOADING)
         wh.append(table, rows)
-        wh.note(table, IDLE)
+        wh.note(table, IDLE, mark)
         return
     wh.clear(f"{table}_arrivals")
     wh.append(f"{table}_arrivals", rows)
-    wh.note(table, ARRIVED)
-    _apply(wh, table, key)
+    wh.note(table, ARRIVED, mark)
+    _apply(wh, table, key, mark)
 
 
-def recover(wh: Warehouse, table: str, key: str) -> None:
-    """Finish, or undo, a merge that was interrupted."""
-    state = wh.noted(table)
+def recover(wh: Warehouse, table: str, key: str) -> str | None:
+    """Finish, or undo, a merge that was interrupted; the mark of the last one that is complete."""
+    state, mark = wh.noted_and_marked(table)
     if state == LOADING:
         wh.clear(table)
         wh.note(table, IDLE)
     elif state == REWRITING:
         wh.replace(table, wh.stored(f"{table}_rewrite"))
-        wh.note(table, ARRIVED)
-        _apply(wh, table, key)
+        wh.note(table, ARRIVED, mark)
+        _apply(wh, table, key, mark)
     elif state == ARRIVED:
-        _apply(wh, table, key)
+        _apply(wh, table, key, mark)
+    return mark
 
 
-def _apply(wh: Warehouse, table: str, key: str) -> None:
+def _apply(wh: Warehouse, table: str, key: str, mark: str | None) -> None:
     arrivals = wh.stored(f"{table}_arrivals")
     arriving_parts = [row.part for row in arrivals.select("part").distinct().collect()]
     candidates = wh.stored(table).where(F.col("part").isin(arriving_parts))
@@ -62,12 +68,12 @@ def _apply(wh: Warehouse, table: str, key: str) -> None:
         merged = staying.unionByName(arrivals.where(in_touched))
         wh.clear(f"{table}_rewrite")
         wh.append(f"{table}_rewrite", wh.by_bucket(merged))
-        wh.note(table, REWRITING)
+        wh.note(table, REWRITING, mark)
         wh.replace(table, wh.by_bucket(wh.stored(f"{table}_rewrite")))
-        wh.note(table, ARRIVED)
+        wh.note(table, ARRIVED, mark)
     if len(touched) < len(arriving_parts):
         wh.append(table, wh.by_bucket(arrivals.where(~in_touched)))
-    wh.note(table, IDLE)
+    wh.note(table, IDLE, mark)
 
 
 def _widen(wh: Warehouse, table: str, rows: DataFrame) -> None:

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crease import schemas
 from crease.functions import moment
 from crease.operators import gold, marts, staging
 from crease.operators.copies import latest_copies
@@ -53,6 +54,7 @@ def load(
         .withColumn("load_id", F.lit(load_id))
         .withColumn("accepted", F.col("reason").isNull())
     )
+    wh.expect(load_id)
     wh.replace("raw_match_json", rows)
 
 
@@ -90,25 +92,41 @@ def watermark(wh: Warehouse, table: str) -> datetime | None:
     return wh.table(table).agg(F.max("loaded_at").alias("last")).first()["last"]
 
 
-def new_balls(wh: Warehouse) -> DataFrame | None:
+def documents_of(wh: Warehouse, loads: list[str] | None) -> DataFrame:
+    """Sound documents of loads, or of all.
+
+    A build needs those alone that none has taken: a document of any other load is in the tables or
+    was left out for good, since headers only get newer and the fact's watermark only rises.
+    """
+    accepted = wh.accepted()
+    return accepted if loads is None else accepted.where(F.col("load_id").isin(loads))
+
+
+def new_balls(wh: Warehouse, documents: DataFrame) -> DataFrame | None:
     """The latest copy of each match stamped after the newest ball, or None."""
-    newer = newer_than(wh.accepted(), watermark(wh, "fact_ball"))
+    newer = newer_than(documents, watermark(wh, "fact_ball"))
     return None if newer.isEmpty() else latest_copies(newer)
 
 
-def new_headers(wh: Warehouse) -> DataFrame | None:
+def new_headers(wh: Warehouse, documents: DataFrame) -> DataFrame | None:
     """The latest copy of each match that the headers lack or hold in an earlier copy, or None.
 
-    All accepted documents are compared, by narrow columns alone and whatever their stamps: a load
-    may end, and be stamped, before one that was built earlier.
+    The headers themselves are the index of the newest copies: two narrow columns of them are
+    compared with the documents, whatever these' stamps: a load may end, and be stamped, before
+    one that was built earlier.
     """
-    held = wh.table("match_header").select("match_id", F.col("loaded_at").alias("held_at"))
-    latest = latest_copies(wh.accepted())
-    newer = (F.col("match_id") == F.col("held_id")) & (F.col("held_at") >= F.col("loaded_at"))
-    missing = latest.join(held.withColumnRenamed("match_id", "held_id"), newer, "left_anti")
+    missing = _ahead_of_headers(wh, latest_copies(documents))
     return None if missing.isEmpty() else missing
 
 
+def _ahead_of_headers(wh: Warehouse, documents: DataFrame) -> DataFrame:
+    held = wh.table("match_header").select(
+        F.col("match_id").alias("held_id"), F.col("loaded_at").alias("held_at")
+    )
+    newer = (F.col("match_id") == F.col("held_id")) & (F.col("held_at") >= F.col("loaded_at"))
+    return documents.join(held, newer, "left_anti")
+
+
 def unmerged(wh: Warehouse) -> DataFrame:
     """(table_name, matches): accepted matches that a table lacks.
 
@@ -129,8 +147,9 @@ def unmerged(wh: Warehouse) -> DataFrame:
 def build(wh: Warehouse, full_refresh: bool = False, replace_match: bool = False) -> None:
     """Bring the marts up to date with the raw table.
 
-    Headers and balls are merged incrementally, dimensions are rebuilt from the headers. Headers
-    follow all accepted documents, balls those stamped after the newest ball.
+    Headers and balls are merged incrementally from the loads that no build has taken yet;
+    dimensions are rebuilt from the headers. Headers follow all of these documents, balls those
+    stamped after the newest ball. A full refresh takes all loads.
     Documents are shuffled once, by match, before they are opened to balls many times their
     size. A re-loaded match keeps balls that are gone from its new document unless
     ``replace_match`` is set.
@@ -142,26 +161,59 @@ def build(wh: Warehouse, full_refresh: bool = False, replace_match: bool = False
             wh.note(table, IDLE)
         else:
             recover(wh, table, key)
-    headers, documents = new_headers(wh), new_balls(wh)
+    loads = None if full_refresh else wh.pending_loads()
+    accepted = documents_of(wh, loads)
+    headers, documents = new_headers(wh, accepted), new_balls(wh, accepted)
 
     if headers is not None:
         upsert(wh, "match_header", wh.by_bucket(staging.match_header(headers)), "match_id")
+    refresh_dimensions(wh)
+    if documents is not None:
+        upsert(wh, "fact_ball", _balls(wh, documents, wh.table("dim_team")), ball_key)
+    wh.settle(loads)
 
+
+def refresh_dimensions(wh: Warehouse) -> None:
+    """Rebuild the dimensions from the headers and publish them together."""
     header = wh.table("match_header")
     matches = wh.table("dim_match")
-    wh.replace("dim_team", marts.dim_team(matches))
-    wh.replace("dim_player", marts.dim_player(header))
-    wh.replace("dim_player_team", marts.dim_player_team(wh.by_bucket(header)))
-    wh.replace("dim_season", marts.dim_season(matches))
+    wh.publish(
+        {
+            "dim_team": marts.dim_team(matches),
+            "dim_player": marts.dim_player(header),
+            "dim_player_team": marts.dim_player_team(wh.by_bucket(header)),
+            "dim_season": marts.dim_season(matches),
+        }
+    )
 
-    if documents is not None:
-        documents = documents.select("match_id", "raw_variant", "loaded_at")
-        teams = wh.table("dim_team")
-        if teams.count() <= BROADCAST_TEAMS:
-            balls = marts.fact_ball(wh.by_bucket(documents), F.broadcast(teams))
-        else:
-            balls = wh.by_bucket(marts.fact_ball(documents, teams))
-        upsert(wh, "fact_ball", balls, ball_key)
+
+def _balls(wh: Warehouse, documents: DataFrame, teams: DataFrame) -> DataFrame:
+    """The documents' balls, in buckets; team names are broadcast after a count."""
+    documents = documents.select("match_id", "raw_variant", "loaded_at")
+    if teams.count() <= BROADCAST_TEAMS:
+        return marts.fact_ball(wh.by_bucket(documents), F.broadcast(teams))
+    return wh.by_bucket(marts.fact_ball(documents, teams))
+
+
+def merge_load(wh: Warehouse, load_id: str, dimensions: bool = True) -> None:
+    """Merge the matches of one load into the fact and the headers, once.
+
+    A copy that isn't newer than the one the headers hold is left out, match by match, so loads may
+    be merged again and in any order. Balls go before headers: a call that was interrupted finds the
+    same copies again, and the load's id, as the mark of both merges, tells it what is done.
+    """
+    recover(wh, "match_header", "match_id")  # it says which copies are newer
+    loaded = latest_copies(wh.accepted().where(F.col("load_id") == load_id))
+    newer = _ahead_of_headers(wh, loaded)
+    if not newer.isEmpty():
+        header = staging.match_header(newer)
+        own = marts.dim_team(header.select(schemas.DIM_MATCH_COLUMNS))
+        teams = own.unionByName(wh.table("dim_team")).distinct()
+        upsert(wh, "fact_ball", _balls(wh, newer, teams), "delivery_key", load_id)
+        upsert(wh, "match_header", wh.by_bucket(header), "match_id", load_id)
+    if dimensions:
+        refresh_dimensions(wh)
+    wh.settle([load_id])
 
 
 def gold_view(wh: Warehouse, name: str) -> DataFrame:

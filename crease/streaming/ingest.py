@@ -1,11 +1,11 @@
-"""Loading match files as they arrive in a folder."""
+"""Loading match files as they arrive in a folder, and merging them batch by batch."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from crease.plans.build import load
+from crease.plans.build import load, merge_load
 from crease.sources.landing import stream_folder
 from crease.sources.tables import Warehouse
 
@@ -26,9 +26,45 @@ def stream_load(
     By default the query takes what is there and stops; ``continuous`` keeps it waiting.
     """
 
+    return _batches(wh, folder, checkpoint, loaded_at, files_per_batch, continuous)
+
+
+def stream_merge(
+    wh: Warehouse,
+    folder: str,
+    checkpoint: str,
+    loaded_at: Column | None = None,
+    files_per_batch: int | None = None,
+    continuous: bool = False,
+    dimensions: bool = True,
+) -> StreamingQuery:
+    """The same, and every batch is merged into the headers and the fact on its keys.
+
+    A batch's matches replace older copies of them; one that comes again, after a failure at any
+    point, finishes what it left undone and changes nothing that it had done. Dimensions are
+    rebuilt with each batch, or by the next build if they are left out. One writer at a time:
+    builds wait for the stream.
+    """
+    merging = {"merge": True, "dimensions": dimensions}
+    return _batches(wh, folder, checkpoint, loaded_at, files_per_batch, continuous, **merging)
+
+
+def _batches(
+    wh: Warehouse,
+    folder: str,
+    checkpoint: str,
+    loaded_at: Column | None,
+    files_per_batch: int | None,
+    continuous: bool,
+    merge: bool = False,
+    dimensions: bool = True,
+) -> StreamingQuery:
     def write_batch(files: DataFrame, batch_id: int) -> None:
         stream = wh.spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
-        load(wh, files, f"{stream}-{batch_id}", loaded_at, skip_present=False)
+        load_id = f"{stream}-{batch_id}"
+        load(wh, files, load_id, loaded_at, skip_present=False)
+        if merge:
+            merge_load(wh, load_id, dimensions)
 
     writer = (
         stream_folder(wh.spark, folder, files_per_batch)

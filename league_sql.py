@@ -315,6 +315,11 @@ def statements() -> dict[str, str]:
               THEN '2024-01-02 00:00:00' ELSE '2024-01-01 00:00:00' END AS loaded_at
             FROM fact_ball"""
         ),
+        "stream_fact_ball": _over(
+            """SELECT * EXCLUDE (loaded_at), CASE WHEN (CAST(match_id AS BIGINT) - 100000) % 8 >= 4
+              THEN '2024-01-02 00:00:00' ELSE '2024-01-01 00:00:00' END AS loaded_at
+            FROM fact_ball"""
+        ),
         "v_batting": _over("SELECT * FROM v_batting"),
         "v_bowling": _over("SELECT * FROM v_bowling"),
         "v_match_summary": _over("SELECT * FROM v_match_summary"),

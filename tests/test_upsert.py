@@ -184,7 +184,8 @@ def test_a_crash_while_a_note_is_written_leaves_the_last_one(spark, warehouse, m
             with pytest.raises(RuntimeError):
                 wh.note("fact_ball", IDLE)
         assert wh.noted("fact_ball") == state
-    # A folder that a crash left without its file counts for nothing.
+    # A place that a crash left without its file counts for nothing.
     number = wh._last_note("fact_ball")["number"] + 1
-    spark.createDataFrame([], "value string").write.json(f"{wh.root}/notes/fact_ball/number={number}")
+    place = f"{wh.root}/state/fact_ball/{number % 2}"
+    spark.createDataFrame([], "value string").write.mode("overwrite").json(place)
     assert wh.noted("fact_ball") == REWRITING
