@@ -12,7 +12,6 @@ from collections.abc import Callable
 from datetime import datetime
 from functools import partial, reduce
 from hashlib import md5
-from importlib.util import find_spec
 from pathlib import Path
 from threading import Lock
 
@@ -27,13 +26,14 @@ from crease.operators import staging  # noqa: E402
 from crease.operators.copies import latest_copies  # noqa: E402
 from crease.plans import build, career, narrative, quality, serving  # noqa: E402
 from crease.session import shared_folder  # noqa: E402
+from crease.sources.landing import parse  # noqa: E402
 from crease.sources.tables import Warehouse, buckets_for  # noqa: E402
 from crease.streaming.ingest import stream_load, stream_merge  # noqa: E402
 
-if find_spec("crease.llm") and find_spec("corpus_pipeline"):
+try:
     import corpus_pipeline
     from crease.llm import queries as llm
-else:  # the engine stands without its training-data operators
+except ImportError:  # the engine stands without its training-data operators, and what they need
     llm = None
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
@@ -350,6 +350,127 @@ def pipeline_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports[0] if reports else build.run(wh, datetime(2024, 1, 1))
 
 
+def _faulty_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Every fourth match loaded twice, and a fact with a faulty ball for each match."""
+
+    def fill(wh: Warehouse) -> None:
+        files = _documents(spark, sf_dir)
+        match = F.regexp_substr("file_name", F.lit(r"\d+")).cast("long") - league.FIRST_MATCH_ID
+        build.load(wh, files, "first", F.lit("2024-01-01 00:00:00"))
+        again = files.where(match % 4 == 1)
+        build.load(wh, again, "again", F.lit("2024-01-01 01:00:00"), skip_present=False)
+        build.build(wh)
+        wh.append("fact_ball", wh.by_bucket(league.planted_faults(wh.table("fact_ball"))))
+
+    return _once(spark, sf_dir, "faulty", fill)
+
+
+def failing_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The data tests that fail where tables have faults."""
+    return quality.report(_faulty_warehouse(spark, sf_dir)).where("failures > 0")
+
+
+def failing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nulls, repeated keys and orphans behind them."""
+    return quality.failing_rows(_faulty_warehouse(spark, sf_dir))
+
+
+def pipeline_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs: stopped at the gate by old documents, in the build by one that can't be read, and
+    failed by the tests of faulty tables."""
+    files = _documents(spark, sf_dir)
+
+    def late(wh: Warehouse) -> None:
+        build.load(wh, files, "league", league.load_stamp())
+
+    def let_in(wh: Warehouse) -> None:
+        # As a looser loader would have stored them.
+        rows = parse(league.unreadable(files), F.lit("2024-01-01 00:00:00"))
+        rows = rows.withColumns(
+            {"info": staging.info(), "load_id": F.lit("loose"), "accepted": F.lit(True)}
+        )
+        wh.expect("loose")
+        wh.replace("raw_match_json", rows.withColumn("reason", F.lit(None).cast("string")))
+
+    runs = [
+        ("gate", _once(spark, sf_dir, "late_run", late), datetime(2040, 1, 1)),
+        ("build", _once(spark, sf_dir, "loose_run", let_in), datetime(2024, 1, 1)),
+        ("test", _faulty_warehouse(spark, sf_dir), datetime(2024, 1, 1, 1, 30)),
+    ]
+    broken = (F.col("step") == "build") & (F.col("status") == "failed")
+    return reduce(
+        DataFrame.unionByName,
+        [
+            build.run(wh, now).select(
+                F.lit(name).alias("run"),
+                "position",
+                "step",
+                "status",
+                F.when(broken, "an error").otherwise(F.col("detail")).alias("detail"),
+            )
+            for name, wh, now in runs
+        ],
+    )
+
+
+def _irregular_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Matches with an empty over and with people who aren't registered."""
+
+    def fill(wh: Warehouse) -> None:
+        files = league.irregular(_documents(spark, sf_dir))
+        build.load(wh, files, "irregular", F.lit("2024-01-01 00:00:00"))
+        build.build(wh)
+
+    return _once(spark, sf_dir, "irregular", fill)
+
+
+def irregular_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries where some overs have none: such an over stays as a row without a ball."""
+    raw = _irregular_warehouse(spark, sf_dir).table("raw_match_json")
+    return staging.stg_deliveries(raw).select(
+        "match_id", "innings_no", "over_no", "ball_in_over", "batter", "runs_total"
+    )
+
+
+def irregular_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact without empty overs and without balls of people who aren't registered."""
+    return _irregular_warehouse(spark, sf_dir).table("fact_ball").select(
+        "delivery_key", "match_id", "innings_no", "over_no", "ball_in_over", "batter", "bowler",
+        "batter_id", "runs_total",
+    )
+
+
+def match_facts_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every entry of all fact packs, written as JSON and read back."""
+    facts = narrative.match_facts(build.gold_views(league_warehouse(spark, sf_dir)))
+    read = narrative.parsed_facts(narrative.facts_json(facts), facts)
+
+    def listed(section: str, name, runs: str, wickets: str | None, rate: str) -> DataFrame:
+        each = read.select("match_id", F.posexplode(section).alias("place", "entry"))
+        return each.select(
+            "match_id",
+            F.lit(section).alias("section"),
+            (F.col("place") + 1).alias("place"),
+            F.col("entry.innings_no").alias("innings_no"),
+            F.col("entry.season").alias("season"),
+            F.col("entry.match_date").cast("string").alias("match_date"),
+            name.alias("name"),
+            F.col(f"entry.{runs}").alias("runs"),
+            (F.col(f"entry.{wickets}") if wickets else F.lit(None).cast("long")).alias("wickets"),
+            F.col(f"entry.{rate}").alias("rate"),
+        )
+
+    pair = F.concat("entry.batter1", F.lit(" + "), "entry.batter2")
+    sections = [
+        listed("summary", F.col("entry.batting_team"), "runs", "wickets", "run_rate"),
+        listed("batting", F.col("entry.batter"), "runs", None, "strike_rate"),
+        listed("bowling", F.col("entry.bowler"), "runs_conceded", "wickets", "economy"),
+        listed("phases", F.col("entry.phase"), "runs", "wickets", "run_rate"),
+        listed("partnerships", pair, "runs", "wickets", "run_rate"),
+    ]
+    return reduce(DataFrame.unionByName, sections)
+
+
 def _mart(table: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: league_warehouse(spark, sf_dir).table(table)
 
@@ -422,6 +543,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "freshness": freshness,
         "quality_report": quality_report,
         "pipeline_report": pipeline_report,
+        "failing_tests": failing_tests,
+        "failing_rows": failing_rows,
+        "pipeline_stops": pipeline_stops,
+        "irregular_deliveries": irregular_deliveries,
+        "irregular_fact": irregular_fact,
+        "match_facts_json": match_facts_json,
+        "match_teams": _view(serving.match_teams, "v_match_summary"),
         **(llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {}),
     }
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from crease.functions import text_or
 from crease.plans.serving import batting_keys, bowling_keys, margin, partnership_keys
@@ -56,6 +57,13 @@ def facts_json(facts: DataFrame) -> DataFrame:
     )
 
 
+def parsed_facts(texts: DataFrame, facts: DataFrame) -> DataFrame:
+    """Fact packs read back from their JSON texts, with the columns of ``facts``."""
+    lists = StructType([field for field in facts.schema if field.name != "match_id"])
+    parsed = texts.select("match_id", F.from_json("facts", lists).alias("lists"))
+    return parsed.select("match_id", "lists.*")
+
+
 def global_facts(views: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The same five lists over all matches together, each as rows.
 

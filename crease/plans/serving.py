@@ -69,6 +69,14 @@ def season_list(matches: DataFrame) -> DataFrame:
     return matches.select("season").distinct().orderBy(F.desc_nulls_first("season"))
 
 
+def match_teams(summaries: DataFrame) -> DataFrame:
+    """The teams that batted in each match, by name, with the place of each in its match's list."""
+    teams = summaries.select("match_id", F.col("batting_team").alias("team")).distinct()
+    return teams.select("match_id", _rank([F.col("team")]).alias("place"), "team").orderBy(
+        "match_id", "place"
+    )
+
+
 def scorecard(views: dict[str, DataFrame], match_id: str | None = None) -> dict[str, DataFrame]:
     """All five scorecards of a match; the filter reaches every scan and opens one bucket."""
     cards = {name: _only(view, match_id=match_id) for name, view in views.items()}

@@ -13,6 +13,8 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crease.functions import surrogate_key
+
 BALLS_PER_MATCH = 240
 FIRST_MATCH_ID = 100000
 KINDS = ["bowled", "caught", "lbw", "run out", "stumped", "retired hurt"]
@@ -248,6 +250,43 @@ def defective(files: DataFrame) -> DataFrame:
     return files.select(name.alias("file_name"), spoiled.alias("text"))
 
 
+def irregular(files: DataFrame) -> DataFrame:
+    """Every second document with an empty first over in each innings, and without the fourth player
+    of either team in its register of people."""
+    match = F.regexp_substr("file_name", F.lit(r"\d+")).cast("long") - FIRST_MATCH_ID
+    empty = F.regexp_replace("text", '"overs":\\[', '"overs":[{"over":-1,"deliveries":[]},')
+    text = F.regexp_replace(empty, '"T\\d+_P3":"[0-9a-f]{8}",', "")
+    return files.select(
+        "file_name", F.when(match % 2 == 0, text).otherwise(F.col("text")).alias("text")
+    )
+
+
+def unreadable(files: DataFrame) -> DataFrame:
+    """Each document with a text where a ball's runs should be."""
+    spoiled = F.regexp_replace("text", '"runs":\\{"batter":\\d+', '"runs":{"batter":"x"')
+    return files.select("file_name", spoiled.alias("text"))
+
+
+def planted_faults(fact: DataFrame) -> DataFrame:
+    """A faulty ball for each match, made of its first one, to be added to a fact: by match number a
+    second row of the same key, a ball without a batter, one of a batter nobody knows, and one
+    without a season."""
+    kind = (F.col("match_id").cast("long") - FIRST_MATCH_ID) % 4
+    first = fact.where("innings_no = 1 and over_no = 1 and ball_in_over = 1")
+    placed = first.withColumn(
+        "innings_no", F.when(kind == 1, 1).when(kind == 2, 3).when(kind == 3, 4).otherwise(5)
+    )
+    columns = {
+        "batter": F.when(kind != 2, F.col("batter")),
+        "batter_id": F.when(kind == 3, F.concat(F.lit("nobody-"), "match_id")).when(
+            kind != 2, F.col("batter_id")
+        ),
+        "season": F.when(kind != 0, F.col("season")),
+        "delivery_key": surrogate_key("match_id", "innings_no", "over_no", "ball_in_over"),
+    }
+    return placed.withColumns(columns)
+
+
 def write_files(files: DataFrame, folder: str) -> int:
     """Write each text to a file of its own name, by the tasks that hold it; the file count.
 

@@ -233,6 +233,22 @@ def _over(select: str) -> str:
     return f"WITH {TABLES}\n{select}"
 
 
+#: What planted faults and matches loaded twice show up as.
+_FAULTS = """SELECT 'raw_match_json' AS table_name, 'unique' AS test, 'match_id' AS column_name,
+  match_id AS value, CAST(2 AS BIGINT) AS rows
+FROM raw_match_json WHERE CAST(match_id AS BIGINT) % 4 = 1
+UNION ALL SELECT 'fact_ball', 'unique', 'delivery_key', delivery_key, 2 FROM fact_ball
+  WHERE innings_no = 1 AND over_no = 1 AND ball_in_over = 1 AND CAST(match_id AS BIGINT) % 4 = 1
+UNION ALL SELECT 'fact_ball', 'unique_combination', 'match_id+innings_no+over_no+ball_in_over',
+  match_id || '-1-1-1', 2 FROM m WHERE mi % 4 = 1
+UNION ALL SELECT 'fact_ball', 'not_null', unnest(['batter', 'batter_id']), match_id || '-3-1-1', 1
+  FROM m WHERE mi % 4 = 2
+UNION ALL SELECT 'fact_ball', 'relationships', 'batter_id', 'nobody-' || match_id, 1
+  FROM m WHERE mi % 4 = 3
+UNION ALL SELECT 'fact_ball', 'not_null', 'season', match_id || '-5-1-1', 1
+  FROM m WHERE mi % 4 = 0"""
+
+
 def _quality_tests() -> str:
     tests = []
     for table, columns in quality.NOT_NULL.items():
@@ -511,6 +527,62 @@ def statements() -> dict[str, str]:
                 > INTERVAL 1 HOUR THEN 'warn' ELSE 'pass' END AS status FROM raw_match_json"""
         ),
         "quality_report": _over(_quality_tests()),
+        "failing_rows": _over(_FAULTS),
+        "failing_tests": _over(
+            f"""SELECT table_name, test, column_name, CAST(count(*) AS BIGINT) AS failures
+            FROM ({_FAULTS}) GROUP BY ALL"""
+        ),
+        "pipeline_stops": _over(
+            f"""SELECT 'gate' AS run, 1 AS position, 'freshness' AS step, 'failed' AS status,
+              'error' AS detail
+            UNION ALL SELECT 'build', 1, 'freshness', 'passed', 'pass'
+            UNION ALL SELECT 'build', 2, 'build', 'failed', 'an error'
+            UNION ALL SELECT 'test', 1, 'freshness', 'passed', 'pass'
+            UNION ALL SELECT 'test', 2, 'build', 'passed',
+              (count(*) + count(DISTINCT match_id)) || ' balls' FROM fact_ball
+            UNION ALL SELECT 'test', 3, 'test', 'failed',
+              count(DISTINCT (table_name, test, column_name)) || ' of 45 tests failing'
+              FROM ({_FAULTS})"""
+        ),
+        "irregular_deliveries": _over(
+            """SELECT match_id, innings_no, CAST(over_no + even AS INTEGER) AS over_no,
+              ball_in_over, batter, CAST(runs_batter + runs_extras AS INTEGER) AS runs_total
+            FROM (SELECT *, CASE WHEN mi % 2 = 0 THEN 1 ELSE 0 END AS even FROM named)
+            UNION ALL SELECT DISTINCT match_id, innings_no, 1, NULL::INTEGER, NULL, NULL::INTEGER
+            FROM named WHERE mi % 2 = 0"""
+        ),
+        "irregular_fact": _over(
+            """SELECT md5(match_id || '-' || innings_no || '-' || (over_no + even) || '-'
+                || ball_in_over) AS delivery_key,
+              match_id, innings_no, CAST(over_no + even AS INTEGER) AS over_no, ball_in_over,
+              batter, bowler, batter_id, runs_total
+            FROM (SELECT *, (CAST(match_id AS BIGINT) + 1) % 2 AS even FROM fact_ball)
+            WHERE even = 0 OR NOT (batter LIKE '%#_P3' ESCAPE '#'
+              OR non_striker LIKE '%#_P3' ESCAPE '#' OR bowler LIKE '%#_P3' ESCAPE '#')"""
+        ),
+        "match_facts_json": _over(
+            """SELECT match_id, 'summary' AS section, CAST(row_number() OVER (
+                PARTITION BY match_id ORDER BY innings_no) AS INTEGER) AS place, innings_no, season,
+              CAST(match_date AS VARCHAR) AS match_date, batting_team AS name, runs, wickets,
+              run_rate AS rate FROM v_match_summary
+            UNION ALL SELECT match_id, 'batting', rank, innings_no, season,
+              CAST(match_date AS VARCHAR), batter, runs, NULL, strike_rate
+              FROM ranked_batting WHERE rank <= 10
+            UNION ALL SELECT match_id, 'bowling', rank, innings_no, season,
+              CAST(match_date AS VARCHAR), bowler, runs_conceded, wickets, economy
+              FROM ranked_bowling WHERE rank <= 10
+            UNION ALL SELECT match_id, 'phases', CAST(row_number() OVER (
+                PARTITION BY match_id ORDER BY innings_no, phase) AS INTEGER), innings_no, season,
+              CAST(match_date AS VARCHAR), phase, runs, wickets, run_rate FROM v_phase
+            UNION ALL SELECT match_id, 'partnerships', rank, innings_no, season,
+              CAST(match_date AS VARCHAR), batter1 || ' + ' || batter2, runs, wickets, run_rate
+              FROM ranked_partnership WHERE rank <= 5"""
+        ),
+        "match_teams": _over(
+            """SELECT match_id, CAST(row_number() OVER (PARTITION BY match_id ORDER BY team)
+              AS INTEGER) AS place, team
+            FROM (SELECT DISTINCT match_id, batting_team AS team FROM v_match_summary)"""
+        ),
         "pipeline_report": _over(
             """SELECT 1 AS position, 'freshness' AS step, 'passed' AS status, 'pass' AS detail
             UNION ALL SELECT 2, 'build', 'passed', count(*) || ' balls' FROM fact_ball
