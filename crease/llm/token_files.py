@@ -36,8 +36,10 @@ from crease.session import shared_folder
 END = 0
 #: Ids of a block, about.
 BLOCK = 1 << 18
-#: Units whose ids a worker remembers, and as many from before.
-MEMORY = 300_000
+#: Units whose ids a worker remembers, and as many from before, and characters of one at most: some
+#: 400 bytes a unit of that length, and 200 of a usual one.
+MEMORY = 800_000
+REMEMBERED = 64
 
 #: Marks that commonly end a word.
 MARKS = ".,;:!?"
@@ -84,7 +86,8 @@ class _Units(dict):
                     found = self[line] + self.encoder.tokens("\n") + self.encoder.token(word)
                 else:
                     found = self.encoder.tokens(" " + unit)
-        self[unit] = found
+        if len(unit) <= REMEMBERED:
+            self[unit] = found
         return found
 
 
@@ -120,9 +123,11 @@ class Encoder:
     def token(self, token: str) -> bytes:
         found = self.known.get(token)
         if found is None:
-            if len(self.known) > MEMORY:
-                self.known.clear()
-            found = self.known[token] = self.merged(token)
+            found = self.merged(token)
+            if len(token) <= REMEMBERED:
+                if len(self.known) > MEMORY:
+                    self.known.clear()
+                self.known[token] = found
         return found
 
     def tokens(self, text: str) -> bytes:

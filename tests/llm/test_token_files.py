@@ -30,6 +30,15 @@ def test_units_have_the_ids_of_whole_texts(library, monkeypatch):
             assert np.frombuffer(ids, "<u2").tolist() == library(text)
 
 
+def test_long_units_are_not_remembered(library):
+    encoder = token_files.Encoder(PATH)
+    texts = [f" {k}" + "x,é" * (k + 15) + " " + "y" * 100 + " short" for k in range(60)]
+    for text, ids in zip(texts, encoder.encode(texts)):
+        assert np.frombuffer(ids, "<u2").tolist() == library(text)
+    held = [*encoder.units, *encoder.known]
+    assert "short" in held and max(map(len, held)) <= token_files.REMEMBERED
+
+
 def test_packed_numbers_come_back():
     numbers = np.array([0, 1, 255, 256, 65535, 65536, 2**24 - 1, 2**24, 2**32 - 1, 5], np.uint32)
     for n in range(len(numbers) + 1):
