@@ -39,7 +39,7 @@ from crease.llm.tables import pieces, stored, utf8
 #: Characters of a chunk.
 CHUNK = 1 << 15
 #: Words whose segmentation a worker remembers, and as many from before.
-MEMORY = 400_000
+MEMORY = 575_000
 
 SPACE = "▁"
 #: Stands for U+2581 of a text; no valid text has it.
