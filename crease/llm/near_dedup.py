@@ -9,13 +9,15 @@ collision-corrected estimate comes within five deviations of the threshold make
 Candidates that hang together make clusters, whose full sets are compared exactly. A pair at the
 threshold misses all bands once in some 200,000 times; all else is exact.
 
-Documents with the same set are one class from the start and never expanded into pairs.
+Documents with the same set are one class from the start and never expanded into pairs. A class has
+a number of its own, given once and stored; ``doc_id`` only names what comes out.
 
 Cases: a null text, an empty one and one without words have the empty set and are linked with
 nothing. A null ``doc_id`` can't name a component: such a row is linked with nothing, has a null
-``component_id`` and is kept. Rows that share ``doc_id`` and text are both kept or both not; texts
-that share a ``doc_id`` are judged each on its own. Other columns are not read. An empty table gives
-no rows.
+``component_id`` and is kept. Texts that share a ``doc_id`` are judged each on its own, so two
+components may bear the same name; rows that share ``doc_id`` and text are ``kept`` alike by
+:func:`groups`, and one of them stays in :func:`kept_documents`. Other columns are not read. An
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -86,7 +88,8 @@ def sketched(
     sketch: Callable[[np.ndarray, np.ndarray], np.ndarray] = registers,
     band: int = BAND,
 ) -> DataFrame:
-    """``doc_id``, ``n_shingles``, two hashes of the whole set, ``sketch`` and ``bands``.
+    """``doc_id``, ``tie`` (a hash of the text), ``n_shingles``, two hashes of the whole set,
+    ``sketch`` and ``bands``.
 
     The sketch is binary: the set's size in eight bytes, then two bytes for each register.
     """
@@ -106,21 +109,27 @@ def sketched(
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("tie"),
                     pa.array(sizes),
                     *[pa.array(s.view(np.int64)) for s in sums],
                     pa.array([n.tobytes() + r.tobytes() for n, r in zip(sizes, rows)], pa.binary()),
                     pa.array(list(_bands(rows, band).view(np.int64)), pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "sum1", "sum2", "sketch", "bands"],
+                ["doc_id", "tie", "n_shingles", "sum1", "sum2", "sketch", "bands"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(
+    return _texts(docs).mapInArrow(
         made,
-        "doc_id long, n_shingles long, sum1 long, sum2 long, sketch binary, bands array<long>",
+        "doc_id long, tie long, n_shingles long, sum1 long, sum2 long, sketch binary, "
+        "bands array<long>",
     )
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.xxhash64(text).alias("tie"))
+
+
 def _read_sketches(payloads: list[bytes]) -> list[np.ndarray]:
     return [np.frombuffer(p, np.uint16) for p in payloads]
 
@@ -165,23 +174,25 @@ def alike_sets(a: Sequence[np.ndarray], b: Sequence[np.ndarray], threshold: floa
     return 100 * both >= round(100 * threshold) * (sizes - both)
 
 
-def groups(
+def _grouped(
     docs: DataFrame,
-    threshold: float = 0.75,
+    threshold: float,
     sketch: Callable[[np.ndarray, np.ndarray], np.ndarray] = registers,
     band: int = BAND,
 ) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` (smallest ``doc_id`` reachable over links of at
-    least the threshold) and ``kept`` (whether that is the document itself), for every row."""
+    """``doc_id``, ``tie`` and ``n_shingles`` of every row, and ``head``: the least ``doc_id`` and
+    ``tie`` of its component, null for a row that is linked with nothing by definition."""
     table = stored(sketched(docs, sketch, band), "sketches")
     named = table.where("n_shingles > 0 and doc_id is not null")
     keys = ["n_shingles", "sum1", "sum2"]
     classes = stored(
-        named.groupBy(*keys).agg(
-            F.min("doc_id").alias("node"),
+        named.groupBy(*keys)
+        .agg(
+            F.min(F.struct("doc_id", "tie")).alias("first"),
             F.any_value("sketch").alias("sketch"),
             F.any_value("bands").alias("bands"),
-        ),
+        )
+        .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
     buckets = classes.select("node", F.explode("bands").alias("group"), F.lit(0.0).alias("weight"))
@@ -192,26 +203,48 @@ def groups(
     )
     sizes = classes.select("node", F.col("n_shingles").cast("double").alias("weight"))
     clusters = candidates.withColumnRenamed("component", "group").join(sizes, "node")
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").alias("payload"))
+    firsts = classes.select("node", "first.*").join(candidates.select("node"), "node")
     sets = stored(
-        texts.where("payload is not null").join(candidates.select("node"), "node"), "cluster-texts"
+        _texts(docs)
+        .join(firsts, ["doc_id", "tie"])
+        .groupBy("doc_id", "tie", "node")  # one of rows that repeat
+        .agg(F.any_value("text").alias("payload"))
+        .select("node", "payload"),
+        "cluster-texts",
     )
     labels = linked_components(
         clusters, sets, SETS, SHINGLES, shingle_sets, partial(alike_sets, threshold=threshold)
     )
-    named_classes = classes.select(*keys, "node").join(labels, "node", "left")
-    member = named_classes.select(*keys, F.coalesce("component", "node").alias("component_id"))
-    alone = F.col("n_shingles") == 0
+    heads = (
+        labels.join(classes.select("node", "first"), "node")
+        .groupBy("component")
+        .agg(F.min("first").alias("head"))
+    )
+    labelled = labels.join(heads, "component").select("node", "head")
+    member = classes.join(labelled, "node", "left").select(*keys, F.coalesce("head", "first").alias("head"))
     return (
-        table.select("doc_id", *keys)
+        table.select("doc_id", "tie", *keys)
         .join(member, keys, "left")
         .select(
             "doc_id",
+            "tie",
             "n_shingles",
-            F.when(alone | F.col("doc_id").isNull(), F.col("doc_id"))
-            .otherwise(F.col("component_id"))
-            .alias("component_id"),
+            F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("head")).alias("head"),
         )
+    )
+
+
+def groups(
+    docs: DataFrame,
+    threshold: float = 0.75,
+    sketch: Callable[[np.ndarray, np.ndarray], np.ndarray] = registers,
+    band: int = BAND,
+) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id`` (smallest ``doc_id`` reachable over links of at
+    least the threshold) and ``kept`` (whether that is the document itself), for every row."""
+    return (
+        _grouped(docs, threshold, sketch, band)
+        .select("doc_id", "n_shingles", F.coalesce("head.doc_id", "doc_id").alias("component_id"))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
 
@@ -219,9 +252,32 @@ def groups(
 def kept_documents(docs: DataFrame, threshold: float = 0.75) -> DataFrame:
     """One document of each group, with all its columns; documents without words all stay.
 
-    A row without ``doc_id`` stays. Texts are joined with the ids of kept documents, once.
+    A row without ``doc_id`` stays. Of rows that share ``doc_id`` and text, the one whose columns
+    come first as JSON stays. Texts are joined with the ids of kept documents, once; only rows that
+    repeat are read once more.
     """
-    kept = groups(docs, threshold).where("kept and doc_id is not null").select("doc_id").distinct()
-    ids = stored(kept.withColumnRenamed("doc_id", "kept_id"), "kept")
-    named = docs.join(ids, docs["doc_id"].cast("long") == ids["kept_id"], "left_semi")
-    return named.unionByName(docs.where(docs["doc_id"].isNull()))
+    own = F.struct("doc_id", "tie")
+    kept = (
+        _grouped(docs, threshold)
+        .where(F.col("doc_id").isNotNull() & (F.col("head").isNull() | (F.col("head") == own)))
+        .groupBy(F.col("doc_id").alias("kept_id"), F.col("tie").alias("kept_tie"))
+        .agg((F.count("head") > 1).alias("repeats"))
+    )
+    ids = stored(kept, "kept")
+
+    def among(found: DataFrame) -> DataFrame:
+        same_id = docs["doc_id"].cast("long") == found["kept_id"]
+        same_text = F.xxhash64(docs["text"].cast("string")) == found["kept_tie"]
+        return docs.join(found, same_id & same_text, "left_semi")
+
+    out = among(ids.where("not repeats")).unionByName(docs.where(docs["doc_id"].isNull()))
+    repeated = ids.where("repeats")
+    if repeated.isEmpty():
+        return out
+    rows = among(repeated).select(
+        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"),
+        F.col("doc_id").cast("long").alias("id"),
+        F.xxhash64(F.col("text").cast("string")).alias("tie"),
+    )
+    one = rows.groupBy("id", "tie").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return out.unionByName(one.select("row.*"))

@@ -6,6 +6,7 @@ from functools import partial
 import brute
 import numpy as np
 import tables
+from pyspark.sql import functions as F
 
 from crease.llm import links, near_dedup, words
 
@@ -53,6 +54,25 @@ def test_cases(spark):
     assert near_dedup.groups(tables.cases(spark).where("false")).count() == 0
 
 
+def test_texts_that_share_an_id_are_judged_each_on_its_own(spark):
+    a, b = near_copies(1, 1, 3)[0], near_copies(1, 1, 4)[0]
+    near = b.rsplit(" ", 1)[0]
+    rows = [(5, a), (5, b), (2, near), (9, near), (7, "a b c d e f g"), (8, None), (8, None), (None, a)]
+    rows += [(7, "a b c d e f g")] * 3
+    docs = tables.cases(spark, [(i, t, "en", "a") for i, t in rows])
+    docs = docs.withColumn("lang", F.concat("lang", F.monotonically_increasing_id().cast("string")))
+    found = near_dedup.groups(docs)
+    got = {(r["doc_id"], r["component_id"], r["kept"]) for r in found.collect()}
+    assert got == {(5, 5, True), (5, 2, False), (2, 2, True), (9, 2, False), (7, 7, True),
+                   (8, 8, True), (None, None, True)}
+    assert found.count() == len(rows)
+    kept = near_dedup.kept_documents(docs)
+    assert kept.columns == docs.columns
+    assert tables.pairs(kept.collect(), "doc_id", "text") == sorted(
+        [(5, a), (2, near), (7, "a b c d e f g"), (8, None), (8, None), (None, a)], key=repr
+    )
+
+
 def test_registers_estimate_the_similarity():
     draw = np.random.default_rng(3)
     common = draw.integers(0, 2**64, 600, np.uint64)
