@@ -6,15 +6,17 @@ one random offset of the source, crosses whole numbers, and a document is emitte
 one that it crosses. So every document is taken floor or ceil of its expected number of times, and
 the words taken from a size class stay near its share.
 
-The row is not held in one task: documents fall into runs by (source, size class, range of
-``doc_id``), counted first; a run's number of documents before it comes from a prefix sum over the
-runs, of which there are few.
+The row is not held in one task. Equal documents (``doc_id``, source and text) are counted first and
+stand in it as one entry that is as long as their number. Entries, without their texts, are dealt by
+ranges of the whole order, whose bounds Spark draws from the entries themselves, and stored; an
+entry's place follows from a prefix sum over the ranges, of which there are few, and one within its
+range. However ids or sources are spread, a range holds about as many entries as any other.
 
 Cases: a null text and one without words have size 0, weigh nothing and are still laid in the row;
-a null source is a source of its own, the last; a null ``doc_id`` comes first; rows that share a
-``doc_id`` order by size, then text; a source of size 0 has target 0 and none of it is taken.
-An empty table gives no rows. Columns other than those named are kept as they are by
-:func:`mixed`, and not read by :func:`copies`.
+a null source is a source of its own, the last; a null ``doc_id`` comes first; texts that share a
+``doc_id`` order by size, then by a hash; of equal documents any may be the one that is taken once
+more; a source of size 0 has target 0 and none of it is taken. An empty table gives no rows. Columns
+other than those named are kept as they are by :func:`mixed`, and not read by :func:`copies`.
 """
 
 from __future__ import annotations
@@ -24,12 +26,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from crease.llm.tables import partitions, stored
+
 #: Weights of the sources in code-point order, repeating; null last.
 WEIGHTS = (5, 2, 1)
 #: A target is at most so many times its source's size.
 MOST = 3
-#: Documents of a run, about.
-RUN = 100_000
+#: Equal documents that are numbered in one array.
+EQUAL = 10_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -92,83 +96,107 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     )
 
 
-def _laid(rows: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
-    """The rows (``doc_id``, ``source``, ``size``, others) with ``copies`` and the source's data."""
-    facts = rows.agg(
-        F.count("*").alias("n"),
-        F.min(F.col("doc_id").cast("double")).alias("least"),
-        F.max(F.col("doc_id").cast("double")).alias("most"),
-    ).first()
-    ranges = facts.n // RUN + 1
-    width = ((facts.most or 0.0) - (facts.least or 0.0)) / ranges + 1
-    spread = F.floor((F.col("doc_id").cast("double") - F.lit(facts.least or 0.0)) / F.lit(width))
-    run = rows.withColumn("class", _size_class(F.col("size"))).withColumn(
-        "range", F.coalesce(spread, F.lit(-1)).cast("long")
+def _entry(docs: DataFrame) -> list[Column]:
+    """What makes documents equal: ``who`` (id and source), ``tie`` (a hash of the text)."""
+    source = docs["source"].cast("string")
+    who = F.to_json(F.struct(docs["doc_id"].alias("doc_id"), source.alias("source")))
+    return [who.alias("who"), F.xxhash64(docs["text"]).alias("tie")]
+
+
+def _laid(docs: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
+    """An entry for all documents that are equal: ``who``, ``tie``, ``doc_id``, ``source``, ``size``,
+    their number ``n``, how many documents are ``before`` them, and the source's data."""
+    entries = (
+        docs.select(
+            *_entry(docs),
+            docs["doc_id"].alias("doc_id"),
+            docs["source"].cast("string").alias("source"),
+            words_of(docs["text"]).alias("size"),
+        )
+        .groupBy("who", "tie", "doc_id", "source", "size")
+        .agg(F.count("*").alias("n"))
+        .withColumn("class", _size_class(F.col("size")))
     )
-    runs = run.groupBy("source", "class", "range").agg(
-        F.count("*").alias("n"), F.sum("size").alias("words")
+    order = ("source", "class", "doc_id", "size", "tie")
+    dealt = entries.repartitionByRange(partitions(docs.sparkSession), *order)
+    laid = stored(dealt.withColumn("range", F.spark_partition_id()), "mix-entries")
+    runs = laid.groupBy("source", "class", "range").agg(
+        F.sum("n").alias("n"), F.sum(F.col("n") * F.col("size")).alias("words")
     )
     sizes = runs.groupBy("source").agg(
         F.sum("words").alias("source_size"), F.sum("n").alias("n_docs")
     )
     along = Window.partitionBy("source").orderBy("class", "range")
     starts = runs.withColumn(
-        "before",
+        "start",
         F.coalesce(F.sum("n").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
     )
     places = starts.join(
         targets(sizes, weights, most).withColumnRenamed("source", "of"),
         F.col("source").eqNullSafe(F.col("of")),
-    ).drop("of", "n", "words")
+    ).drop("of", "n", "words", "n_docs")
     keys = ("source", "class", "range")
-    placed = run.join(
+    placed = laid.join(
         places.withColumnsRenamed({k: f"its_{k}" for k in keys}),
         reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"its_{k}")) for k in keys]),
     ).drop(*[f"its_{k}" for k in keys])
-    order = Window.partitionBy(*keys).orderBy("doc_id", "size", "tie")
-    number = F.col("before") + F.row_number().over(order)
-    each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    crossed = F.floor(F.col("number") * F.col("each") + _offset(F.col("source"))) - F.floor(
-        (F.col("number") - 1) * F.col("each") + _offset(F.col("source"))
-    )
+    within = Window.partitionBy(*keys).orderBy("doc_id", "size", "tie")
+    sofar = F.sum("n").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (
-        placed.withColumn("number", number)
-        .withColumn("each", each)
-        .withColumn("copies", F.least(crossed, F.lit(most)).cast("long"))
+        placed.withColumn("before", F.col("start") + sofar - F.col("n"))
+        .withColumn("each", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
+        .drop("class", "range", "start")
     )
 
 
+def _crossed(number: Column, most: int) -> Column:
+    """How many whole numbers the document with this number in its source's row crosses."""
+    offset = _offset(F.col("source"))
+    crossed = F.floor(number * F.col("each") + offset) - F.floor((number - 1) * F.col("each") + offset)
+    return F.least(crossed, F.lit(most)).cast("long")
+
+
 def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """How often each document is taken: ``doc_id``, ``source``, ``size``, ``source_size``,
     ``target``, ``copies`` and ``taken``, the words that this makes. Texts are not shuffled."""
-    rows = docs.select(
-        F.col("doc_id"),
-        F.col("source").cast("string").alias("source"),
-        words_of(F.col("text")).alias("size"),
-        F.xxhash64("text").alias("tie"),
-    )
-    return _laid(rows, weights, most).select(
-        "doc_id",
-        "source",
-        "size",
-        "source_size",
-        "target",
-        "copies",
-        (F.col("copies") * F.col("size")).alias("taken"),
+
+    def counted(least: Column, last: Column) -> Column:
+        return F.explode(F.sequence(least, last))
+
+    block = F.col("block") * EQUAL
+    return (
+        _laid(docs, weights, most)
+        .withColumn("block", counted(F.lit(0).cast("long"), F.expr(f"(n - 1) div {EQUAL}")))
+        .withColumn("of", counted(block + 1, F.least(block + EQUAL, F.col("n"))))
+        .withColumn("copies", _crossed(F.col("before") + F.col("of"), most))
+        .select(
+            "doc_id",
+            "source",
+            "size",
+            "source_size",
+            "target",
+            "copies",
+            (F.col("copies") * F.col("size")).alias("taken"),
+        )
     )
 
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """The mix itself: every document as often as it is taken, with its columns as they were."""
-    rows = docs.select(
-        F.col("doc_id"),
-        F.col("source").cast("string").alias("source"),
-        words_of(F.col("text")).alias("size"),
-        F.xxhash64("text").alias("tie"),
-        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"),
-    )
+    """The mix itself: every document as often as it is taken, with its columns as they were.
+
+    Documents are joined with their entries by id, source and text, of which only equal documents
+    have the same.
+    """
+    laid = _laid(docs, weights, most)
+    taken = F.floor((F.col("before") + F.col("n")) * F.col("each") + _offset(F.col("source")))
+    taken = taken > F.floor(F.col("before") * F.col("each") + _offset(F.col("source")))
+    entries = laid.where(taken).select("who", "tie", "source", "before", "each")
+    rows = docs.select(*_entry(docs), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
+    number = F.row_number().over(Window.partitionBy("who", "tie").orderBy(F.lit(1)))
     return (
-        _laid(rows, weights, most)
+        rows.join(entries, ["who", "tie"])
+        .withColumn("number", F.col("before") + number)
+        .withColumn("copies", _crossed(F.col("number"), most))
         .where("copies > 0")
         .select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
         .select("row.*")

@@ -1,11 +1,17 @@
 from __future__ import annotations
 
-from collections import defaultdict
+import hashlib
+import math
+import os
+from collections import Counter, defaultdict
+from pathlib import Path
 
 import brute
 import tables
+from pyspark.sql import functions as F
 
 from crease.llm import line_dedup, mixing
+from crease.session import shared_folder
 
 
 def test_lines_of_cases(spark):
@@ -92,8 +98,59 @@ def test_mix_of_all_documents(spark):
     assert sorted(map(repr, mixing.copies(docs.repartition(7)).collect())) == sorted(map(repr, rows))
 
 
-def test_mixing_cases(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "RUN", 3)  # several runs even here
+def by_hand(rows):
+    """Total copies by (doc_id, source, text), one document after the other."""
+    def size_class(size):
+        octave = size.bit_length() - 1
+        return 0 if size == 0 else octave * 4 + (size * 4 >> octave)
+
+    sizes = defaultdict(int)
+    for _, text, source in rows:
+        sizes[source] += len(brute.words(text))
+    target, out = shares(sizes), defaultdict(int)
+    for source, size in sizes.items():
+        own = [(i, t, len(brute.words(t))) for i, t, s in rows if s == source]
+        own.sort(key=lambda r: (size_class(r[2]), r[0] is not None, r[0] or 0, r[2]))
+        each = target[source] / size if size else 0.0
+        start = int(hashlib.md5(f"offset:{source or 'null'}".encode()).hexdigest()[:8], 16) / 2**32
+        for k, (i, text, _) in enumerate(own):
+            out[i, source, text] += math.floor((k + 1) * each + start) - math.floor(k * each + start)
+    return {k: n for k, n in out.items() if n}
+
+
+def test_outlying_ids_and_documents_that_repeat(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "EQUAL", 7)
+    rows = [(i, f"a few words number {i % 13}", "hot") for i in range(1, 400)]
+    rows += [(10**15, "one far away", "hot"), (None, "no id at all", "hot"), (1, "of no source", None)]
+    rows += [(5, "the very same document", "cold")] * 150 + [(5, "another under its id", "cold")] * 40
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    docs = docs.withColumn("size", F.lit("x"))
+    expected = by_hand(rows)
+    found = mixing.copies(docs).collect()
+    assert len(found) == len(rows)
+    sizes, of = defaultdict(int), defaultdict(int)
+    for (i, source, text), n in expected.items():
+        of[i, source, len(brute.words(text))] += n
+    for r in found:
+        sizes[r["doc_id"], r["source"], r["size"]] += r["copies"]
+    assert {k: n for k, n in sizes.items() if n} == of
+    mix = mixing.mixed(docs)
+    assert mix.columns == docs.columns
+    got = Counter((r["doc_id"], r["source"], r["text"]) for r in mix.collect())
+    assert got == expected
+
+
+def test_ranges_of_a_mix_are_even(spark):
+    ids = spark.range(20_000).selectExpr("if(id = 7, 1000000000000000, id) as doc_id")
+    docs = ids.selectExpr("doc_id", "'one size fits all' as text", "'hot' as source")
+    laid = mixing._laid(docs, mixing.WEIGHTS, mixing.MOST)
+    assert laid.count() == 20_000
+    entries = sorted(Path(shared_folder(spark), "crease-llm").glob("mix-entries-*"), key=os.path.getmtime)
+    sizes = [r["count"] for r in spark.read.parquet(str(entries[-1])).groupBy("range").count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 3 * 20_000 / len(sizes)
+
+
+def test_mixing_cases(spark):
     docs = tables.cases(spark)
     rows = mixing.copies(docs).collect()
     assert len(rows) == len(tables.CASES)
