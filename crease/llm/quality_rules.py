@@ -1,14 +1,18 @@
-"""Quality rules as weak supervision: rules vote good, bad or abstain on each document; their
-accuracies come from expectation-maximisation over the votes of the whole table, without labels;
-a document is kept when it passes the base rules and is more likely good than not.
+"""Quality rules as weak supervision: rules vote good, bad or abstain on each document; how right they
+are comes from expectation-maximisation over the votes of the table, without labels; a document is kept
+when it passes the base rules and is more likely good than not.
 
-Only the pattern of votes enters the model, so the table is reduced to a count per pattern (2 to the
+Rules are sensitive: a single bad vote on a sound document is common, and rules that turn out to vote
+alike on both classes weigh next to nothing. So a verdict is not that of all rules having to pass.
+
+Only the pattern of votes enters the model, so the table is reduced to a count per pattern (3 to the
 power of the number of rules at most, whatever the table's size) before anything reaches the driver,
-and the posterior goes back as an expression over the votes.
+and the posterior goes back as an expression over the votes. Documents that fail the base rules are not
+learned from: their verdict is settled, and among them repetition would pass for quality.
 
-Cases: a null or empty text has no words and fails the base rules; rules abstain where a text has
-nothing to judge; repeated rows are judged alike, each on its own; other columns are returned by
-:func:`kept_documents` as they are. An empty table gives no rows.
+Cases: a null or empty text has no words and fails the base rules; rules abstain on texts of fewer
+than ten words; repeated rows are judged alike, each on its own; other columns are returned by
+:func:`kept_documents` as they are. An empty table gives no rows; without votes, beliefs stay.
 """
 
 from __future__ import annotations
@@ -36,30 +40,33 @@ KEEP = 0.5
 
 _MEASURES = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-    "n_lines", "n_plain", "n_upper", "n_letters", "n_marks", "n_distinct",
+    "n_lines", "n_plain", "n_upper", "n_letters", "n_marks", "n_distinct", "n_ends", "n_digits",
 )
 
 
 class Rule(NamedTuple):
-    """Votes bad (-1) or good (1) where its ratio exceeds the limit, and else abstains."""
+    """Votes good (1) where its ratio is within ``good``, bad (-1) outside ``fair``, and else abstains."""
 
     name: str
-    says: int
     ratio: str
-    limit: float
-    #: Words a text needs for the rule to vote.
-    least: int = 1
+    good: tuple[float, float]
+    fair: tuple[float, float]
 
 
+#: Words that a text needs for any rule to vote.
+VOTED = 10
+_ANY = 1e9
 RULES = (
-    Rule("plain", 1, "n_plain / greatest(word_chars, 1)", 0.97),
-    Rule("symbols", -1, "n_symbols / n_words", 0.10),
-    Rule("capitals", -1, "n_upper / greatest(n_letters, 1)", 0.30, 10),
-    Rule("exclaims", -1, "n_marks / n_words", 0.10, 10),
-    Rule("repeats", -1, "n_repeat_words / n_words", 0.45, 10),
-    Rule("dup_lines", -1, "n_dup_lines / greatest(n_lines, 1)", 0.60),
-    Rule("few_words", -1, "1 - n_distinct / n_words", 0.92, 50),
-    Rule("odd_length", -1, "abs(word_chars / n_words - 6)", 6.0, 10),
+    Rule("plain", "n_plain / greatest(word_chars, 1)", (0.97, _ANY), (0.93, _ANY)),
+    Rule("symbols", "n_symbols / n_words", (0, 0.02), (0, 0.10)),
+    Rule("capitals", "n_upper / greatest(n_letters, 1)", (0.004, 0.10), (0.002, 0.30)),
+    Rule("exclaims", "n_marks / n_words", (0, 0.02), (0, 0.10)),
+    Rule("word_length", "word_chars / n_words", (4.5, 6.0), (4.2, 7.0)),
+    Rule("ends", "n_ends / n_words", (0.05, 0.14), (0.03, 0.20)),
+    Rule("repeats", "n_repeat_words / n_words", (0, 0.05), (0, 0.20)),
+    Rule("dup_lines", "n_dup_lines / greatest(n_lines, 1)", (0, 0.05), (0, 0.30)),
+    Rule("distinct", "n_distinct / n_words", (0.40, 1), (0.20, 1)),
+    Rule("digits", "n_digits / greatest(word_chars, 1)", (0, 0.05), (0, 0.15)),
 )
 
 
@@ -112,6 +119,8 @@ def measures(text: bytes) -> tuple[int, ...]:
         int(found[_UPPER].sum() + found[_LOWER].sum()),
         int(found[ord("!")]),
         distinct,
+        int(found[list(b".?")].sum()),
+        int(found[list(b"0123456789")].sum()),
     )
 
 
@@ -145,8 +154,8 @@ def measured(docs: DataFrame) -> DataFrame:
 def vote(rule: Rule) -> Column:
     """1 for good, -1 for bad, 0 for neither."""
     ratio = F.expr(rule.ratio.replace("/ n_words", "/ greatest(n_words, 1)"))
-    votes = (F.col("n_words") >= rule.least) & (ratio > rule.limit)
-    return F.when(votes, rule.says).otherwise(0).cast("byte")
+    votes = F.when(ratio.between(*rule.good), 1).when(~ratio.between(*rule.fair), -1).otherwise(0)
+    return F.when(F.col("n_words") >= VOTED, votes).otherwise(0).cast("byte")
 
 
 def base_failed() -> Column:
@@ -155,48 +164,73 @@ def base_failed() -> Column:
     )
 
 
-#: How often a rule is believed to be right before the votes are seen, and how many documents this
-#: belief is worth for each one that the rule votes on.
-BELIEF, WORTH = 0.9, 0.25
+class Model(NamedTuple):
+    """Share of good documents, and for each rule how often its votes are right on each class."""
+
+    share: float
+    on_good: np.ndarray
+    on_bad: np.ndarray
+
+    def weights(self) -> tuple[float, np.ndarray, np.ndarray]:
+        """Log odds without votes, and what a good and a bad vote of each rule add to them."""
+        return (
+            float(np.log(self.share / (1 - self.share))),
+            np.log(self.on_good / (1 - self.on_bad)),
+            np.log((1 - self.on_good) / self.on_bad),
+        )
+
+
+#: Believed before the votes are seen: a good document draws a bad vote from one rule in twenty, a bad one
+#: from three in ten. The belief is worth this share of the documents that a rule votes on.
+BELIEF, WORTH = Model(0.7, 0.95, 0.3), 0.02
 
 
-def fit(votes: np.ndarray, counts: np.ndarray, rounds: int = 500) -> np.ndarray:
-    """Accuracies of the rules by expectation-maximisation over vote patterns and their counts.
+def fit(votes: np.ndarray, counts: np.ndarray, rounds: int = 1000) -> Model:
+    """Accuracies and class share by expectation-maximisation over vote patterns and their counts.
 
-    A document's odds of being good are the product of a/(1-a) over the rules that vote good, over
-    the same of those that vote bad; abstaining says nothing, and without votes the odds are even.
-    A rule's accuracy is the mean probability, over the documents it votes on, that it is right.
+    Votes are independent given the class, abstaining says nothing. A rule's accuracy on a class is the
+    share of its votes, over documents weighed by their probability of the class, that name this class.
     """
-    cast = votes != 0
-    voted = counts @ cast
-    accuracy = np.full(votes.shape[1], BELIEF)
+    good, bad = votes == 1, votes == -1
+    cast = good | bad
+    prior = WORTH * (counts @ cast) + 1
+    whole = WORTH * counts.sum() + 1
+    model = Model(BELIEF.share, *(np.full(votes.shape[1], b) for b in BELIEF[1:]))
     for _ in range(rounds):
-        good = 1 / (1 + np.exp(-(votes @ np.log(accuracy / (1 - accuracy)))))
-        right = np.where(votes == 1, good[:, None], 1 - good[:, None]) * cast
-        prior = WORTH * voted + 1
-        new = np.clip((counts @ right + BELIEF * prior) / (voted + prior), 0.5, 0.999)
-        moved = np.abs(new - accuracy).max(initial=0)
-        accuracy = new
+        base, for_good, for_bad = model.weights()
+        belongs = 1 / (1 + np.exp(-(base + good @ for_good + bad @ for_bad)))
+        as_good, as_bad = counts * belongs, counts * (1 - belongs)
+        new = Model(
+            float(np.clip((as_good.sum() + BELIEF.share * whole) / (counts.sum() + whole), 0.001, 0.999)),
+            np.clip((as_good @ good + BELIEF.on_good * prior) / (as_good @ cast + prior), 0.001, 0.999),
+            np.clip((as_bad @ bad + BELIEF.on_bad * prior) / (as_bad @ cast + prior), 0.001, 0.999),
+        )
+        moved = max(np.abs(a - b).max(initial=0) for a, b in zip(map(np.atleast_1d, new), model))
+        model = new
         if moved < 1e-10:
             break
-    return accuracy
+    return model
 
 
-def learned(votes: DataFrame) -> np.ndarray:
-    """Accuracies of the rules on a table with a vote column for each."""
+def learned(votes: DataFrame) -> Model:
+    """The model of a table with measures and a vote column for each rule."""
     names = [f"vote_{r.name}" for r in RULES]
-    rows = sorted(map(tuple, votes.groupBy(*names).count().collect()))  # 2 ** 8 rows at most
+    counts = votes.where(~base_failed()).groupBy(*names).count()
+    rows = sorted(map(tuple, counts.collect()))  # 3 ** 10 rows at most
     patterns = np.array([r[:-1] for r in rows], np.int8).reshape(len(rows), len(RULES))
     return fit(patterns, np.array([r[-1] for r in rows], np.float64))
 
 
-def probability(accuracies: np.ndarray) -> Column:
+def probability(model: Model) -> Column:
     """Posterior probability that a document is good, from its votes."""
+    base, for_good, for_bad = model.weights()
     terms = [
-        F.col(f"vote_{rule.name}") * float(np.log(a / (1 - a)))
-        for rule, a in zip(RULES, accuracies)
+        F.when(F.col(f"vote_{rule.name}") == 1, float(g))
+        .when(F.col(f"vote_{rule.name}") == -1, float(b))
+        .otherwise(0.0)
+        for rule, g, b in zip(RULES, for_good, for_bad)
     ]
-    return 1 / (1 + F.exp(-reduce(add, terms)))
+    return 1 / (1 + F.exp(-reduce(add, terms, F.lit(base))))
 
 
 def _voted(docs: DataFrame) -> DataFrame:
@@ -210,10 +244,10 @@ def judged(docs: DataFrame) -> DataFrame:
     """
     votes = _voted(docs.select(F.col("doc_id").cast("long"), "text"))
     rows = stored(votes.select("row.doc_id", *votes.columns[1:]), "measures")
-    accuracies = learned(rows)
+    model = learned(rows)
     return (
         rows.withColumn("base_failed", base_failed())
-        .withColumn("probability", probability(accuracies))
+        .withColumn("probability", probability(model))
         .withColumn("kept", ~F.col("base_failed") & (F.col("probability") >= KEEP))
     )
 
@@ -223,6 +257,6 @@ def kept_documents(docs: DataFrame) -> DataFrame:
 
     Texts are read twice, once for the votes' counts and once for the verdicts, and not shuffled.
     """
-    accuracies = learned(_voted(docs.select("text")))
-    good = ~base_failed() & (probability(accuracies) >= KEEP)
+    model = learned(_voted(docs.select("text")))
+    good = ~base_failed() & (probability(model) >= KEEP)
     return _voted(docs).where(good).select("row.*")

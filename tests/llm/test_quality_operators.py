@@ -42,15 +42,57 @@ def test_cases_of_rules(spark):
 def test_accuracies_are_found_without_labels():
     draw = np.random.default_rng(2)
     truth = draw.random(20_000) < 0.8
-    accuracy, votes = (0.9, 0.95, 0.75), []
-    for a in accuracy:
-        right = draw.random(len(truth)) < a
+    pairs = ((0.9, 0.9), (0.95, 0.8), (0.75, 0.6), (0.9, 0.1), (0.99, 0.7), (0.8, 0.8))
+    votes = []
+    for on_good, on_bad in pairs:
+        right = draw.random(len(truth)) < np.where(truth, on_good, on_bad)
         vote = np.where(right == truth, 1, -1)
         votes.append(np.where(draw.random(len(truth)) < 0.7, vote, 0))
     patterns, counts = np.unique(np.array(votes).T, axis=0, return_counts=True)
     found = quality_rules.fit(patterns, counts.astype(float))
-    assert np.abs(found - accuracy).max() < 0.12 and found[1] > found[2]
-    assert quality_rules.fit(np.zeros((0, 3), int), np.zeros(0)).tolist() == [0.9] * 3
+    assert abs(found.share - truth.mean()) < 0.05
+    assert np.abs(found.on_good - [a for a, _ in pairs]).max() < 0.05
+    assert np.abs(found.on_bad - [a for _, a in pairs]).max() < 0.12
+    # The last rule votes alike on both classes: its votes weigh nothing.
+    _, for_good, for_bad = found.weights()
+    assert abs(for_good[3]) < 0.1 and abs(for_bad[3]) < 0.5 < abs(for_bad[0])
+    empty = quality_rules.fit(np.zeros((0, 3), int), np.zeros(0))
+    assert empty.share == 0.7 and empty.on_good.tolist() == [0.95] * 3
+
+
+def test_posterior_by_hand_and_against_all_must_pass(spark):
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    truth = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    rows = quality_rules.judged(docs).where("not base_failed").collect()
+    names = [f"vote_{rule.name}" for rule in quality_rules.RULES]
+    model = quality_rules.fit(
+        *(
+            np.asarray(a, float)
+            for a in np.unique([[r[n] for n in names] for r in rows], axis=0, return_counts=True)
+        )
+    )
+    differs, right, must_right, majority_right = 0, 0, 0, 0
+    labelled = [r for r in rows if r["doc_id"] in truth]
+    for r in labelled:
+        odds = model.share / (1 - model.share)
+        for k, name in enumerate(names):
+            if r[name] == 1:
+                odds *= model.on_good[k] / (1 - model.on_bad[k])
+            elif r[name] == -1:
+                odds *= (1 - model.on_good[k]) / model.on_bad[k]
+        assert abs(r["probability"] - odds / (1 + odds)) < 1e-6
+        label = truth[r["doc_id"]] == 1
+        must = all(r[n] >= 0 for n in names)
+        differs += must != r["kept"]
+        right += r["kept"] == label
+        must_right += must == label
+        majority_right += (sum(r[n] for n in names) > 0) == label
+    # All must pass loses sound documents, and a majority of votes keeps the bad ones.
+    assert differs >= 10 and right > must_right and right > majority_right
+    assert right / len(labelled) > 0.995
+    share = np.mean([truth[r["doc_id"]] == 1 for r in labelled])
+    assert abs(model.share - share) < 0.02
 
 
 def test_held_out_accuracy_of_the_classifier(spark):
