@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import math
 import os
+import random
 from collections import Counter, defaultdict
 from pathlib import Path
 
@@ -43,6 +44,47 @@ def test_runs_of_short_lines(spark):
         )
 
 
+def runs_by_hand(texts):
+    """(document, line, lines) of maximal repeated runs, comparing every two places."""
+    docs = [[(n, t) for n, t in enumerate(text.split("\n")) if brute.words(t)] for text in texts]
+    places = [(k, i) for k, d in enumerate(docs) for i in range(len(d))]
+
+    def common(a, b):
+        (k, i), (m, j), n = a, b, 0
+        while i + n < len(docs[k]) and j + n < len(docs[m]) and docs[k][i + n][1] == docs[m][j + n][1]:
+            n += 1
+        return n
+
+    most = {p: max((common(p, q) for q in places if q != p), default=0) for p in places}
+    return sorted(
+        (k, docs[k][i][0], n)
+        for (k, i), n in most.items()
+        if n and (most.get((k, i - 1), 0) == 0 or most[k, i - 1] <= n)
+    )
+
+
+def test_maximal_runs(spark):
+    draw = random.Random(4)
+    texts = ["a\nb\nc\nd", "x\na\nb\nc\ny", "a\n\nb", "", "e\ne\ne\ne\ne\nf"]
+    texts += ["\n".join(draw.choices("abcd", [8, 4, 2, 1], k=draw.randrange(1, 60))) for _ in range(30)]
+    texts += [texts[-1], texts[-2] + "\nq\nr", "only\nhere " + texts[-3], "\n".join("ab" * 70)]
+    rows = [(k, t, "en", "a") for k, t in enumerate(texts)]
+    docs = tables.cases(spark, rows)
+    found = line_dedup.maximal_runs(docs).collect()
+    assert sorted((r["doc_id"], r["line"], r["lines"]) for r in found) == runs_by_hand(texts)
+    assert max(r["lines"] for r in found) > 100
+    assert line_dedup.maximal_runs(docs.where("false")).count() == 0
+    # Rows that repeat are one document and no copies of each other.
+    alone = docs.where("doc_id = 0")
+    assert line_dedup.maximal_runs(alone.unionByName(alone)).count() == 0
+    for run in (1, 3, 6):
+        found = line_dedup.deduplicated(docs.drop("removed"), run=run).collect()
+        expected = brute.without_repeated_lines(texts, run=run)
+        assert [tuple(r) for r in tables.pairs(found, "doc_id", "text", "removed")] == sorted(
+            ((k, *e) for k, e in enumerate(expected)), key=repr
+        )
+
+
 def test_no_python_in_the_native_plans(spark):
     docs = spark.read.parquet(f"{tables.SMALL}/documents.parquet")
     for rows in (line_dedup.kept_documents(docs), mixing.mixed(docs), mixing.copies(docs)):
