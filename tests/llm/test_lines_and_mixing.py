@@ -11,7 +11,7 @@ import brute
 import tables
 from pyspark.sql import functions as F
 
-from crease.llm import line_dedup, mixing
+from crease.llm import line_dedup, line_suffixes, mixing
 from crease.session import shared_folder
 
 
@@ -70,19 +70,18 @@ def test_maximal_runs(spark):
     texts += [texts[-1], texts[-2] + "\nq\nr", "only\nhere " + texts[-3], "\n".join("ab" * 70)]
     rows = [(k, t, "en", "a") for k, t in enumerate(texts)]
     docs = tables.cases(spark, rows)
-    found = line_dedup.maximal_runs(docs).collect()
+    found = line_suffixes.maximal_runs(docs).collect()
     assert sorted((r["doc_id"], r["line"], r["lines"]) for r in found) == runs_by_hand(texts)
     assert max(r["lines"] for r in found) > 100
-    assert line_dedup.maximal_runs(docs.where("false")).count() == 0
+    assert line_suffixes.maximal_runs(docs.where("false")).count() == 0
     # Rows that repeat are one document and no copies of each other.
     alone = docs.where("doc_id = 0")
-    assert line_dedup.maximal_runs(alone.unionByName(alone)).count() == 0
-    for run in (1, 3, 6):
-        found = line_dedup.deduplicated(docs.drop("removed"), run=run).collect()
-        expected = brute.without_repeated_lines(texts, run=run)
-        assert [tuple(r) for r in tables.pairs(found, "doc_id", "text", "removed")] == sorted(
-            ((k, *e) for k, e in enumerate(expected)), key=repr
-        )
+    assert line_suffixes.maximal_runs(alone.unionByName(alone)).count() == 0
+    columns = ("doc_id", "tie", "line")
+    found, expected = (
+        tables.pairs(m.repeated_lines(docs).collect(), *columns) for m in (line_suffixes, line_dedup)
+    )
+    assert found == expected and found
 
 
 def test_no_python_in_the_native_plans(spark):
