@@ -102,11 +102,20 @@ def repeated_intervals(
     From an end, backward search goes on while the interval holds two places or more; this gives the
     matching statistic there, the longest repeated sequence that ends at this place. Those of
     ``least`` symbols or more are reported. The next end is the last one whose sequence of ``least``
-    symbols isn't decided yet. All stretches are searched together.
+    symbols isn't decided yet. All stretches are searched together. The first symbol of a search
+    needs no rank: its interval is where the sequences that begin with it stand.
     """
+
+    def begun(lane: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Place and interval of searches from these ends, past the first symbol if it is there twice."""
+        symbol = symbols[end - 1]
+        low, high = index.starts[symbol], index.starts[symbol + 1]
+        past = (high - low >= 2) & (end - 1 > starts[lane])
+        return end - past, np.where(past, low, 0), np.where(past, high, index.n)
+
     lane = np.flatnonzero(ends - starts >= least)
     end = ends[lane].copy()
-    at, low, high = end.copy(), np.zeros(len(lane), np.int64), np.full(len(lane), index.n)
+    at, low, high = begun(lane, end)
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     while len(lane):
         symbol = symbols[at - 1]
@@ -122,12 +131,11 @@ def repeated_intervals(
             out.append((lane[found], at[found], end[found]))
         nearer = np.where(twice, at + least - 1, np.minimum(end - 1, at + least - 1))
         end = np.where(stop, nearer, end)
-        at = np.where(stop, end, at)
-        low = np.where(stop, 0, low)
-        high = np.where(stop, index.n, high)
         live = end - starts[lane] >= least
         if not live.all():
-            lane, end, at, low, high = (x[live] for x in (lane, end, at, low, high))
+            lane, end, at, low, high, stop = (x[live] for x in (lane, end, at, low, high, stop))
+        if (anew := np.flatnonzero(stop)).size:
+            at[anew], low[anew], high[anew] = begun(lane[anew], end[anew])
     if not out:
         none = np.empty(0, np.int64)
         return none, none, none

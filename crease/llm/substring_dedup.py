@@ -151,13 +151,21 @@ def _segments(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(lambda batches: _segment_batches(cut(batches)), _SEGMENTS)
 
 
+class _Numbers(dict):
+    """Numbers of words, from 1, given when they are first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self) + 1
+        return number
+
+
 def _searched(shard: list[tuple[int, bytes, int]]) -> Iterator[tuple[int, bytes, list[int]]]:
     """Repeated intervals (starts and ends, in turn) of a shard's different stretches of words."""
-    numbers: dict[bytes, int] = {}
+    numbers = _Numbers()
     symbols: list[int] = []
     starts, ends = [], []
     for _, words, n in shard:
-        own = [numbers.setdefault(w, len(numbers) + 1) for w in words.split(b" ")]
+        own = list(map(numbers.__getitem__, words.split(b" ")))
         starts.append(len(symbols))
         ends.append(len(symbols) + len(own))
         symbols += own

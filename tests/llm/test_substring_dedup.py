@@ -61,6 +61,23 @@ def test_intervals_cover_what_repeats():
         assert (covered == expected).all()
 
 
+def test_the_first_symbol_of_a_search_is_not_ranked(monkeypatch):
+    """Its interval is known from the symbols' counts, if it is there twice."""
+    draw = np.random.default_rng(3)
+    held = np.append(draw.integers(1, 20, 400), 0)
+    index = fm_index.FMIndex(held, 20)
+    counts, calls = np.bincount(held, minlength=20), []
+    extended = fm_index.FMIndex.extended
+
+    def recorded(self, symbols, low, high):
+        calls.append(((low == 0) & (high == self.n) & (counts[symbols] > 1)).any())
+        return extended(self, symbols, low, high)
+
+    monkeypatch.setattr(fm_index.FMIndex, "extended", recorded)
+    fm_index.repeated_intervals(index, held, np.array([0]), np.array([400]), 3)
+    assert calls and not any(calls)
+
+
 def documents():
     """Texts that share passages, repeat themselves, and differ in a word."""
     draw = random.Random(5)
