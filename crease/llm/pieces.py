@@ -17,7 +17,8 @@ states of the best path; and each chunk is traced back between its two. The resu
 pass over the whole text.
 
 Where no piece reaches over the start of a word (as in every vocabulary split at white space), words
-are segmented once and remembered, and all a chunk's paths meet at its first word.
+are segmented once and remembered, and all a chunk's paths meet at its first word. Only their ids are
+kept, under the words as the text has them: a text's score follows from all its ids at once.
 
 Cases: a null text is an empty one and has no ids; a null ``doc_id`` is a value like others; repeated
 rows give repeated rows; other columns are not read. An empty table gives no rows.
@@ -39,28 +40,39 @@ from crease.llm.tables import pieces, stored, utf8
 #: Characters of a chunk.
 CHUNK = 1 << 15
 #: Words whose segmentation a worker remembers, and as many from before.
-MEMORY = 575_000
+MEMORY = 690_000
 
 SPACE = "▁"
 #: Stands for U+2581 of a text; no valid text has it.
 _LITERAL = "\ud800"
 _UNITS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-_LINED_UNITS = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n+|[^{SPACE}\n]+")
+#: Units of a text whose spaces are spaces.
+_PLAIN_UNITS = re.compile(" +[^ ]*|[^ ]+")
+_LINED_UNITS = re.compile(" +[^ \n]*|\n+|[^ \n]+")
 
 
 class _Units(dict):
-    """Ids and scores of words, found when they are first asked for."""
+    """Ids of words, found when they are first asked for."""
 
-    def __init__(self, vocabulary: Vocabulary, older: dict[str, tuple[bytes, float]]):
+    def __init__(self, vocabulary: Vocabulary, older: dict[str, bytes]):
         self.vocabulary, self.older = vocabulary, older
 
-    def __missing__(self, unit: str) -> tuple[bytes, float]:
-        found = self.older.get(unit) or self.vocabulary.segmented(unit)
+    def __missing__(self, unit: str) -> bytes:
+        found = self.older.get(unit) or self.vocabulary.segmented(normalised(unit))[0]
         if len(unit) < 64:
             self[unit] = found
         return found
 
 
+class _Node(dict):
+    """What begins pieces, one character longer each; score and id where it is one itself."""
+
+    __slots__ = ("score", "id")
+
+    def __init__(self) -> None:
+        self.score, self.id = None, b""
+
+
 class Vocabulary:
     """Pieces and scores of a model file, opened where the tasks run."""
 
@@ -87,13 +99,23 @@ class Vocabulary:
             self.text[k] = bytes([value])
         self.is_byte = np.zeros(len(every), bool)
         self.is_byte[byte] = True
-        #: Pieces with score and id, and what begins one with a score that never wins, to know when
-        #: to look no further.
-        low = float("-inf"), b""
-        self.begun = {p[:n]: low for p in self.scored for n in range(1, len(p))}
-        self.begun.update((p, (s, k.to_bytes(4, "little"))) for p, (s, k) in self.scored.items())
+        #: What an id adds to the score, and the characters that it stands for; none for bytes.
+        self.scores, self.lengths = np.zeros(len(every)), np.zeros(len(every), np.int64)
+        for piece, (score, k) in self.scored.items():
+            self.scores[k], self.lengths[k] = score, len(piece)
+        #: The pieces' texts one after the other, to be taken by id.
+        self.texts = pa.array(self.text, pa.large_binary())
+        #: The pieces as a tree, to know when to look no further.
+        self.root = _Node()
+        for piece, (score, k) in self.scored.items():
+            node = self.root
+            for character in piece:
+                if character not in node:
+                    node[character] = _Node()
+                node = node[character]
+            node.score, node.id = score, k.to_bytes(4, "little")
         self.single = {p for p in self.scored if len(p) == 1}
-        self.split = _UNITS if any("\n" in p for p in self.scored) else _LINED_UNITS
+        self.split = _PLAIN_UNITS if any("\n" in p for p in self.scored) else _LINED_UNITS
         self.units = _Units(self, {})
 
     def steps(self, s: str, end: int) -> Iterator[tuple[float, int, int]]:
@@ -137,21 +159,22 @@ class Vocabulary:
 
     def segmented(self, s: str) -> tuple[bytes, float]:
         """Ids and score of a text on its own: the same as best and trace, start by start."""
-        size, get, single = len(s), self.begun.get, self.single
+        size, root, single = len(s), self.root, self.single
         score, back, ids = [float("-inf")] * (size + 1), [0] * (size + 1), [b""] * (size + 1)
         score[0] = 0.0
         for start in range(size):
-            base = score[start]
+            base, node, end = score[start], root, start
             if s[start] not in single and base + self.unknown > score[start + 1]:
                 score[start + 1], back[start + 1] = base + self.unknown, start
                 held = s[start].replace(_LITERAL, SPACE).encode()
                 ids[start + 1] = self.bytes[np.frombuffer(held, np.uint8)].tobytes()
-            for end in range(start + 1, size + 1):
-                found = get(s[start:end])
-                if found is None:
+            for character in s[start:]:
+                if character not in node:
                     break
-                if (value := base + found[0]) > score[end]:
-                    score[end], back[end], ids[end] = value, start, found[1]
+                node = node[character]
+                end += 1
+                if (own := node.score) is not None and (value := base + own) > score[end]:
+                    score[end], back[end], ids[end] = value, start, node.id
         out, end = [], size
         while end:
             out.append(ids[end])
@@ -160,15 +183,36 @@ class Vocabulary:
         return b"".join(out), score[-1]
 
     def whole(self, s: str) -> tuple[bytes, float]:
+        """Ids and score of a normalised text."""
+        return self.encode(plain(s)) if self.cuts else self.segmented(s)
+
+    def encode(self, text: str) -> tuple[bytes, float]:
+        """The same of a text as it is."""
         if not self.cuts:
-            return self.segmented(s)
+            return self.segmented(normalised(text))
         if len(self.units) > MEMORY:
-            self.units = _Units(self, dict(self.units))
-        found = list(map(self.units.__getitem__, self.split.findall(s)))
-        return b"".join([f[0] for f in found]), sum([f[1] for f in found])
+            self.units.older = {}
+            self.units = _Units(self, self.units)
+        ids = b"".join(map(self.units.__getitem__, self.split.findall(text)))
+        return ids, self.score(ids, len(text))
+
+    def score(self, ids: bytes, size: int) -> float:
+        """Score of the ids of a text of so many characters: those without a piece are the rest."""
+        at = np.frombuffer(ids, "<u4")
+        lacking = size - int(self.lengths[at].sum())
+        return float(self.scores[at].sum()) + (lacking * self.unknown if lacking else 0.0)
 
     def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.text.__getitem__, ids.tolist()))[1:]
+        return self.decoded([ids])[0]
+
+    def decoded(self, ids: list[np.ndarray]) -> list[bytes]:
+        """Texts of some rows of ids, without the space before them."""
+        held = self.texts.take(pa.array(np.concatenate([np.empty(0, np.uint32), *ids])))
+        offsets, data = (np.frombuffer(b, t) for b, t in zip(held.buffers()[1:], (np.int64, np.uint8)))
+        data = memoryview(data)
+        ends = np.cumsum([0, *map(len, ids)])
+        cuts = offsets[ends].tolist()
+        return [bytes(data[a:b])[1:] for a, b in zip(cuts, cuts[1:])]
 
 
 def normalised(text: str) -> str:
@@ -176,6 +220,11 @@ def normalised(text: str) -> str:
     return text.replace(SPACE, _LITERAL).replace(" ", SPACE)
 
 
+def plain(s: str) -> str:
+    """The text that is normalised so."""
+    return s.replace(SPACE, " ").replace(_LITERAL, SPACE)
+
+
 def _spaced(text: str) -> str:
     return " " + text if text else ""
 
@@ -283,7 +332,7 @@ def _whole(docs: DataFrame, path: str) -> DataFrame:
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary()
         for batch in pieces(batches):
-            found = [words.whole(normalised(_spaced(t.decode()))) for t in utf8(batch.column("text"))]
+            found = [words.encode(_spaced(t.decode())) for t in utf8(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -437,7 +486,7 @@ def decoded(tokens: DataFrame, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     *[batch.column(c) for c in names],
-                    pa.array([words.decode(i).decode() for i in ids]),
+                    pa.array([t.decode() for t in words.decoded(ids)], pa.string()),
                     pa.array([len(i) for i in ids], pa.int64()),
                     pa.array([int(words.is_byte[i].sum()) for i in ids], pa.int64()),
                 ],

@@ -19,20 +19,24 @@ def good_ids(rows):
     held = []
     for _, text in rows:
         m = dict(zip(names, quality_rules.measures(text.encode())))
-        env = {**m, "greatest": max, "abs": abs}
         n = max(m["n_words"], 1)
-        votes = [
-            r.says
-            if m["n_words"] >= r.least and eval(r.ratio.replace("/ n_words", f"/ {n}"), {}, env) > r.limit
-            else 0
-            for r in quality_rules.RULES
-        ]
+        votes = []
+        for rule in quality_rules.RULES:
+            ratio = eval(rule.ratio.replace("/ n_words", f"/ {n}"), {"greatest": max}, m)
+            good, fair = (low <= ratio <= high for low, high in (rule.good, rule.fair))
+            vote = 1 if good else 0 if fair else -1
+            votes.append(vote if m["n_words"] >= quality_rules.VOTED else 0)
         failed = m["n_words"] < 50 or 100 * m["n_repeat_words"] > 50 * m["n_words"]
         held.append((votes, failed))
-    patterns, counts = np.unique(np.array([v for v, _ in held]), axis=0, return_counts=True)
-    accuracy = quality_rules.fit(patterns, counts.astype(float))
-    odds = np.log(accuracy / (1 - accuracy))
-    return [i for (i, _), (v, failed) in zip(rows, held) if not failed and odds @ v >= 0]
+    learned_from = np.array([v for v, failed in held if not failed])
+    patterns, counts = np.unique(learned_from, axis=0, return_counts=True)
+    base, for_good, for_bad = quality_rules.fit(patterns, counts.astype(float)).weights()
+
+    def likely(votes):
+        v = np.array(votes)
+        return base + for_good @ (v == 1) + for_bad @ (v == -1) >= 0
+
+    return [i for (i, _), (v, failed) in zip(rows, held) if not failed and likely(v)]
 
 
 def test_stages_as_by_hand(spark):

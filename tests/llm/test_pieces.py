@@ -58,6 +58,28 @@ def test_every_segmentation_of_short_texts(vocabulary):
         assert whole(vocabulary, text)[1] == best(pieces.normalised(" " + text))
 
 
+def test_words_are_remembered_by_their_ids_alone(monkeypatch):
+    """A worker's memory holds a word as the text has it and its ids, whatever is forgotten meanwhile."""
+    texts = ["the cat", "▁ é😀x the", "in  the\n\ninn the cat", "", " ", "zzzz ▁▁ the"]
+    for memory in (pieces.MEMORY, 2):
+        monkeypatch.setattr(pieces, "MEMORY", memory)
+        words = pieces.Vocabulary(PATH)
+        for text in texts * 2:
+            s = pieces.normalised(pieces._spaced(text))
+            assert words.whole(s) == words.segmented(s)
+            assert words.encode(pieces._spaced(text)) == words.segmented(s)
+        held = words.units.items()
+        assert held and all(isinstance(v, bytes) for _, v in held)
+        assert memory > 2 or words.units.older and words.units.older.older == {}
+
+
+def test_rows_are_decoded_together(vocabulary):
+    texts = ["the cat", "", "é😀x ▁ the", " ", "a\nb"]
+    ids = [np.frombuffer(vocabulary.encode(pieces._spaced(t))[0], "<u4") for t in texts]
+    assert [t.decode() for t in vocabulary.decoded(ids)] == texts
+    assert vocabulary.decoded([]) == []
+
+
 def chunked(vocabulary, s, size):
     reach = vocabulary.most - 1
     chunks = [
