@@ -35,7 +35,6 @@ from __future__ import annotations
 import heapq
 from collections import Counter
 from collections.abc import Callable, Iterator
-from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -165,13 +164,22 @@ class Decisions(NamedTuple):
 
 def contexts(symbols: np.ndarray, firsts: np.ndarray) -> list[np.ndarray]:
     """Hashes of the tokens before each symbol, for orders 1 and 2; texts begin at ``firsts``."""
-    one = np.concatenate([np.zeros(1, np.int64), symbols[:-1] + 1])
+    one = np.zeros(len(symbols), np.int32)
+    one[1:] = symbols[:-1] + 1
     one[firsts] = 0
-    two = np.concatenate([np.zeros(1, np.int64), one[:-1]])
+    two = np.zeros(len(symbols), np.int32)
+    two[1:] = one[:-1]
     two[firsts] = 0
-    context1 = mixed((one + 1).astype(np.uint64))
-    context2 = mixed(context1 + (two + 7).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return [(context >> np.uint64(32)).astype(np.uint32) for context in (context1, context2)]
+    out = [np.empty(len(symbols), np.uint32) for _ in range(2)]
+    for k in range(0, len(symbols), STRETCH):  # bounds the 64-bit values
+        part = slice(k, k + STRETCH)
+        context1 = mixed((one[part] + np.int64(1)).astype(np.uint64))
+        context2 = mixed(
+            context1 + (two[part] + np.int64(7)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        )
+        for held, context in zip(out, (context1, context2)):
+            held[part] = context >> np.uint64(32)
+    return out
 
 
 def decisions(
@@ -239,6 +247,10 @@ def refined(
     return out
 
 
+def _joined(texts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([np.asarray(t, np.int32) for t in texts])
+
+
 class Model:
     """What scoring needs: symbols of the frequent tokens, their code, hashed odds, weights.
 
@@ -256,19 +268,19 @@ class Model:
         self.weights = np.zeros((GATES, ORDERS), np.float32)
         self.weights[:, 0] = 1
 
-    def read(self, text: bytes) -> tuple[list[int], list[bytes]]:
+    def read(self, text: bytes) -> tuple[np.ndarray, list[bytes]]:
         """Symbols of a text and its end, and the words that are not among the frequent."""
         words = text.lower().split()
         get, escape = self.symbols.get, self.escape
         found = [get(w, escape) for w in words]
         others = [w for w, k in zip(words, found) if k == escape] if escape in found else []
         found.append(get(END, escape))
-        return found, others
+        return np.array(found, np.int32), others
 
-    def decisions(self, texts: list[list[int]]) -> Decisions:
+    def decisions(self, texts: list[np.ndarray]) -> Decisions:
         lengths = np.array([len(t) for t in texts])
         firsts = np.cumsum(lengths) - lengths
-        symbols = np.fromiter(chain.from_iterable(texts), np.int64, int(lengths.sum()))
+        symbols = _joined(texts)
         return decisions(self.codes, symbols, contexts(symbols, firsts), self.slots)
 
     def odds(self, found: Decisions) -> np.ndarray:
@@ -278,11 +290,11 @@ class Model:
             row[:] = table[slot]
         return out
 
-    def scores(self, texts: list[list[int]]) -> np.ndarray:
+    def scores(self, texts: list[np.ndarray]) -> np.ndarray:
         """Log10 probability of each text's symbols."""
         lengths = np.array([len(t) for t in texts])
         firsts = np.cumsum(lengths) - lengths
-        symbols = np.fromiter(chain.from_iterable(texts), np.int64, int(lengths.sum()))
+        symbols = _joined(texts)
         before = contexts(symbols, firsts)
         lanes = -(-lengths // LANE)
         lane_first = np.repeat(firsts, lanes) + LANE * (
@@ -561,7 +573,7 @@ def scored(docs: DataFrame) -> DataFrame:
         for batch in pieces(batches, limit=SCORED):
             texts = utf8(batch.column("text"))
             read = [model.read(t) for t in texts]
-            symbols = [np.array(s) for s, _ in read]
+            symbols = [s for s, _ in read]
             common = [s[s != model.escape] for s in symbols]
             others = [
                 [{"token": t, "times": n} for t, n in Counter(o).items()]
@@ -575,7 +587,7 @@ def scored(docs: DataFrame) -> DataFrame:
                     pa.array([len(s) for s in symbols], pa.int64()),
                     pa.array([len(s) for s in common], pa.int64()),
                     pa.array([float(model.logs[s].sum()) for s in common]),
-                    pa.array(model.scores([s for s, _ in read])),
+                    pa.array(model.scores(symbols)),
                     pa.array(others, kind),
                 ],
                 ["doc_id", "n_bytes", "n_tokens", "n_common", "common", "coded", "others"],

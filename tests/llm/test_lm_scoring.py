@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import tracemalloc
 from collections import Counter
 
 import brute
@@ -129,3 +130,20 @@ def test_refined_weights_are_carried_through_a_text():
     texts = [[0, 1] * 9000, [1], [0] * 700, [0, 1, 2] * 40]
     alone = [model.scores([t])[0] for t in texts]
     assert np.allclose(model.scores(texts), alone, rtol=1e-5)
+
+
+def test_texts_scored_together_take_few_bytes_a_token():
+    model = lm_scoring.Model([b"a", b"b", b""], np.array([5, 30, 2]), 1.0, 16)
+    symbols, others = model.read(b"a B c " * 3)
+    assert symbols.dtype == np.int32 and symbols.tolist() == [0, 1, 3] * 3 + [2] and others == [b"c"] * 3
+    draw = np.random.default_rng(2)
+    held = draw.integers(0, 4, 2_000_000).astype(np.int32)
+    tracemalloc.start()
+    try:
+        before = lm_scoring.contexts(held, np.array([0]))
+        assert tracemalloc.get_traced_memory()[1] < 30 * len(held)
+    finally:
+        tracemalloc.stop()
+    some = slice(0, 3 * lm_scoring.STRETCH)
+    for whole, part in zip(before, lm_scoring.contexts(held[some], np.array([0]))):
+        assert np.array_equal(whole[some], part)
