@@ -3,7 +3,8 @@
 Parquet has no MERGE. New matches are appended; buckets that already hold rows of an arriving
 match are rewritten as a whole. Both happen only after the arriving rows, and the complete
 content of every bucket about to be replaced, are stored beside the table. A note says which of
-these copies is complete, so that the next call can finish what an earlier one left undone.
+these copies is complete, so that the next call can finish what an earlier one left undone. The copies
+have the target's buckets, so they go into it as they are read, without a shuffle.
 
 A merge may carry a mark, as a stream's batch does: the note keeps it, and a merge that comes
 again under the mark of the last one, which is complete, changes nothing.
@@ -69,10 +70,10 @@ def _apply(wh: Warehouse, table: str, key: str, mark: str | None) -> None:
         wh.clear(f"{table}_rewrite")
         wh.append(f"{table}_rewrite", wh.by_bucket(merged))
         wh.note(table, REWRITING, mark)
-        wh.replace(table, wh.by_bucket(wh.stored(f"{table}_rewrite")))
+        wh.replace(table, wh.stored(f"{table}_rewrite"))
         wh.note(table, ARRIVED, mark)
     if len(touched) < len(arriving_parts):
-        wh.append(table, wh.by_bucket(arrivals.where(~in_touched)))
+        wh.append(table, arrivals.where(~in_touched))
     wh.note(table, IDLE, mark)
 
 

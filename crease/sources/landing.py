@@ -133,8 +133,8 @@ def _present(of: Column | str, path: str) -> Column:
 
 
 def _unfit(of: Column | str, path: str, kind: str) -> Column:
-    """Whether something is there that can't be read as the kind."""
-    return _present(of, path) & F.try_variant_get(of, path, kind).isNull()
+    """Whether something is there that can't be read as the kind. It mostly can, which is tried first."""
+    return F.try_variant_get(of, path, kind).isNull() & _present(of, path)
 
 
 def _not_object(of: Column | str, path: str = "$") -> Column:
@@ -158,11 +158,13 @@ def _innings_unfit(innings: Column) -> Column:
         return _not_object(over) | _any(over, "$.deliveries", ball_unfit)
 
     def ball_unfit(ball: Column) -> Column:
-        numbers = [f"$.runs.{name}" for name in ("batter", "extras", "total")]
-        numbers += [f"$.extras.{name}" for name in ("wides", "noballs", "byes", "legbyes")]
-        shapes = [_not_object(ball, path) for path in ("$", "$.runs", "$.extras")]
-        unfit = [_unfit(ball, path, "int") for path in numbers]
-        return reduce(Column.__or__, [*shapes, *unfit, _any(ball, "$.wickets", wicket_unfit)])
+        runs = [_unfit(ball, f"$.runs.{name}", "int") for name in ("batter", "extras", "total")]
+        kinds = [f"$.extras.{name}" for name in ("wides", "noballs", "byes", "legbyes")]
+        extras = [_not_object(ball, "$.extras"), *[_unfit(ball, path, "int") for path in kinds]]
+        shapes = [_not_object(ball, path) for path in ("$", "$.runs")]
+        with_extras = _present(ball, "$.extras") & reduce(Column.__or__, extras)  # few balls have any
+        with_wickets = _present(ball, "$.wickets") & _any(ball, "$.wickets", wicket_unfit)
+        return reduce(Column.__or__, [*shapes, *runs, with_extras, with_wickets])
 
     def wicket_unfit(wicket: Column) -> Column:
         return _not_object(wicket) | _any(wicket, "$.fielders", lambda one: _not_object(one))

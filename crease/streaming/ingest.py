@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from crease.plans.build import load, merge_load
@@ -49,6 +49,21 @@ def stream_merge(
     return _batches(wh, folder, checkpoint, loaded_at, files_per_batch, continuous, **merging)
 
 
+#: Setting: how many tasks list the paths of a read, at most.
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+def _list_in_few_tasks(spark: SparkSession) -> None:
+    """Let a task list many files; by default each of a batch's files has a task of its own.
+
+    The setting stays with the session, since batches are listed as long as the stream runs. A lower
+    one is left alone.
+    """
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    if int(spark.conf.get(LISTING)) > tasks:
+        spark.conf.set(LISTING, str(tasks))
+
+
 def _batches(
     wh: Warehouse,
     folder: str,
@@ -66,6 +81,7 @@ def _batches(
         if merge:
             merge_load(wh, load_id, dimensions)
 
+    _list_in_few_tasks(wh.spark)
     writer = (
         stream_folder(wh.spark, folder, files_per_batch)
         .writeStream.foreachBatch(write_batch)

@@ -42,6 +42,23 @@ def test_files_are_taken_once_as_they_arrive(spark, warehouse, tmp_path):
     assert sorted(r.match_id for r in wh.table("raw_match_json").collect()) == ["1", "1", "2", "2"]
 
 
+def test_a_task_lists_many_files_of_a_batch(spark, warehouse, tmp_path):
+    wh, folder = warehouse(), tmp_path / "landing"
+    folder.mkdir()
+    for k in range(40):
+        (folder / f"{k}.json").write_text(json.dumps(match(innings("A", [ball()]))))
+    most = 4 * spark.sparkContext.defaultParallelism
+    before = spark.conf.get(ingest.LISTING)
+    try:
+        for setting, expected in ((10_000, most), (3, 3)):
+            spark.conf.set(ingest.LISTING, str(setting))
+            stream_load(wh, str(folder), str(tmp_path / f"checkpoint{setting}")).awaitTermination()
+            assert int(spark.conf.get(ingest.LISTING)) == expected
+    finally:
+        spark.conf.set(ingest.LISTING, before)
+    assert wh.table("raw_match_json").count() == 80
+
+
 def test_stream_equals_batch(spark, warehouse, tmp_path):
     import __spark_entry__ as registered
 

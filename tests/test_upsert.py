@@ -40,6 +40,19 @@ def test_merge_updates_adds_keeps_and_replaces(spark, warehouse):
     assert wh.noted("fact_ball") == IDLE
 
 
+def test_copies_go_into_the_table_without_a_shuffle(spark, warehouse, monkeypatch):
+    wh = warehouse()
+    merge(wh, spark, {"1": [1, 2, 3], "2": [3]})
+    dealt = []
+    monkeypatch.setattr(wh, "by_bucket", lambda rows: dealt.append(rows) or type(wh).by_bucket(wh, rows))
+    merge(wh, spark, {"3": [4], "4": [5]}, key="match_id")
+    merge(wh, spark, {"1": [6], "5": [1]})
+    assert len(dealt) <= 2  # what stays and what comes, once a merge
+    assert balls(wh) == [
+        ("1", 1, 6), ("1", 2, 2), ("1", 3, 3), ("2", 1, 3), ("3", 1, 4), ("4", 1, 5), ("5", 1, 1),
+    ]
+
+
 def test_new_columns_are_appended(spark, warehouse):
     wh = warehouse()
     merge(wh, spark, {"1": [1]})
