@@ -16,8 +16,8 @@ and Newton's method runs on these sums. (Only the tree's own odds include the do
 half is empty, as with a single training document, there is nothing to fit to.
 
 Refinement carries on through a whole text; one of more than ``LANE`` tokens is as many lanes, each
-refined apart. The lanes of a batch advance together in numpy, a stretch of tokens at a time. A score
-depends on the model and the text alone.
+refined apart. Lanes of like lengths advance together in numpy, a stretch of tokens at a time that a
+core's cache holds. A score depends on the model and the text alone.
 
 Token counts are exact and grow with the corpus: tokens beyond the frequent ones are joined with
 their counts in Spark and never meet in one task. Hashed counts have a slot for every 16 training
@@ -33,17 +33,17 @@ all tokens are unseen. An empty table gives no rows.
 from __future__ import annotations
 
 import heapq
-from collections import Counter
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crease.llm.tables import partitions, pieces, stored, utf8
+from crease.llm.tables import partitions, pieces, stored
 from crease.llm.words import mixed
 
 FREQUENT = 1 << 16
@@ -55,17 +55,18 @@ FOLDS = 5
 #: Weights are fitted to odds counted in the other half; levels of odds a unit, and the most.
 HALVES, LEVELS, FAR = 2, 2, 14
 RATE = 0.02
+ROOT = np.float32(np.sqrt(RATE))
 ORDERS = 3
 GATES = 16
 #: Counts of a block of the hashed table; decisions that a task counts before it passes them on.
 BLOCK = 1 << 20
 RUN = 1 << 24
-#: Bytes of text worked on at a time, and of text scored together; tokens of a stretch of all lanes.
-PIECE = 3 << 19
+#: Bytes of text worked on at a time, and of text scored together; tokens of a stretch of all lanes;
+#: lanes that advance together.
+PIECE = 1 << 22
 SCORED = 16 << 20
-STRETCH = 1 << 16
-#: Distinct tokens that a task counts before it passes them on.
-COUNTED = 300_000
+STRETCH = 1 << 14
+TOGETHER = 1 << 11
 
 END = b""
 
@@ -88,26 +89,37 @@ def token_counts(texts: DataFrame) -> DataFrame:
     """``token`` (binary; empty: the end) and ``n`` over all rows' ``text``."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-        for batch in pieces(batches):
-            for text in utf8(batch.column("text")):
-                counts.update(text.lower().split())
-            counts[END] += batch.num_rows
-            if len(counts) > COUNTED:
-                yield _counts(counts)
-                counts.clear()
-        if counts:
-            yield _counts(counts)
+        for batch in pieces(batches, limit=SCORED):
+            held, ends = words(batch.column("text"))[0].value_counts(), [batch.num_rows]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.concat_arrays([held.field("values"), pa.array([END], pa.binary())]),
+                    pa.concat_arrays([held.field("counts"), pa.array(ends, pa.int64())]),
+                ],
+                ["token", "n"],
+            )
 
     found = texts.select("text").mapInArrow(counted, "token binary, n long")
     return found.groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def _counts(counts: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())],
-        ["token", "n"],
-    )
+def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Lower-cased words of all texts, in order, and how many each text has; a null has none."""
+    held = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.view(pa.string()), "")))
+    found = held.values.view(pa.binary())
+    full = pc.binary_length(found).to_numpy() > 0  # white space at the ends leaves empty ones
+    before = np.concatenate([[0], np.cumsum(full)])
+    return found.filter(pa.array(full)), np.diff(before[held.offsets.to_numpy()])
+
+
+class Read(NamedTuple):
+    """Symbols of texts, one after the other, and each text's number of them; the words that are
+    not among the frequent, and each one's text."""
+
+    symbols: np.ndarray
+    lengths: np.ndarray
+    others: pa.Array
+    owners: np.ndarray
 
 
 class Codes(NamedTuple):
@@ -186,10 +198,11 @@ def decisions(
     codes: Codes, symbols: np.ndarray, before: list[np.ndarray], slots: int
 ) -> Decisions:
     """Decisions of the symbols, which have these contexts before them."""
-    lengths = (codes.starts[1:] - codes.starts[:-1])[symbols]
+    starts = codes.starts[symbols]
+    lengths = codes.starts[1:][symbols] - starts
     begins = np.concatenate([[0], np.cumsum(lengths)])
-    path = np.repeat((codes.starts[symbols] - begins[:-1]).astype(np.int32), lengths)
-    path += np.arange(begins[-1], dtype=np.int32)
+    path = np.repeat(starts - begins[:-1], lengths)
+    path += np.arange(begins[-1])
     nodes = codes.nodes[path]
     spread = nodes.astype(np.uint32) * np.uint32(0x9E3779B1)
     found = []
@@ -203,13 +216,14 @@ def decisions(
     return Decisions(nodes, codes.bits[path], found, begins)
 
 
+def sureness(odds: np.ndarray) -> np.ndarray:
+    sure = np.abs(odds)
+    return (sure > 0).view(np.uint8) + (sure > 1.5).view(np.uint8) + (sure > 4).view(np.uint8)
+
+
 def gates(odds: np.ndarray) -> np.ndarray:
     """Which weights hold, by how sure orders 1 and 2 are."""
-    level = []
-    for row in odds[1:]:
-        sure = np.abs(row)
-        level.append((sure > 0).view(np.uint8) + (sure > 1.5).view(np.uint8) + (sure > 4).view(np.uint8))
-    return level[0] * np.uint8(4) + level[1]
+    return sureness(odds[1]) * np.uint8(4) + sureness(odds[2])
 
 
 def refined(
@@ -219,7 +233,8 @@ def refined(
     lane and gate, are refined along the way.
 
     The lanes' first decisions come first, then their second ones, and so on, so that a step of all
-    lanes works on a slice.
+    lanes works on a slice. The rate is in the odds and the weights beforehand: the odds are
+    multiplied by its root, the weights are divided by it (:meth:`Model.started`).
     """
     lengths = ends - starts
     order = np.argsort(-lengths, kind="stable")
@@ -227,23 +242,38 @@ def refined(
     steps = np.arange(int(length.max(initial=0)))
     live = np.searchsorted(-length, -steps, "left")
     begins = np.cumsum(live) - live
-    lane = np.arange(live.sum(), dtype=np.int32) - np.repeat(begins, live).astype(np.int32)
-    at = starts[order].astype(np.int32)[lane] + np.repeat(steps.astype(np.int32), live)
-    gate = gates(odds)[at] + order[lane] * GATES
-    odds, bits = odds[:, at], bits[at].astype(np.float32)
-    total = np.zeros(len(order))
-    for begin, n in zip(begins, live):
-        x, place = odds[:, begin : begin + n], gate[begin : begin + n]
-        w = own.take(place, 1)
-        z = np.einsum("kn,kn->n", w, x)
-        np.clip(z, -14, 14, out=z)
-        missed = bits[begin : begin + n] - 1 / (1 + np.exp(-z))
-        total[:n] += np.log1p(-np.abs(missed))
-        missed *= np.float32(RATE)
-        w += missed * x
-        own[:, place] = w
+    lane = np.arange(live.sum()) - np.repeat(begins, live)
+    at = starts[order][lane] + np.repeat(steps, live)
+    gate = gates(odds)[at] + (order * GATES)[lane]
+    x = (odds * -ROOT).take(at, 1)
+    came = bits.astype(np.float32)[at]
+    missed = np.empty(len(at), np.float32)
+    flat, rows = own.reshape(-1), np.arange(ORDERS)[:, None] * own.shape[1]
+    least, most, one = (np.array(v, np.float32) for v in (-14, 14, 1))
+    cuts = np.flatnonzero(np.diff(live, prepend=0, append=0)).tolist()
+    for first, last in zip(cuts, cuts[1:]):  # steps of as many lanes
+        n, part = int(live[first]), slice(int(begins[first]), int(begins[last - 1] + live[first]))
+        all_met = np.ascontiguousarray(x[:, part].reshape(ORDERS, -1, n).swapaxes(0, 1))
+        all_where = gate[part].reshape(-1, 1, n) + rows
+        w, z = np.empty((ORDERS, n), np.float32), np.empty((ORDERS, n), np.float32)
+        total, others = z[0], list(z[1:])
+        lanes = zip(all_met, all_where, came[part].reshape(-1, n), missed[part].reshape(-1, n))
+        for met, where, outcome, miss in lanes:
+            flat.take(where, out=w, mode="clip")
+            np.multiply(w, met, out=z)
+            for other in others:
+                np.add(total, other, out=total)
+            np.maximum(total, least, out=total)
+            np.minimum(total, most, out=total)
+            np.exp(total, out=total)
+            np.add(total, one, out=total)
+            np.divide(one, total, out=total)
+            np.subtract(total, outcome, out=miss)
+            np.multiply(met, miss, out=met)
+            np.add(w, met, out=w)
+            flat[where] = w
     out = np.zeros(len(order))
-    out[order] = total
+    out[order] = np.bincount(lane, np.log1p(-np.abs(missed)), len(order))
     return out
 
 
@@ -258,8 +288,9 @@ class Model:
     """
 
     def __init__(self, tokens: list[bytes], counts: np.ndarray, rest: float, slots: int):
-        self.symbols = {t: k for k, t in enumerate(tokens)}
+        self.tokens = pa.array(tokens, pa.binary())
         self.escape = len(tokens)
+        self.end = tokens.index(END) if END in tokens else self.escape
         self.rest = rest
         self.logs = np.log10(np.append(counts, 0) + 0.5)  # the escape's is not used
         self.codes = huffman(np.append(counts + 0.5, max(rest, 0.5)))
@@ -268,14 +299,36 @@ class Model:
         self.weights = np.zeros((GATES, ORDERS), np.float32)
         self.weights[:, 0] = 1
 
+    def reads(self, texts: pa.Array) -> Read:
+        """Symbols of texts, each with its end."""
+        found, counts = words(texts)
+        known = pc.fill_null(pc.index_in(found, self.tokens), self.escape).to_numpy()
+        ends = np.cumsum(counts + 1) - 1
+        symbols = np.full(len(known) + len(ends), self.end, np.int32)
+        inside = np.ones(len(symbols), bool)
+        inside[ends] = False
+        symbols[inside] = known
+        other = known == self.escape
+        owners = np.repeat(np.arange(len(counts)), counts)[other]
+        return Read(symbols, counts + 1, found.filter(pa.array(other)), owners)
+
+    def read_in_pieces(self, batch: pa.RecordBatch) -> Read:
+        """The same of a batch's ``text``, some of it at a time."""
+        parts, rows = [], 0
+        for piece in pieces([batch], limit=PIECE):
+            read = self.reads(piece.column("text"))
+            parts.append(read._replace(owners=read.owners + rows))
+            rows += piece.num_rows
+        symbols, lengths, others, owners = zip(*parts)
+        return Read(
+            np.concatenate(symbols), np.concatenate(lengths),
+            pa.concat_arrays(others), np.concatenate(owners),
+        )
+
     def read(self, text: bytes) -> tuple[np.ndarray, list[bytes]]:
         """Symbols of a text and its end, and the words that are not among the frequent."""
-        words = text.lower().split()
-        get, escape = self.symbols.get, self.escape
-        found = [get(w, escape) for w in words]
-        others = [w for w, k in zip(words, found) if k == escape] if escape in found else []
-        found.append(get(END, escape))
-        return np.array(found, np.int32), others
+        found = self.reads(pa.array([text], pa.binary()))
+        return found.symbols, found.others.to_pylist()
 
     def decisions(self, texts: list[np.ndarray]) -> Decisions:
         lengths = np.array([len(t) for t in texts])
@@ -283,6 +336,13 @@ class Model:
         symbols = _joined(texts)
         return decisions(self.codes, symbols, contexts(symbols, firsts), self.slots)
 
+    def stretches(self, symbols: np.ndarray, lengths: np.ndarray) -> Iterator[Decisions]:
+        """Decisions of texts of these lengths, a stretch of tokens at a time."""
+        before = contexts(symbols, np.cumsum(lengths) - lengths)
+        for k in range(0, len(symbols), STRETCH):
+            part = slice(k, k + STRETCH)
+            yield decisions(self.codes, symbols[part], [c[part] for c in before], self.slots)
+
     def odds(self, found: Decisions) -> np.ndarray:
         out = np.empty((ORDERS, len(found.nodes)), np.float32)
         out[0] = self.codes.odds[found.nodes]
@@ -290,43 +350,53 @@ class Model:
             row[:] = table[slot]
         return out
 
+    def started(self, lanes: int) -> np.ndarray:
+        """Weights that lanes start with, as :func:`refined` takes them."""
+        return np.tile((self.weights / ROOT).T, (1, lanes))
+
     def scores(self, texts: list[np.ndarray]) -> np.ndarray:
         """Log10 probability of each text's symbols."""
-        lengths = np.array([len(t) for t in texts])
+        return self.joined_scores(_joined(texts), np.array([len(t) for t in texts]))
+
+    def joined_scores(self, symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The same of texts of these lengths, one after the other."""
         firsts = np.cumsum(lengths) - lengths
-        symbols = _joined(texts)
         before = contexts(symbols, firsts)
         lanes = -(-lengths // LANE)
         lane_first = np.repeat(firsts, lanes) + LANE * (
             np.arange(lanes.sum()) - np.repeat(np.cumsum(lanes) - lanes, lanes)
         )
         lane_end = np.minimum(lane_first + LANE, np.repeat(firsts + lengths, lanes))
-        order = np.argsort(lane_first - lane_end, kind="stable")
-        at, end = lane_first[order], lane_end[order]
-        own = np.tile(self.weights.T, (1, len(order)))
-        each, live = np.zeros(len(order)), len(order)
-        while live := int(np.count_nonzero(at[:live] < end[:live])):  # longest lanes first
+        order = np.argsort(lane_first - lane_end, kind="stable")  # longest lanes first
+        out = np.empty(len(order))
+        for k in range(0, len(order), TOGETHER):
+            some = order[k : k + TOGETHER]
+            out[some] = self._advanced(symbols, before, lane_first[some], lane_end[some])
+        return np.add.reduceat(out, np.cumsum(lanes) - lanes) / np.log(10)
+
+    def _advanced(
+        self, symbols: np.ndarray, before: list[np.ndarray], at: np.ndarray, end: np.ndarray
+    ) -> np.ndarray:
+        """Natural log probability of lanes, longest first, a stretch of each at a time."""
+        own, each, live = self.started(len(at)), np.zeros(len(at)), len(at)
+        while live := int(np.count_nonzero(at[:live] < end[:live])):
             stop = np.minimum(at[:live] + max(STRETCH // live, 16), end[:live])
             size = stop - at[:live]
             begins = np.cumsum(size) - size
             place = np.repeat(at[:live] - begins, size) + np.arange(size.sum())
             found = decisions(self.codes, symbols[place], [c[place] for c in before], self.slots)
             ends = found.firsts[begins + size]
-            odds = self.odds(found)
-            each[:live] += refined(odds, found.bits, found.firsts[begins], ends, own)
+            each[:live] += refined(self.odds(found), found.bits, found.firsts[begins], ends, own)
             at[:live] = stop
-        out = np.empty(len(order))
-        out[order] = each
-        return np.add.reduceat(out, np.cumsum(lanes) - lanes) / np.log(10)
+        return each
 
     def fit(self, met: np.ndarray, times: np.ndarray) -> None:
         """Weights by Newton's method, gate by gate, from how often what was met (:func:`met`)."""
-        side = 2 * FAR * LEVELS + 1
         bits, level = (met % 2).astype(np.float64), met // 2
         odds = np.empty((ORDERS, len(met)))
         for row in odds[::-1]:
-            row[:] = (level % side) / LEVELS - FAR
-            level = level // side
+            row[:] = (level % SIDE) / LEVELS - FAR
+            level = level // SIDE
         for g in range(GATES):
             own = level == g
             x, y, n = odds[:, own].T, bits[own], times[own]
@@ -340,18 +410,35 @@ class Model:
             self.weights[g] = w
 
 
-def met(odds: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """Gate, rounded odds and outcome of decisions, as one number."""
-    side = 2 * FAR * LEVELS + 1
-    out = gates(odds).astype(np.int32)
-    for row in odds:
-        out *= np.int32(side)
-        level = np.clip(row, -FAR, FAR)
-        level *= np.float32(LEVELS)
-        out += np.rint(level, out=level).astype(np.int32) + np.int32(FAR * LEVELS)
-    out *= np.int32(2)
-    out += bits
-    return out
+#: Levels of rounded odds; how sure a predictor is times these, and its level, are one byte.
+SIDE = 2 * FAR * LEVELS + 1
+
+
+def levels(odds: np.ndarray) -> np.ndarray:
+    """Odds in rounded units, from 0."""
+    return np.rint(np.clip(odds, -FAR, FAR) * np.float32(LEVELS)).astype(np.int32) + FAR * LEVELS
+
+
+def rounded(odds: np.ndarray) -> np.ndarray:
+    """All that fitting takes of a slot's odds, in a byte."""
+    return (sureness(odds) * np.uint8(SIDE) + levels(odds)).astype(np.uint8)
+
+
+def met(model: Model) -> Callable[[Decisions], np.ndarray]:
+    """Gate, rounded odds and outcome of decisions, as one number; the model's tables are rounded."""
+    first = levels(model.codes.odds) * np.int32(2 * SIDE**2)
+    sure, level = np.divmod(np.arange(4 * SIDE, dtype=np.int32), np.int32(SIDE))
+    second = 2 * SIDE * (sure * 4 * SIDE**2 + level)
+    third = 2 * (sure * SIDE**3 + level)
+
+    def of(found: Decisions) -> np.ndarray:
+        out = first.take(found.nodes)
+        for of_byte, table, slot in zip((second, third), model.hashed, found.slots):
+            out += of_byte.take(table[slot])
+        out += found.bits
+        return out
+
+    return of
 
 
 def _frequent(counts: DataFrame, most: int) -> tuple[list[bytes], np.ndarray, int]:
@@ -375,17 +462,9 @@ def _half(doc_id: Column) -> Column:
     return F.pmod(F.xxhash64(doc_id), F.lit(HALVES)).cast("int").alias("half")
 
 
-def _by_half(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
-    half = batch.column("half").to_numpy()
-    texts = utf8(batch.column("text"))
-    for h in range(HALVES):
-        if (own := np.flatnonzero(half == h)).size:
-            yield h, [texts[k] for k in own]
-
-
 def _hashed(texts: DataFrame, model: Model) -> DataFrame:
-    """``block``, and log odds of its slots of orders 1 and 2 from the decisions of ``all`` texts
-    and of each half of them."""
+    """``block``, and log odds of its slots of orders 1 and 2 from the decisions of ``all`` texts,
+    rounded ones from those of each half of them."""
     spark = texts.sparkSession
     shared = spark.sparkContext.broadcast(_parts(model) | {"hashed": []})
     blocks = _blocks(model)
@@ -396,14 +475,17 @@ def _hashed(texts: DataFrame, model: Model) -> DataFrame:
         kept: list[list[np.ndarray]] = [[] for _ in range(HALVES * (ORDERS - 1))]
         held = 0
         for batch in pieces(batches, limit=PIECE):
-            for h, half in _by_half(batch):
-                found = own.decisions([own.read(t)[0] for t in half])
-                for k, slot in enumerate(found.slots):
-                    kept[k * HALVES + h].append((slot << np.uint32(1)) | found.bits)
-                    held += len(slot)
-            if held > RUN:
-                yield from _run(kept, blocks, BLOCK)
-                held = 0
+            half = batch.column("half").to_numpy()
+            read = own.reads(batch.column("text"))
+            halves = np.repeat(half, read.lengths)
+            for h in range(HALVES):
+                for found in own.stretches(read.symbols[halves == h], read.lengths[half == h]):
+                    for k, slot in enumerate(found.slots):
+                        kept[k * HALVES + h].append((slot << np.uint32(1)) | found.bits)
+                        held += len(slot)
+                    if held > RUN:
+                        yield from _run(kept, blocks, BLOCK)
+                        held = 0
         if held:
             yield from _run(kept, blocks, BLOCK)
 
@@ -431,13 +513,13 @@ def _blocks(model: Model) -> int:
     return -(-(2 << model.slots) // BLOCK)
 
 
-def _tables(hashed: DataFrame, name: str, model: Model) -> list[np.ndarray]:
-    """The odds of that name for all slots, two bytes a slot."""
-    out = np.zeros((ORDERS - 1, _blocks(model) * BLOCK // 2), np.float16)
+def _tables(hashed: DataFrame, name: str, model: Model, kind: type, fill: int) -> list[np.ndarray]:
+    """What is of that name for all slots; ``fill`` is that of a slot that wasn't met."""
+    out = np.full((ORDERS - 1, _blocks(model) * BLOCK // 2), fill, kind)
     flat = out.reshape(-1)
     for row in hashed.select("block", name).toLocalIterator():
         at = row["block"] * BLOCK // 2
-        flat[at : at + BLOCK // 2] = np.frombuffer(row[name], np.float16)
+        flat[at : at + BLOCK // 2] = np.frombuffer(row[name], kind)
     return [table[: 1 << model.slots] for table in out]
 
 
@@ -446,10 +528,12 @@ def _fit(texts: DataFrame, hashed: DataFrame, model: Model) -> None:
     def counted(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
         def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = _whole(shared.value)
-            times = np.zeros(2 * GATES * (2 * FAR * LEVELS + 1) ** ORDERS, np.int64)
+            times = np.zeros(2 * GATES * SIDE**ORDERS, np.int64)
+            number = met(own)
             for batch in pieces(batches, limit=PIECE):
-                found = own.decisions([own.read(t)[0] for t in utf8(batch.column("text"))])
-                np.add.at(times, met(own.odds(found), found.bits), 1)
+                read = own.reads(batch.column("text"))
+                for found in own.stretches(read.symbols, read.lengths):
+                    np.add.at(times, number(found), 1)
             some = np.flatnonzero(times)
             for at in range(0, len(some), 100_000):
                 part = some[at : at + 100_000]
@@ -459,7 +543,7 @@ def _fit(texts: DataFrame, hashed: DataFrame, model: Model) -> None:
 
     sums = []
     for h in range(HALVES):  # one after the other, since each takes a model of its own
-        other = _tables(hashed, f"half{(h + 1) % HALVES}", model)
+        other = _tables(hashed, f"half{(h + 1) % HALVES}", model, np.uint8, FAR * LEVELS)
         shared = texts.sparkSession.sparkContext.broadcast(_parts(model) | {"hashed": other})
         del other
         found = texts.where(F.col("half") == h).select("text")
@@ -509,7 +593,8 @@ def _odds(block: int, total: np.ndarray, names: list[str]) -> pa.RecordBatch:
     odds = []
     for counts in (total.sum(0), *total):
         zero, one = counts.reshape(-1, 2).T
-        odds.append(np.log((one + 0.4) / (zero + 0.4)).astype(np.float16).tobytes())
+        odds.append(np.log((one + 0.4) / (zero + 0.4)).astype(np.float16))
+    odds = [odds[0].tobytes(), *(rounded(x.astype(np.float32)).tobytes() for x in odds[1:])]
     columns = [pa.array([block]), *(pa.array([x], pa.binary()) for x in odds)]
     return pa.RecordBatch.from_arrays(columns, ["block", *names])
 
@@ -550,7 +635,7 @@ def learned(docs: DataFrame) -> Corpus:
     texts = training.select("text", _half(F.col("doc_id")))
     hashed = _hashed(texts, model)
     _fit(texts, hashed, model)
-    model.hashed = _tables(hashed, "all", model)
+    model.hashed = _tables(hashed, "all", model, np.float16, 0)
     return Corpus(counts, tokens, distinct, least, model)
 
 
@@ -560,6 +645,25 @@ _READ = (
 )
 
 
+def _others(read: Read, model: Model) -> pa.Array:
+    """The tokens of each text that have no symbol, with how often they occur in it."""
+    held = read.others.dictionary_encode()
+    tokens, n = held.dictionary, len(read.lengths)
+    number, owners = held.indices.to_numpy(), read.owners
+    if model.end == model.escape:  # the end is such a token too
+        number = np.append(number, np.full(n, len(tokens), number.dtype))
+        owners = np.append(owners, np.arange(n))
+        tokens = pa.concat_arrays([tokens, pa.array([END], pa.binary())])
+    found, times = np.unique(owners * (len(tokens) + 1) + number, return_counts=True)
+    owner, number = np.divmod(found, len(tokens) + 1)
+    rows = pa.StructArray.from_arrays(
+        [tokens.take(pa.array(number)), pa.array(times, pa.int64())], ["token", "times"]
+    )
+    return pa.ListArray.from_arrays(
+        pa.array(np.searchsorted(owner, np.arange(n + 1)), pa.int32()), rows
+    )
+
+
 def scored(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``,
     ``score`` and ``bits_per_byte`` of each whole text."""
@@ -569,26 +673,21 @@ def scored(docs: DataFrame) -> DataFrame:
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _whole(shared.value)
-        kind = pa.list_(pa.struct([("token", pa.binary()), ("times", pa.int64())]))
         for batch in pieces(batches, limit=SCORED):
-            texts = utf8(batch.column("text"))
-            read = [model.read(t) for t in texts]
-            symbols = [s for s, _ in read]
-            common = [s[s != model.escape] for s in symbols]
-            others = [
-                [{"token": t, "times": n} for t, n in Counter(o).items()]
-                + ([{"token": END, "times": 1}] if s[-1] == model.escape else [])
-                for s, o in read
-            ]
+            texts = batch.column("text")
+            read = model.read_in_pieces(batch)
+            known = read.symbols != model.escape
+            owner = np.repeat(np.arange(len(texts)), read.lengths)
+            logs = np.where(known, model.logs[read.symbols], 0.0)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
-                    pa.array([len(t) for t in texts], pa.int64()),
-                    pa.array([len(s) for s in symbols], pa.int64()),
-                    pa.array([len(s) for s in common], pa.int64()),
-                    pa.array([float(model.logs[s].sum()) for s in common]),
-                    pa.array(model.scores(symbols)),
-                    pa.array(others, kind),
+                    pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64()),
+                    pa.array(read.lengths, pa.int64()),
+                    pa.array(np.bincount(owner[known], minlength=len(texts)), pa.int64()),
+                    pa.array(np.bincount(owner, logs, len(texts))),
+                    pa.array(model.joined_scores(read.symbols, read.lengths)),
+                    _others(read, model),
                 ],
                 ["doc_id", "n_bytes", "n_tokens", "n_common", "common", "coded", "others"],
             )

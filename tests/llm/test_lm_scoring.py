@@ -6,6 +6,7 @@ from collections import Counter
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 import tables
 
@@ -147,3 +148,64 @@ def test_texts_scored_together_take_few_bytes_a_token():
     some = slice(0, 3 * lm_scoring.STRETCH)
     for whole, part in zip(before, lm_scoring.contexts(held[some], np.array([0]))):
         assert np.array_equal(whole[some], part)
+
+
+def test_words_of_many_texts_at_once_are_those_of_each():
+    texts = [b" a\x1cB \xc3\x89x\x85\x1f y\x0b\x0cZ \r\n", b"", None, b" \t ", b"Q", " K l m".encode()]
+    plain = [(t or b"").lower().split() for t in texts]
+    for held, own in ((pa.array(texts, pa.binary()), plain), (pa.array(texts, pa.binary())[2:5], plain[2:5])):
+        found, counts = lm_scoring.words(held)
+        assert found.to_pylist() == [w for t in own for w in t] and counts.tolist() == [*map(len, own)]
+    # Their symbols, each text's end, and what is not among the frequent; read in pieces as well.
+    model = lm_scoring.Model([b"q", b"y"], np.array([5, 3]), 4.0, 16)
+    read = model.read_in_pieces(pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], ["text"]))
+    assert read.symbols.tolist() == [2, 2, 1, 2, 2, 2, 2, 2, 0, 2, 2, 2, 2]
+    assert read.lengths.tolist() == [len(t) + 1 for t in plain]
+    others = lm_scoring._others(read, model).to_pylist()
+    for own, t in zip(others, plain):
+        assert {x["token"]: x["times"] for x in own} == Counter([w for w in t if w not in (b"q", b"y")] + [b""])
+
+
+def test_rounded_odds_of_a_slot_are_a_byte_and_meet_what_the_odds_do():
+    draw = np.random.default_rng(5)
+    model = lm_scoring.Model([b"a", b"b", b""], np.array([5, 30, 2]), 1.0, 16)
+    model.hashed = [draw.normal(0, 6, 1 << 16).astype(np.float16) for _ in range(2)]
+    model.hashed[0][::3] = 0
+    found = model.decisions([draw.integers(0, 4, 9000).astype(np.int32)])
+    odds, side = model.odds(found), lm_scoring.SIDE
+    numbers = lm_scoring.gates(odds).astype(int)
+    for row in odds:
+        numbers = numbers * side + np.rint(np.clip(row, -14, 14) * 2).astype(int) + 28
+    model.hashed = [lm_scoring.rounded(t.astype(np.float32)) for t in model.hashed]
+    assert all(t.dtype == np.uint8 for t in model.hashed)
+    assert np.array_equal(lm_scoring.met(model)(found), numbers * 2 + found.bits)
+
+
+def test_scores_are_those_of_one_decision_after_the_other(monkeypatch):
+    draw = np.random.default_rng(6)
+    words = [f"w{k}".encode() for k in range(40)]
+    model = lm_scoring.Model(words, draw.integers(1, 50, 40), 20.0, 16)
+    model.hashed = [draw.normal(0, 2, 1 << 16).astype(np.float16) for _ in range(2)]
+    model.weights = draw.normal(0.4, 0.2, model.weights.shape).astype(np.float32)
+    texts = [draw.integers(0, 41, n).astype(np.int32) for n in (1, 2, 3, 400, 17, 400, 90, 1300)]
+    plain = []
+    for text in texts:
+        total, lanes = 0.0, range(0, len(text), 500)
+        found = model.decisions([text])
+        odds = model.odds(found).astype(float)
+        for first in lanes:
+            own = model.weights.astype(float)
+            for k in range(found.firsts[first], found.firsts[min(first + 500, len(text))]):
+                x, bit = odds[:, k], int(found.bits[k])
+                sure = [(abs(v) > 0) + int(abs(v) > 1.5) + int(abs(v) > 4) for v in x[1:]]
+                gate = sure[0] * 4 + sure[1]
+                p = 1 / (1 + math.exp(-min(max(own[gate] @ x, -14), 14)))
+                total += math.log10(p if bit else 1 - p)
+                own[gate] += lm_scoring.RATE * (bit - p) * x
+        plain.append(total)
+    monkeypatch.setattr(lm_scoring, "LANE", 500)
+    # Lanes that advance together, in few and in many groups and stretches.
+    for together, stretch in ((lm_scoring.TOGETHER, lm_scoring.STRETCH), (3, 64)):
+        monkeypatch.setattr(lm_scoring, "TOGETHER", together)
+        monkeypatch.setattr(lm_scoring, "STRETCH", stretch)
+        assert np.allclose(model.scores(texts), plain, rtol=1e-5)
