@@ -55,7 +55,6 @@ FOLDS = 5
 #: Weights are fitted to odds counted in the other half; levels of odds a unit, and the most.
 HALVES, LEVELS, FAR = 2, 2, 14
 RATE = 0.02
-ROOT = np.float32(np.sqrt(RATE))
 ORDERS = 3
 GATES = 16
 #: Counts of a block of the hashed table; decisions that a task counts before it passes them on.
@@ -233,8 +232,7 @@ def refined(
     lane and gate, are refined along the way.
 
     The lanes' first decisions come first, then their second ones, and so on, so that a step of all
-    lanes works on a slice. The rate is in the odds and the weights beforehand: the odds are
-    multiplied by its root, the weights are divided by it (:meth:`Model.started`).
+    lanes works on a slice, or on a copy of it where several lanes are left.
     """
     lengths = ends - starts
     order = np.argsort(-lengths, kind="stable")
@@ -245,31 +243,31 @@ def refined(
     lane = np.arange(live.sum()) - np.repeat(begins, live)
     at = starts[order][lane] + np.repeat(steps, live)
     gate = gates(odds)[at] + (order * GATES)[lane]
-    x = (odds * -ROOT).take(at, 1)
+    x = np.negative(odds).take(at, 1)
     came = bits.astype(np.float32)[at]
     missed = np.empty(len(at), np.float32)
     flat, rows = own.reshape(-1), np.arange(ORDERS)[:, None] * own.shape[1]
-    least, most, one = (np.array(v, np.float32) for v in (-14, 14, 1))
+    least, most, one, rate = (np.array(v, np.float32) for v in (-14, 14, 1, RATE))
     cuts = np.flatnonzero(np.diff(live, prepend=0, append=0)).tolist()
     for first, last in zip(cuts, cuts[1:]):  # steps of as many lanes
         n, part = int(live[first]), slice(int(begins[first]), int(begins[last - 1] + live[first]))
-        all_met = np.ascontiguousarray(x[:, part].reshape(ORDERS, -1, n).swapaxes(0, 1))
+        all_met = x[:, part].reshape(ORDERS, -1, n).swapaxes(0, 1)
+        if n > 1:
+            all_met = np.ascontiguousarray(all_met)
         all_where = gate[part].reshape(-1, 1, n) + rows
-        w, z = np.empty((ORDERS, n), np.float32), np.empty((ORDERS, n), np.float32)
-        total, others = z[0], list(z[1:])
+        w, total = np.empty((ORDERS, n), np.float32), np.empty(n, np.float32)
         lanes = zip(all_met, all_where, came[part].reshape(-1, n), missed[part].reshape(-1, n))
         for met, where, outcome, miss in lanes:
             flat.take(where, out=w, mode="clip")
-            np.multiply(w, met, out=z)
-            for other in others:
-                np.add(total, other, out=total)
+            np.einsum("kn,kn->n", w, met, out=total)
             np.maximum(total, least, out=total)
             np.minimum(total, most, out=total)
             np.exp(total, out=total)
             np.add(total, one, out=total)
             np.divide(one, total, out=total)
             np.subtract(total, outcome, out=miss)
-            np.multiply(met, miss, out=met)
+            np.multiply(miss, rate, out=total)
+            np.multiply(met, total, out=met)
             np.add(w, met, out=w)
             flat[where] = w
     out = np.zeros(len(order))
@@ -350,10 +348,6 @@ class Model:
             row[:] = table[slot]
         return out
 
-    def started(self, lanes: int) -> np.ndarray:
-        """Weights that lanes start with, as :func:`refined` takes them."""
-        return np.tile((self.weights / ROOT).T, (1, lanes))
-
     def scores(self, texts: list[np.ndarray]) -> np.ndarray:
         """Log10 probability of each text's symbols."""
         return self.joined_scores(_joined(texts), np.array([len(t) for t in texts]))
@@ -378,7 +372,7 @@ class Model:
         self, symbols: np.ndarray, before: list[np.ndarray], at: np.ndarray, end: np.ndarray
     ) -> np.ndarray:
         """Natural log probability of lanes, longest first, a stretch of each at a time."""
-        own, each, live = self.started(len(at)), np.zeros(len(at)), len(at)
+        own, each, live = np.tile(self.weights.T, (1, len(at))), np.zeros(len(at)), len(at)
         while live := int(np.count_nonzero(at[:live] < end[:live])):
             stop = np.minimum(at[:live] + max(STRETCH // live, 16), end[:live])
             size = stop - at[:live]
